@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import cents, cents_to_decimal
+from tallymart.functions.numeric import cents_to_decimal
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.ranking import cumulative_share_classify
 from tallymart.sources.marketplace import Marketplace
@@ -60,7 +60,7 @@ def _revenue(market: Marketplace, period: Period) -> DataFrame:
         market.table("order_items")
         .groupBy("order_id", "product_id")
         .agg(
-            F.sum(cents(F.col("price"))).alias("lot_cents"),
+            F.sum("price_cents").alias("lot_cents"),
             F.count(F.lit(1)).alias("lot_units"),
         )
     )

@@ -11,14 +11,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from tallymart.functions.numeric import round_away
 from tallymart.sources.scratch import materialise
 
 # How finely values are split: a piece between two cut points holds about
-# 1/CUTS of the rows. Broadcast offsets have at most 2 * CUTS + 2 rows.
+# 1/CUTS of the rows.
 CUTS = 128
 ACCURACY = 2_000
 # Equal values at a cut point are dealt into this many groups.
@@ -48,27 +50,28 @@ def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFra
     """``RANK()`` over the whole frame, for each ``(column, direction, name)``.
 
     ``df`` is read once for the cut points, once for the piece sizes and once
-    for the ranks, so pass a stored table when it is costly to compute.
+    for the ranks, so pass a stored table when it is costly to compute. Only
+    the cut points and the rows ahead of each piece, at most ``2 * CUTS + 2``
+    numbers per rank, come to the driver.
     """
     cut_points = _cut_points(df, [column for column, _, _ in ranks])
     pieces = [_piece(F.col(c), d, cut_points[c]) for c, d, _ in ranks]
-    offsets = _rows_before(df, pieces)
+    ahead = _rows_ahead(df, pieces, [2 * len(cut_points[c]) + 3 for c, _, _ in ranks])
+    piece_names = [f"_piece_{name}" for _, _, name in ranks]
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(TIE_GROUPS))
-    out = df
-    for number, ((column, direction, name), piece) in enumerate(zip(ranks, pieces)):
-        before = offsets.filter(F.col("_rank") == number).select("_piece", "_before")
+    placed = df.select(
+        "*",
+        *[piece.alias(p) for piece, p in zip(pieces, piece_names)],
+        spread.alias("_spread"),
+    )
+    columns = []
+    for (column, direction, name), p, rows in zip(ranks, piece_names, ahead):
         # Odd pieces hold one value only, so their rows may be dealt out freely.
-        group = F.when(F.col("_piece") % 2 == 1, spread).otherwise(F.lit(0))
-        window = Window.partitionBy("_piece", "_group").orderBy(_ordering(column, direction))
-        out = (
-            out.withColumn("_piece", piece)
-            .withColumn("_group", group)
-            .withColumn("_inside", F.rank().over(window))
-            .join(F.broadcast(before), "_piece")
-            .withColumn(name, (F.col("_before") + F.col("_inside")).cast("bigint"))
-            .drop("_piece", "_group", "_inside", "_before")
-        )
-    return out
+        group = F.when(F.col(p) % 2 == 1, F.col("_spread"))
+        window = Window.partitionBy(p, group).orderBy(_ordering(column, direction))
+        before = F.get(F.lit(rows), F.col(p))
+        columns.append((before + F.rank().over(window)).cast("bigint").alias(name))
+    return placed.select(*df.columns, *columns)
 
 
 def running_share(
@@ -156,55 +159,55 @@ def _ordering(column: str, direction: str) -> Column:
     raise ValueError(f"direction must be asc or desc, got {direction!r}")
 
 
-def _cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
+def _cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, Sequence]:
     """Approximate quantiles of each column: at most CUTS numbers per column.
 
     They only steer how evenly rows spread. A value shared by more than
     roughly 2/CUTS of the rows is always one of them.
     """
-    quantiles = [i / CUTS for i in range(1, CUTS)]
+    quantiles = F.lit(np.arange(1, CUTS) / CUTS)
     wanted = list(dict.fromkeys(columns))
     found = df.select(
         *[F.percentile_approx(c, quantiles, ACCURACY).alias(c) for c in wanted]
     ).head()
-    return {c: sorted(set(found[c] or [])) for c in wanted}
+    distinct = {c: sorted(set(found[c] or [])) for c in wanted}
+    # A numpy array becomes one literal instead of one per number.
+    return {
+        c: np.array(v) if isinstance(df.schema[c].dataType, DoubleType) else v
+        for c, v in distinct.items()
+    }
 
 
-def _piece(value: Column, direction: str, cut_points: list) -> Column:
+def _piece(value: Column, direction: str, cut_points: Sequence) -> Column:
     """Position of a value among the cut points, in rank order.
 
     Odd numbers are the cut values themselves, even numbers the open ranges
     between them, and the largest even number holds the missing values.
     """
-    last = 2 * len(cut_points) + 2
-    if not cut_points:
-        return F.when(value.isNull(), F.lit(last)).otherwise(F.lit(0))
+    last = F.lit(2 * len(cut_points) + 2)
+    if len(cut_points) == 0:
+        return F.when(value.isNull(), last).otherwise(F.lit(0))
     points = F.lit(cut_points)
     if direction == "desc":
         passed = F.size(F.filter(points, lambda p: p > value))
     else:
         passed = F.size(F.filter(points, lambda p: p < value))
     exact = F.array_contains(points, value).cast("int")
-    return F.when(value.isNull(), F.lit(last)).otherwise(passed * 2 + exact)
+    return F.when(value.isNull(), last).otherwise(passed * 2 + exact)
 
 
-def _rows_before(df: DataFrame, pieces: Sequence[Column]) -> DataFrame:
+def _rows_ahead(
+    df: DataFrame, pieces: Sequence[Column], piece_counts: Sequence[int]
+) -> list[np.ndarray]:
     """Rows ahead of each piece, for all ranks in one pass over ``df``."""
     tagged = F.array(
         *[
-            F.struct(F.lit(number).alias("_rank"), piece.alias("_piece"))
+            F.struct(F.lit(number).alias("rank"), piece.alias("piece"))
             for number, piece in enumerate(pieces)
         ]
     )
-    sizes = (
-        df.select(F.explode(tagged).alias("p"))
-        .groupBy("p._rank", "p._piece")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    earlier = (
-        Window.partitionBy("_rank")
-        .orderBy("_piece")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    return sizes.select("_rank", "_piece", before.alias("_before"))
+    sizes = [np.zeros(n, dtype="int64") for n in piece_counts]
+    counted = df.select(F.explode(tagged).alias("p")).groupBy("p.rank", "p.piece").count()
+    for rank, piece, rows in counted.collect():
+        sizes[rank][piece] = rows
+    return [np.concatenate(([0], np.cumsum(n)[:-1])) for n in sizes]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import cents, cents_to_double, flag, ratio
+from tallymart.functions.numeric import cents_to_double, flag, ratio
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.ranking import composite_rank
 from tallymart.sources.marketplace import Marketplace
@@ -157,7 +157,7 @@ def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None)
         chosen = _sellers(market, seller_state).select("seller_id")
         items = items.join(chosen, "seller_id", "left_semi")
     lots = items.groupBy("order_id", "seller_id").agg(
-        F.sum(cents(F.col("price"))).alias("lot_cents"),
+        F.sum("price_cents").alias("lot_cents"),
         F.count(F.lit(1)).alias("lot_items"),
     )
     sold = F.col("sales") > 0

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.dates import month_start
-from tallymart.functions.numeric import cents, cents_to_double
+from tallymart.functions.numeric import cents_to_double
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.sellers import CANCELED
 from tallymart.sources.marketplace import Marketplace
@@ -23,7 +23,7 @@ def orders_over_time(market: Marketplace, period: Period = EVERYTHING) -> DataFr
         market.table("order_items")
         .groupBy("order_id")
         .agg(
-            F.sum(cents(F.col("price"))).alias("lot_cents"),
+            F.sum("price_cents").alias("lot_cents"),
             F.count(F.lit(1)).alias("lot_items"),
         )
     )

@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallymart.functions.numeric import cents
 from tallymart.sources.schema import COLUMNS, EXPECTED_TABLES
 
 
@@ -81,18 +82,20 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     """Keep the canonical columns of a table, cast where the type differs.
 
     A column that already has the right type is passed through untouched, so
-    filters on it still reach the Parquet reader.
+    filters on it still reach the Parquet reader. Items also get their price
+    in cents, taken straight from the source column.
     """
     wanted = COLUMNS.get(name)
     if wanted is None:
         return df
     actual = dict(df.dtypes)
-    return df.select(
-        *[
-            F.col(c) if kind is None or actual.get(c) == kind else F.col(c).cast(kind).alias(c)
-            for c, kind in wanted.items()
-        ]
-    )
+    columns = [
+        F.col(c) if kind is None or actual.get(c) == kind else F.col(c).cast(kind).alias(c)
+        for c, kind in wanted.items()
+    ]
+    if "price" in wanted:
+        columns.append(cents(F.col("price")).alias("price_cents"))
+    return df.select(*columns)
 
 
 def _read_if_present(spark: SparkSession, paths: tuple[str, ...]) -> DataFrame | None:
