@@ -104,7 +104,7 @@ def _observe(
         name = F.lit(table).alias("table_name")
         unknown = F.lit(None)
         if not market.has(table):
-            return market.spark.range(1).select(
+            return market.spark.range(0, 1, 1, 1).select(
                 name,
                 unknown.cast("bigint").alias("row_count"),
                 unknown.cast("bigint").alias("key_count"),

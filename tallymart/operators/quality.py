@@ -12,6 +12,7 @@ from tallymart.functions.dates import calendar, day
 from tallymart.functions.numeric import flag
 from tallymart.sources.marketplace import Marketplace
 from tallymart.sources.schema import EXPECTED_TABLES
+from tallymart.sources.scratch import materialise
 
 # Which keys the audit looks at.
 PROFILED_KEYS = {
@@ -92,16 +93,15 @@ def orphan_keys(
 def date_gaps(market: Marketplace) -> DataFrame:
     """First and last order day and the number of days between without an order."""
     days = _order_days(market)
-    bounds = days.agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"))
-    missing = missing_days(market).agg(F.count(F.lit(1)).alias("missing_days"))
-    return _one_row({"start_date": bounds, "end_date": bounds, "missing_days": missing})
+    missing = _uncovered(days).agg(F.count(F.lit(1)).alias("missing_days"))
+    return days.agg(F.min("date").alias("start_date"), F.max("date").alias("end_date")).select(
+        "start_date", "end_date", missing.scalar().alias("missing_days")
+    )
 
 
 def missing_days(market: Marketplace) -> DataFrame:
     """Calendar days without an order between the first and the last order day."""
-    days = _order_days(market)
-    bounds = days.agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    return calendar(bounds, "first", "last").join(days, "date", "left_anti")
+    return _uncovered(_order_days(market))
 
 
 def duplicate_keys(
@@ -120,8 +120,14 @@ def duplicate_keys(
 
 
 def _order_days(market: Marketplace) -> DataFrame:
+    """Distinct order days, stored: no more rows than the calendar, and read several times."""
     stamp = F.col("order_purchase_timestamp")
-    return market.table("orders").select(day(stamp).alias("date")).distinct()
+    return materialise(market.table("orders").select(day(stamp).alias("date")).distinct())
+
+
+def _uncovered(days: DataFrame) -> DataFrame:
+    bounds = days.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    return calendar(bounds, "first", "last").join(days, "date", "left_anti")
 
 
 def _stack(frames) -> DataFrame:
@@ -129,11 +135,8 @@ def _stack(frames) -> DataFrame:
 
 
 def _one_row(figures: Mapping[str, DataFrame]) -> DataFrame:
-    """Put one-row frames side by side: column ``name`` of the frame, or its only column."""
+    """Put one-row, one-column frames side by side."""
     spark = next(iter(figures.values())).sparkSession
-    return spark.range(1).select(
-        *[
-            (df.select(name) if name in df.columns else df).scalar().alias(name)
-            for name, df in figures.items()
-        ]
+    return spark.range(0, 1, 1, 1).select(
+        *[df.scalar().alias(name) for name, df in figures.items()]
     )

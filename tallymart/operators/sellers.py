@@ -14,6 +14,9 @@ from tallymart.sources.marketplace import Marketplace
 DELIVERED = "delivered"
 CANCELED = "canceled"
 
+# Seller keys that may be copied to every task: some 20 MB as 32-character text.
+BROADCAST_SELLERS = 200_000
+
 SCORECARD_RANKS = (
     ("total_revenue", "desc", "revenue_rank"),
     ("on_time_rate", "desc", "delivery_rank"),
@@ -102,7 +105,7 @@ def seller_base(
     )
     sellers = _sellers(market, seller_state).select("seller_id")
     return (
-        market.table("order_items")
+        _items(market, seller_state)
         .select("order_id", "seller_id", "price")
         .join(orders, "order_id")
         .join(sellers, "seller_id")
@@ -152,13 +155,13 @@ def _per_order(events: DataFrame) -> DataFrame:
 
 
 def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None) -> DataFrame:
-    items = market.table("order_items")
-    if seller_state is not None:
-        chosen = _sellers(market, seller_state).select("seller_id")
-        items = items.join(chosen, "seller_id", "left_semi")
-    lots = items.groupBy("order_id", "seller_id").agg(
-        F.sum("price_cents").alias("lot_cents"),
-        F.count(F.lit(1)).alias("lot_items"),
+    lots = (
+        _items(market, seller_state)
+        .groupBy("order_id", "seller_id")
+        .agg(
+            F.sum("price_cents").alias("lot_cents"),
+            F.count(F.lit(1)).alias("lot_items"),
+        )
     )
     sold = F.col("sales") > 0
     return (
@@ -181,6 +184,22 @@ def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None)
     )
 
 
+def _items(market: Marketplace, seller_state: str | None) -> DataFrame:
+    """Items that may count for the state.
+
+    When the state's sellers are few, their keys go to every task and the
+    other items drop out before any shuffle. Otherwise all items pass and the
+    join with the state's sellers, which every caller ends with, drops them.
+    """
+    items = market.table("order_items")
+    if seller_state is None:
+        return items
+    keys = _sellers(market, seller_state).select("seller_id").distinct()
+    if keys.limit(BROADCAST_SELLERS + 1).count() > BROADCAST_SELLERS:
+        return items
+    return items.join(F.broadcast(keys), "seller_id", "left_semi")
+
+
 def _sellers(market: Marketplace, seller_state: str | None) -> DataFrame:
     sellers = market.table("sellers")
     if seller_state is not None:
