@@ -295,7 +295,8 @@ ROW_COUNTS = " UNION ALL ".join(
 def _nulls(table: str, view: str, *own: str) -> str:
     keys = ("order_id", "customer_id", "product_id", "seller_id")
     counts = [
-        f"{f'count(*) - count({k})' if k in own else '0::BIGINT'} AS null_{k}" for k in keys
+        (f"sum(({k} IS NULL)::INTEGER)::BIGINT" if k in own else "0::BIGINT") + f" AS null_{k}"
+        for k in keys
     ]
     return f"SELECT '{table}' AS table_name, count(*) AS total_rows, {', '.join(counts)} FROM {view}"
 

@@ -50,19 +50,25 @@ def row_counts(market: Marketplace, tables: Sequence[str] = EXPECTED_TABLES) ->
 def null_profile(
     market: Marketplace, keys: Mapping[str, Sequence[str]] = PROFILED_KEYS
 ) -> DataFrame:
-    """Rows and missing key values per table; 0 for keys a table does not have."""
+    """Rows and missing key values per table.
+
+    Keys that a table does not have show 0; an empty table has no count for
+    its own keys.
+    """
 
     def profile(table: str, own: Sequence[str]) -> DataFrame:
-        missing = [
-            F.coalesce(F.sum(flag(F.col(c).isNull())), F.lit(0)).alias(f"null_{c}")
-            if c in own
-            else F.any_value(F.lit(0).cast("bigint")).alias(f"null_{c}")
-            for c in PROFILE_COLUMNS
-        ]
-        return (
-            market.table(table)
-            .agg(F.count(F.lit(1)).alias("total_rows"), *missing)
-            .select(F.lit(table).alias("table_name"), "*")
+        missing = {f"null_{c}": F.sum(flag(F.col(c).isNull())) for c in own}
+        counted = market.table(table).agg(
+            F.count(F.lit(1)).alias("total_rows"),
+            *[count.alias(name) for name, count in missing.items()],
+        )
+        return counted.select(
+            F.lit(table).alias("table_name"),
+            "total_rows",
+            *[
+                F.col(n) if n in missing else F.lit(0).cast("bigint").alias(n)
+                for n in (f"null_{c}" for c in PROFILE_COLUMNS)
+            ],
         )
 
     return _stack(profile(t, own) for t, own in keys.items())

@@ -14,8 +14,9 @@ TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "4g")
+def spark(tmp_path_factory):
+    warehouse = str(tmp_path_factory.mktemp("warehouse"))
+    session = local_session(8, "4g", spark__sql__warehouse__dir=warehouse)
     yield session
     session.stop()
 
