@@ -1,0 +1,245 @@
+"""What the plans look like: pushdown, pruning, early aggregation, no single-task sort."""
+
+from __future__ import annotations
+
+import contextlib
+import io
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import tallymart as tm
+from tallymart import Marketplace, Period
+from tallymart.operators import products, ranking, sellers
+from tests.small import SCHEMAS
+
+YEAR = Period.of("2020-01-01", "2020-12-31")
+
+
+def plan(df, mode="formatted") -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode)
+    return text.getvalue()
+
+
+@contextlib.contextmanager
+def conf(spark, **settings):
+    names = {k.replace("__", "."): v for k, v in settings.items()}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name in names:
+            spark.conf.unset(name)
+
+
+NO_BROADCAST = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+}
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """Canonical Parquet tables in which one order, account, person, product and seller are hot."""
+    root = tmp_path_factory.mktemp("canonical")
+
+    def hot(name, expression):
+        return f"case when id % 3 = 0 then '{name}' else {expression} end"
+
+    number = "cast(id as string)"
+    bought = "timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(cast(id % 700 as int), 3)"
+    build = {
+        "orders": (
+            20_000,
+            [
+                f"{number} as order_id",
+                hot("hot", "cast(id % 5000 as string)") + " as customer_id",
+                "if(id % 7 = 0, 'canceled', 'delivered') as order_status",
+                f"{bought} as order_purchase_timestamp",
+                f"{bought} + make_dt_interval(cast(id % 30 as int)) as order_delivered_customer_date",
+                f"{bought} + make_dt_interval(15) as order_estimated_delivery_date",
+                "repeat('x', 50) as unused",
+            ],
+        ),
+        "order_items": (
+            60_000,
+            [
+                hot("hot", "cast(id % 20000 as string)") + " as order_id",
+                hot("hot", "cast(id % 3000 as string)") + " as product_id",
+                "case when id % 5 < 2 then 'hot' else cast(id % 900 as string) end as seller_id",
+                "cast(id % 900 as decimal(12,2)) as price",
+                "repeat('y', 50) as unused",
+            ],
+        ),
+        "customers": (
+            6_000,
+            [
+                "if(id = 5999, 'hot', cast(id as string)) as customer_id",
+                hot("hot", "cast(id % 2000 as string)") + " as customer_unique_id",
+                "cast(id % 27 as string) as customer_state",
+            ],
+        ),
+        "products": (
+            3_001,
+            [
+                "if(id = 3000, 'hot', cast(id as string)) as product_id",
+                "cast(id % 9 as string) as product_category_name",
+            ],
+        ),
+        "sellers": (
+            901,
+            [
+                "if(id = 900, 'hot', cast(id as string)) as seller_id",
+                "cast(id % 27 as string) as seller_state",
+            ],
+        ),
+        "order_reviews": (
+            20_000,
+            [
+                f"{number} as review_id",
+                hot("hot", "cast(id % 20000 as string)") + " as order_id",
+                "cast(id % 5 + 1 as int) as review_score",
+            ],
+        ),
+    }
+    for name, (rows, columns) in build.items():
+        spark.range(0, rows, 1, 8).selectExpr(*columns).write.parquet(f"{root}/{name}")
+    orders = spark.read.parquet(f"{root}/orders")
+    orders.limit(1).withColumn("order_id", F.lit("hot")).write.mode("append").parquet(
+        f"{root}/orders"
+    )
+    for name in set(SCHEMAS) - set(build):
+        spark.range(10).selectExpr(f"{number} as k").write.parquet(f"{root}/{name}")
+    return str(root)
+
+
+@pytest.fixture
+def market(spark, folder):
+    return Marketplace.from_folder(spark, folder)
+
+
+def test_date_bounds_reach_the_reader(market):
+    for df in (
+        tm.orders_over_time(market, YEAR),
+        tm.delivery_by_state(market, YEAR),
+        tm.seller_metrics(market, YEAR),
+        tm.product_revenue(market, YEAR),
+        tm.first_purchase(market, YEAR),
+        tm.cohort_retention(market, Period.of(start="2020-01-01")),
+    ):
+        assert re.search(
+            r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(order_purchase_timestamp,2020-01-01T00:00",
+            plan(df),
+        )
+
+
+def test_only_used_columns_are_read(market):
+    text = plan(tm.orders_over_time(market))
+    schemas = re.findall(r"ReadSchema: struct<([^>]*)>", text)
+    assert sorted(schemas) == [
+        "order_id:string,order_status:string,order_purchase_timestamp:timestamp_ntz",
+        "order_id:string,price:decimal(12,2)",
+    ]
+    assert "unused" not in text
+
+
+def test_rows_are_combined_before_the_first_shuffle(spark, market):
+    """Item and order rows pass a partial aggregate below every exchange."""
+    with conf(spark, **NO_BROADCAST):
+        for df in (
+            tm.seller_metrics(market, YEAR),
+            products._revenue(market, YEAR),
+            tm.orders_over_time(market),
+            tm.delivery_by_state(market),
+            tm.cohort_retention(market),
+            tm.first_purchase(market),
+            tm.orphan_keys(market),
+            tm.duplicate_keys(market),
+        ):
+            text = plan(df, "simple")
+            lines = [line.lstrip(" :+-*()0123456789") for line in text.splitlines()]
+            for upper, lower in zip(lines, lines[1:]):
+                if upper.startswith("Exchange hashpartitioning"):
+                    assert re.match(r"(Object)?HashAggregate", lower), text
+
+
+def test_no_cross_or_nested_loop_joins(spark, market):
+    with conf(spark, **NO_BROADCAST):
+        for df in (
+            tm.seller_scorecard(market),
+            tm.abc_classification(market),
+            tm.date_gaps(market),
+            tm.orphan_keys(market),
+            tm.run_validation(market),
+        ):
+            text = plan(df)
+            assert "CartesianProduct" not in text
+            assert "NestedLoop" not in text
+
+
+def test_orphans_use_an_anti_join(market):
+    assert plan(tm.orphan_keys(market)).count("Join type: LeftAnti") == 4
+
+
+def test_ranks_never_gather_all_rows(spark, market):
+    stored = ranking.materialise(tm.seller_metrics(market))
+    assert "SinglePartition" not in plan(ranking.global_rank(stored, sellers.SCORECARD_RANKS))
+
+
+def test_running_share_gathers_piece_sums_only(spark, market):
+    text = plan(products.product_classes(market), "simple")
+    single = re.findall(r"SinglePartition.*\n\s*[-+:* ()\d]*(.*)", text)
+    # One row per piece: the sums, already aggregated.
+    assert all(line.startswith("HashAggregate(keys=[_piece") for line in single)
+
+
+SPLIT_EARLY = {
+    **NO_BROADCAST,
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20k",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2.0",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10k",
+    "spark__sql__adaptive__coalescePartitions__enabled": "false",
+}
+
+
+def test_row_level_joins_split_hot_keys(spark, market):
+    """Joins that return a row per order or item meet as plain shuffles, which may be split."""
+    with conf(spark, **SPLIT_EARLY):
+        for df in (tm.delivery_times(market), tm.seller_base(market), tm.days_since_first(market)):
+            df.collect()
+            assert "skew=true" in plan(df, "simple")
+
+
+def test_hot_keys_give_the_same_sums_as_plain_joins(spark, market):
+    orders, items = market.table("orders"), market.table("order_items")
+    plain = (
+        items.join(orders, "order_id")
+        .join(market.table("sellers"), "seller_id")
+        .groupBy("seller_id")
+        .agg(F.sum("price").cast("double"), F.count(F.lit(1)))
+    )
+    with conf(spark, **SPLIT_EARLY):
+        assert sorted(map(tuple, tm.seller_revenue(market).collect())) == sorted(
+            map(tuple, plain.collect())
+        )
+        scores = (
+            items.join(market.table("order_reviews"), "order_id")
+            .groupBy("seller_id")
+            .agg((F.sum("review_score") / F.count("review_score")).alias("m"))
+        )
+        found = {r[0]: r[1] for r in tm.seller_reviews(market).collect()}
+        assert found == {r[0]: r[1] for r in scores.collect()}
+        days = tm.days_since_first(market)
+        by_person = days.groupBy("customer_unique_id").agg(
+            *[
+                F.max(((F.col("days_since_first") > 0) & (F.col("days_since_first") <= n)).cast("int"))
+                for n in (30, 60, 90)
+            ]
+        )
+        assert sorted(map(tuple, tm.retention_flags(market).collect())) == sorted(
+            map(tuple, by_person.collect())
+        )
