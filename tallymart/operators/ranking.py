@@ -10,11 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
 
 from tallymart.functions.numeric import round_away
 from tallymart.sources.scratch import materialise
@@ -55,7 +54,8 @@ def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFra
     numbers per rank, come to the driver.
     """
     cut_points = _cut_points(df, [column for column, _, _ in ranks])
-    pieces = [_piece(F.col(c), d, cut_points[c]) for c, d, _ in ranks]
+    kinds = dict(df.dtypes)
+    pieces = [_piece(F.col(c), d, cut_points[c], kinds[c]) for c, d, _ in ranks]
     ahead = _rows_ahead(df, pieces, [2 * len(cut_points[c]) + 3 for c, _, _ in ranks])
     piece_names = [f"_piece_{name}" for _, _, name in ranks]
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(TIE_GROUPS))
@@ -69,7 +69,7 @@ def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFra
         # Odd pieces hold one value only, so their rows may be dealt out freely.
         group = F.when(F.col(p) % 2 == 1, F.col("_spread"))
         window = Window.partitionBy(p, group).orderBy(_ordering(column, direction))
-        before = F.get(F.lit(rows), F.col(p))
+        before = F.get(_constants(rows, "bigint"), F.col(p))
         columns.append((before + F.rank().over(window)).cast("bigint").alias(name))
     return placed.select(*df.columns, *columns)
 
@@ -159,26 +159,21 @@ def _ordering(column: str, direction: str) -> Column:
     raise ValueError(f"direction must be asc or desc, got {direction!r}")
 
 
-def _cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, Sequence]:
+def _cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
     """Approximate quantiles of each column: at most CUTS numbers per column.
 
     They only steer how evenly rows spread. A value shared by more than
     roughly 2/CUTS of the rows is always one of them.
     """
-    quantiles = F.lit(np.arange(1, CUTS) / CUTS)
+    quantiles = _constants([i / CUTS for i in range(1, CUTS)], "double")
     wanted = list(dict.fromkeys(columns))
     found = df.select(
         *[F.percentile_approx(c, quantiles, ACCURACY).alias(c) for c in wanted]
     ).head()
-    distinct = {c: sorted(set(found[c] or [])) for c in wanted}
-    # A numpy array becomes one literal instead of one per number.
-    return {
-        c: np.array(v) if isinstance(df.schema[c].dataType, DoubleType) else v
-        for c, v in distinct.items()
-    }
+    return {c: sorted(set(found[c] or [])) for c in wanted}
 
 
-def _piece(value: Column, direction: str, cut_points: Sequence) -> Column:
+def _piece(value: Column, direction: str, cut_points: Sequence, kind: str) -> Column:
     """Position of a value among the cut points, in rank order.
 
     Odd numbers are the cut values themselves, even numbers the open ranges
@@ -187,7 +182,7 @@ def _piece(value: Column, direction: str, cut_points: Sequence) -> Column:
     last = F.lit(2 * len(cut_points) + 2)
     if len(cut_points) == 0:
         return F.when(value.isNull(), last).otherwise(F.lit(0))
-    points = F.lit(cut_points)
+    points = _constants(cut_points, kind)
     if direction == "desc":
         passed = F.size(F.filter(points, lambda p: p > value))
     else:
@@ -198,7 +193,7 @@ def _piece(value: Column, direction: str, cut_points: Sequence) -> Column:
 
 def _rows_ahead(
     df: DataFrame, pieces: Sequence[Column], piece_counts: Sequence[int]
-) -> list[np.ndarray]:
+) -> list[list[int]]:
     """Rows ahead of each piece, for all ranks in one pass over ``df``."""
     tagged = F.array(
         *[
@@ -206,8 +201,13 @@ def _rows_ahead(
             for number, piece in enumerate(pieces)
         ]
     )
-    sizes = [np.zeros(n, dtype="int64") for n in piece_counts]
+    sizes = [[0] * n for n in piece_counts]
     counted = df.select(F.explode(tagged).alias("p")).groupBy("p.rank", "p.piece").count()
     for rank, piece, rows in counted.collect():
         sizes[rank][piece] = rows
-    return [np.concatenate(([0], np.cumsum(n)[:-1])) for n in sizes]
+    return [list(accumulate(n[:-1], initial=0)) for n in sizes]
+
+
+def _constants(values: Sequence, kind: str) -> Column:
+    """A constant array, sent as one text that the optimizer folds into a literal."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")

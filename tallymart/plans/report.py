@@ -91,17 +91,19 @@ def retention_metrics(retention: DataFrame, windows: Sequence[int] = WINDOWS) ->
             for n in windows
         ]
     )
-    return rates.select(F.explode(tiles).alias("tile")).select("tile.*")
+    return rates.select(F.inline(tiles))
 
 
 def key_findings(scorecard: DataFrame, classes: DataFrame, retention: DataFrame) -> DataFrame:
     """Four topics with one sentence each, filled from the results."""
-    sellers = scorecard.agg(count_text(F.count(F.lit(1))).alias("n"))
+    sellers = F.format_string(FINDING_SELLERS, count_text(F.count(F.lit(1))))
+    leading = F.array(
+        F.struct(*_finding("Seller Scorecard", F.col("sellers"))),
+        F.struct(*_finding("Delivery Analysis", F.lit(FINDING_DELIVERY))),
+    )
     rate = _at_most_one(retention, ["retention_90_pct"])
     lines = [
-        sellers.select(*_finding("Seller Scorecard", F.format_string(FINDING_SELLERS, "n"))),
-        # Fixed text; attached to a result so that it appears once per report.
-        sellers.select(*_finding("Delivery Analysis", F.lit(FINDING_DELIVERY))),
+        scorecard.agg(sellers.alias("sellers")).select(F.inline(leading)),
         _class_figures(classes, "A").select(
             *_finding("ABC Classification", F.format_string(FINDING_CLASSES, "A_count", "A_share"))
         ),

@@ -28,6 +28,8 @@ def local_session(cpus: int | str = "*", memory: str = "8g", **settings: str) ->
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
+        # Recording the Python line of every column doubles the cost of building a plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key.replace("__", "."), value)

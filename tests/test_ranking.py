@@ -63,7 +63,7 @@ def test_rank_spreads_a_hot_value(spark):
     cuts = ranking._cut_points(df, ["v"])["v"]
     assert 500.0 in cuts
     # No window group holds much more than a fair share of the rows.
-    piece = ranking._piece(F.col("v"), "desc", cuts)
+    piece = ranking._piece(F.col("v"), "desc", cuts, "double")
     spread = F.pmod(F.xxhash64("v", "id"), F.lit(ranking.TIE_GROUPS))
     groups = df.groupBy(piece.alias("p"), F.when(piece % 2 == 1, spread).alias("g")).count()
     assert groups.agg(F.max("count")).head()[0] < 30_000 / ranking.CUTS * 2

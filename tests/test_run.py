@@ -9,6 +9,7 @@ import pytest
 import tallymart as tm
 from catalogue.star import star_market
 from tallymart import Marketplace, MissingTable, Settings
+from tallymart.__main__ import main
 from tallymart.plans import report
 from tallymart.sources import scratch
 from tests.small import SCHEMAS, item, market, order, rows
@@ -197,3 +198,24 @@ def test_run_on_empty_tables(spark, tmp_path):
         "Customer Retention": "Only N/A of customers return within 90 days",
     }
     assert set(SCHEMAS) == set(tm.sources.schema.EXPECTED_TABLES)
+
+
+def test_job_arguments_and_exit_codes(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    assert main(["--folder", source, "--out", out], spark) == 1
+    m = market(
+        spark,
+        orders=[order("a", bought="2020-01-01"), order("b", bought="2021-01-01")],
+        order_items=[item("a"), item("b", seller="s2")],
+        sellers=[("s1", "SP"), ("s2", "RJ")],
+    )
+    for name in SCHEMAS:
+        table = m.table(name)
+        table.drop("price_cents").write.parquet(f"{source}/{name}")
+    assert main(["--folder", source, "--out", out, "--start-date", "20200101"], spark) == 1
+    arguments = ["--start-date", "2020-01-01", "--end-date", "2021-12-31", "--seller-state", "RJ"]
+    assert main(["--folder", source, "--out", out, *arguments], spark) == 0
+    detail = spark.read.parquet(f"{out}/detail.parquet")
+    assert rows(detail, "seller_id", "total_revenue") == [("s2", 1.0)]
+    with pytest.raises(SystemExit):
+        main(["--out", out], spark)
