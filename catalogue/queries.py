@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -13,7 +14,8 @@ import tallymart as tm
 from catalogue import oracle as sql
 from catalogue import perturbed
 from catalogue.star import star_market
-from tallymart.plans import report
+from tallymart.plans import publish, report
+from tallymart.sources.scratch import scratch_root
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,33 @@ class Entry:
         return self.build(star_market(spark, folder))
 
 
+def _out(market: tm.Marketplace) -> str:
+    return f"{scratch_root(market.spark)}/tallymart/out-{uuid.uuid4().hex}"
+
+
+def _written_detail(market: tm.Marketplace) -> DataFrame:
+    path = publish.write_detail(tm.seller_scorecard(market, YEAR, STATE), _out(market))
+    return market.spark.read.parquet(path)
+
+
+def _written_summary(market: tm.Marketplace) -> DataFrame:
+    classes = tm.abc_classification(market, YEAR)
+    path = publish.write_summary(classes, _out(market))
+    return market.spark.read.schema(classes.schema).option("header", True).csv(path)
+
+
+def _written_chart(market: tm.Marketplace) -> DataFrame:
+    top = report.top_delayed_states(tm.delivery_by_state(market))
+    path = publish.write_chart_data(top, _out(market))
+    return market.spark.read.schema(top.schema).json(path)
+
+
+def _written_sheet(market: tm.Marketplace) -> DataFrame:
+    sheet = report.orders_over_time_sheet(tm.orders_over_time(market, YEAR))
+    path = publish.write_sheets({"orders_over_time": sheet}, _out(market))["orders_over_time"]
+    return market.spark.read.parquet(path)
+
+
 def _findings(market: tm.Marketplace) -> DataFrame:
     return report.key_findings(
         tm.seller_scorecard(market), tm.abc_classification(market), tm.cohort_retention(market)
@@ -280,6 +309,11 @@ def _entries() -> dict[str, Entry]:
         "abc_insight": Entry(
             lambda m: report.abc_insight(tm.abc_classification(m)), sql.products(sql.INSIGHT)
         ),
+        # Output files, read back
+        "write_detail": Entry(_written_detail, sql.sellers(card, IN_YEAR, STATE)),
+        "write_summary": Entry(_written_summary, sql.products(classes, IN_YEAR)),
+        "write_chart_data": Entry(_written_chart, sql.delivery(sql.TOP_STATES)),
+        "write_sheets": Entry(_written_sheet, sql.trend(sql.MONTH_SHEET, IN_YEAR)),
     }
 
 

@@ -46,7 +46,7 @@ def composite_rank(
 
 
 def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFrame:
-    """``RANK()`` over the whole frame, for each ``(column, direction, name)``.
+    """``RANK()`` over the whole frame, for each ``(numeric column, direction, name)``.
 
     ``df`` is read once for the cut points, once for the piece sizes and once
     for the ranks, so pass a stored table when it is costly to compute. Only

@@ -20,13 +20,19 @@ class MissingTable(LookupError):
     """A table the analysis needs is not in the source."""
 
 
+Loader = Callable[[], DataFrame | None]
+
+
 class Marketplace:
-    """Read-only access to the marketplace tables."""
+    """Read-only access to the marketplace tables.
 
-    def __init__(self, spark: SparkSession, loaders: Mapping[str, Callable[[], DataFrame]]):
+    A loader returns the table, or ``None`` when the source does not have it.
+    """
+
+    def __init__(self, spark: SparkSession, loaders: Mapping[str, Loader]):
         self.spark = spark
         self._loaders = dict(loaders)
-        self._frames: dict[str, DataFrame] = {}
+        self._frames: dict[str, DataFrame | None] = {}
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Marketplace:
@@ -38,23 +44,29 @@ class Marketplace:
         """One Parquet dataset per table: ``<root>/<table>`` or ``<root>/<table>.parquet``.
 
         Raises ``FileNotFoundError`` when the folder holds none of the tables.
+        The files of a table are listed only when it is used.
         """
-        frames = {}
-        for name in EXPECTED_TABLES:
-            df = _read_if_present(spark, (f"{root}/{name}", f"{root}/{name}.parquet"))
-            if df is not None:
-                frames[name] = df
-        if not frames:
+
+        def loader(name: str) -> Loader:
+            paths = (f"{root}/{name}", f"{root}/{name}.parquet")
+            return lambda: _read_if_present(spark, paths)
+
+        market = cls(spark, {name: loader(name) for name in EXPECTED_TABLES})
+        if not any(market.has(name) for name in EXPECTED_TABLES):
             raise FileNotFoundError(f"no marketplace tables found under {root}")
-        return cls.from_frames(spark, frames)
+        return market
 
     @classmethod
     def from_database(cls, spark: SparkSession, database: str) -> Marketplace:
         """Tables of a catalog database (Hive, Iceberg, Delta and so on)."""
         if not spark.catalog.databaseExists(database):
             raise FileNotFoundError(f"database not found: {database}")
-        present = [t for t in EXPECTED_TABLES if spark.catalog.tableExists(f"{database}.{t}")]
-        return cls(spark, {t: (lambda t=t: spark.table(f"{database}.{t}")) for t in present})
+
+        def loader(name: str) -> Loader:
+            full = f"{database}.{name}"
+            return lambda: spark.table(full) if spark.catalog.tableExists(full) else None
+
+        return cls(spark, {name: loader(name) for name in EXPECTED_TABLES})
 
     def replace(self, **frames: DataFrame) -> Marketplace:
         """Same source with some tables swapped."""
@@ -68,13 +80,18 @@ class Marketplace:
         )
 
     def has(self, name: str) -> bool:
-        return name in self._loaders
+        return self._find(name) is not None
 
     def table(self, name: str) -> DataFrame:
-        if name not in self._loaders:
+        df = self._find(name)
+        if df is None:
             raise MissingTable(f"table not found: {name}")
+        return df
+
+    def _find(self, name: str) -> DataFrame | None:
         if name not in self._frames:
-            self._frames[name] = conform(name, self._loaders[name]())
+            df = self._loaders[name]() if name in self._loaders else None
+            self._frames[name] = None if df is None else conform(name, df)
         return self._frames[name]
 
 
