@@ -50,13 +50,13 @@ def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFra
 
     ``df`` is read once for the cut points, once for the piece sizes and once
     for the ranks, so pass a stored table when it is costly to compute. Only
-    the cut points and the rows ahead of each piece, at most ``2 * CUTS + 2``
+    the cut points and the rows ahead of each piece, at most ``2 * CUTS``
     numbers per rank, come to the driver.
     """
     cut_points = _cut_points(df, [column for column, _, _ in ranks])
     kinds = dict(df.dtypes)
     pieces = [_piece(F.col(c), d, cut_points[c], kinds[c]) for c, d, _ in ranks]
-    ahead = _rows_ahead(df, pieces, [2 * len(cut_points[c]) + 3 for c, _, _ in ranks])
+    ahead = _rows_ahead(df, pieces, [2 * len(cut_points[c]) + 2 for c, _, _ in ranks])
     piece_names = [f"_piece_{name}" for _, _, name in ranks]
     spread = F.pmod(F.xxhash64(*df.columns), F.lit(TIE_GROUPS))
     placed = df.select(
@@ -66,7 +66,7 @@ def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFra
     )
     columns = []
     for (column, direction, name), p, rows in zip(ranks, piece_names, ahead):
-        # Odd pieces hold one value only, so their rows may be dealt out freely.
+        # Rows of an odd piece all tie, so they may be dealt out freely.
         group = F.when(F.col(p) % 2 == 1, F.col("_spread"))
         window = Window.partitionBy(p, group).orderBy(_ordering(column, direction))
         before = F.get(_constants(rows, "bigint"), F.col(p))
@@ -176,10 +176,10 @@ def _cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
 def _piece(value: Column, direction: str, cut_points: Sequence, kind: str) -> Column:
     """Position of a value among the cut points, in rank order.
 
-    Odd numbers are the cut values themselves, even numbers the open ranges
-    between them, and the largest even number holds the missing values.
+    Even numbers are the open ranges between cut points. Odd numbers hold rows
+    that tie: the cut values themselves and, last, the missing values.
     """
-    last = F.lit(2 * len(cut_points) + 2)
+    last = F.lit(2 * len(cut_points) + 1)
     if len(cut_points) == 0:
         return F.when(value.isNull(), last).otherwise(F.lit(0))
     points = _constants(cut_points, kind)
