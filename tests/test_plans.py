@@ -27,13 +27,14 @@ def plan(df, mode="formatted") -> str:
 @contextlib.contextmanager
 def conf(spark, **settings):
     names = {k.replace("__", "."): v for k, v in settings.items()}
+    before = {name: spark.conf.get(name, None) for name in names}
     for name, value in names.items():
         spark.conf.set(name, value)
     try:
         yield
     finally:
-        for name in names:
-            spark.conf.unset(name)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 NO_BROADCAST = {
@@ -243,3 +244,72 @@ def test_hot_keys_give_the_same_sums_as_plain_joins(spark, market):
         assert sorted(map(tuple, tm.retention_flags(market).collect())) == sorted(
             map(tuple, by_person.collect())
         )
+
+
+def _plain_products(market):
+    joined = market.table("order_items").join(market.table("orders"), "order_id")
+    listed = joined.join(market.table("products"), "product_id", "left")
+    return listed.groupBy("product_id", "product_category_name").agg(
+        F.sum("price").cast("double"), F.count(F.lit(1))
+    )
+
+
+def _plain_months(market):
+    joined = market.table("order_items").join(market.table("orders"), "order_id")
+    month = F.trunc(F.col("order_purchase_timestamp").cast("date"), "month")
+    return (
+        joined.filter("order_status <> 'canceled'")
+        .groupBy(month)
+        .agg(F.count(F.lit(1)), F.sum("price").cast("double"))
+    )
+
+
+def _plain_late(market):
+    late = F.when(F.col("actual_days") > F.col("estimated_days"), 1).otherwise(0)
+    return (
+        tm.delivery_times(market)
+        .groupBy("customer_state")
+        .agg(F.count(F.lit(1)), F.round(F.sum(late) * 100.0 / F.count(F.lit(1)), 1).cast("double"))
+    )
+
+
+@pytest.mark.parametrize(
+    ("found", "plain"),
+    [
+        (tm.product_revenue, _plain_products),
+        (tm.orders_over_time, _plain_months),
+        (
+            lambda m: tm.delivery_by_state(m).select("customer_state", "total_orders", "pct_late"),
+            _plain_late,
+        ),
+    ],
+)
+def test_hot_keys_give_the_same_groups_as_plain_joins(spark, market, found, plain):
+    with conf(spark, **SPLIT_EARLY):
+        got, expected = found(market).collect(), plain(market).collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(map(tuple, expected), key=repr)
+
+
+@pytest.mark.parametrize(
+    "session",
+    [
+        {"spark__sql__adaptive__enabled": "false", "spark__sql__shuffle__partitions": "40"},
+        {"spark__sql__shuffle__partitions": "1"},
+        {"spark__sql__session__timeZone": "America/Sao_Paulo"},
+    ],
+)
+def test_results_do_not_depend_on_session_settings(spark, market, session):
+    def results():
+        return [
+            sorted(map(tuple, df.collect()), key=repr)
+            for df in (
+                tm.seller_scorecard(market, YEAR),
+                tm.product_classes(market, YEAR),
+                tm.cohort_retention(market, YEAR),
+                tm.date_gaps(market),
+            )
+        ]
+
+    usual = results()
+    with conf(spark, **session):
+        assert results() == usual
