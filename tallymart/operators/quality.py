@@ -33,16 +33,16 @@ UNIQUE_KEYS = (
     ("customers", "customer_id"),
     ("products", "product_id"),
     ("sellers", "seller_id"),
-    ("reviews", "review_id"),
+    ("order_reviews", "review_id"),
 )
 
 
 def row_counts(market: Marketplace, tables: Sequence[str] = EXPECTED_TABLES) -> DataFrame:
     """Rows per table."""
     return _stack(
-        market.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(t).alias("table_name"), "row_count"
-        )
+        market.table(t)
+        .agg(F.count(F.lit(1)).alias("row_count"))
+        .select(F.lit(t).alias("table_name"), "row_count")
         for t in tables
     )
 
@@ -85,8 +85,10 @@ def orphan_keys(
     """
 
     def orphans(child: str, foreign: str, parent: str, primary: str) -> DataFrame:
-        held = market.table(child).groupBy(F.col(foreign).alias("key")).agg(
-            F.count(F.lit(1)).alias("n")
+        held = (
+            market.table(child)
+            .groupBy(F.col(foreign).alias("key"))
+            .agg(F.count(F.lit(1)).alias("n"))
         )
         known = market.table(parent).select(F.col(primary).alias("key")).distinct()
         return held.join(known, "key", "left_anti").agg(
@@ -119,10 +121,10 @@ def duplicate_keys(
     """
 
     def repeated(table: str, key: str) -> DataFrame:
-        source = market.table("order_reviews" if table == "reviews" else table)
-        return source.groupBy(key).count().filter("count > 1").agg(F.count(F.lit(1)).alias("n"))
+        counted = market.table(table).groupBy(key).count()
+        return counted.filter("count > 1").agg(F.count(F.lit(1)).alias("n"))
 
-    return _one_row({f"duplicate_{t}": repeated(t, k) for t, k in keys})
+    return _one_row({f"duplicate_{t.removeprefix('order_')}": repeated(t, k) for t, k in keys})
 
 
 def _order_days(market: Marketplace) -> DataFrame:
