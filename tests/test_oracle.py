@@ -8,9 +8,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as driver
+from catalogue import queries as catalogue
 
-QUERIES, CHECKS = driver.queries(), driver.oracle_sql()
+QUERIES, CHECKS = catalogue.queries(), catalogue.oracle_sql()
 
 
 @pytest.fixture(scope="module")
