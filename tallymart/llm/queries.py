@@ -7,6 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tallymart.llm.fingerprints import fingerprint_documents
+from tallymart.llm.merge_replay import decoded_digests, encode_documents
 from tallymart.llm.packing import pack
 from tallymart.llm.support import table
 from tallymart.llm.token_records import token_records
@@ -14,6 +16,7 @@ from tallymart.llm.token_records import token_records
 Query = Callable[[SparkSession, str], DataFrame]
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +27,21 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
 
+def op9_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
+    return decoded_digests(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
+
+
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_records": op1_token_records,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op9_merge_replay": op9_merge_replay,
+        "op10_fingerprints": op10_fingerprints,
     }
 
 
