@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tallymart.llm.support import binary_values, columns, materialise, ship, text_or_empty
 
 SIZE = 32
-LEVELS = (3, 4)
+LEVELS = (2, 3)
 TOSSES = 4
 DIGITS = 8  # hexadecimal digits of one value
 

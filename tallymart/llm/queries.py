@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallymart.llm.fingerprints import fingerprint_documents
+from tallymart.llm.language_id import identify
 from tallymart.llm.merge_replay import decoded_digests, encode_documents
 from tallymart.llm.packing import pack
 from tallymart.llm.support import table
@@ -27,6 +28,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op9_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return decoded_digests(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
@@ -40,6 +45,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_records": op1_token_records,
         "op4_best_fit_packing": op4_best_fit_packing,
+        "op5_language_id": op5_language_id,
         "op9_merge_replay": op9_merge_replay,
         "op10_fingerprints": op10_fingerprints,
     }
