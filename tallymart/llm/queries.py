@@ -11,6 +11,7 @@ from tallymart.llm.fingerprints import fingerprint_documents
 from tallymart.llm.language_id import identify
 from tallymart.llm.merge_replay import decoded_digests, encode_documents
 from tallymart.llm.packing import pack
+from tallymart.llm.secret_scan import scan_documents
 from tallymart.llm.support import table
 from tallymart.llm.token_records import token_records
 
@@ -24,6 +25,10 @@ def op1_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_records(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
@@ -44,6 +49,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_token_records": op1_token_records,
+        "op2_secret_scan": op2_secret_scan,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
         "op9_merge_replay": op9_merge_replay,
