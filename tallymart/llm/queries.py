@@ -12,6 +12,7 @@ from tallymart.llm.language_id import identify
 from tallymart.llm.merge_replay import decoded_digests, encode_documents
 from tallymart.llm.packing import pack
 from tallymart.llm.secret_scan import scan_documents
+from tallymart.llm.shingle_join import link_documents
 from tallymart.llm.support import table
 from tallymart.llm.token_records import token_records
 
@@ -37,6 +38,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(table(spark, sf_dir, "documents"))
+
+
 def op9_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return decoded_digests(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
@@ -52,6 +57,7 @@ def queries() -> dict[str, Query]:
         "op2_secret_scan": op2_secret_scan,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
+        "op6_shingle_join": op6_shingle_join,
         "op9_merge_replay": op9_merge_replay,
         "op10_fingerprints": op10_fingerprints,
     }
