@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallymart.llm.chat_format import conversation_digests, format_conversations
 from tallymart.llm.fingerprints import fingerprint_documents
 from tallymart.llm.language_id import identify
 from tallymart.llm.merge_replay import decoded_digests, encode_documents
@@ -15,6 +17,7 @@ from tallymart.llm.secret_scan import scan_documents
 from tallymart.llm.shingle_join import link_documents
 from tallymart.llm.support import table
 from tallymart.llm.token_records import token_records
+from tallymart.llm.warc_io import archive_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -42,6 +45,22 @@ def op6_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # A conversation whose texts imitate the marks of a template.
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    return conversation_digests(format_conversations(conversations.unionByName(tricky)))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op9_merge_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(table(spark, sf_dir, "documents"), BYTE_RANKS, public_tokenizers.PATTERN)
     return decoded_digests(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
@@ -58,6 +77,8 @@ def queries() -> dict[str, Query]:
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
         "op6_shingle_join": op6_shingle_join,
+        "op7_chat_format": op7_chat_format,
+        "op8_warc": op8_warc,
         "op9_merge_replay": op9_merge_replay,
         "op10_fingerprints": op10_fingerprints,
     }

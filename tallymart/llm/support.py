@@ -12,7 +12,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.sources.scratch import materialise, scratch_root
+from tallymart.sources import scratch
+from tallymart.sources.scratch import scratch_root
 
 __all__ = [
     "binary_values",
@@ -26,6 +27,18 @@ __all__ = [
     "text_or_empty",
 ]
 
+
+def materialise(df: DataFrame) -> DataFrame:
+    """A stored copy in the shared folder; Zstandard keeps it small."""
+    spark = df.sparkSession
+    before = spark.conf.get("spark.sql.parquet.compression.codec")
+    spark.conf.set("spark.sql.parquet.compression.codec", "zstd")
+    try:
+        return scratch.materialise(df)
+    finally:
+        spark.conf.set("spark.sql.parquet.compression.codec", before)
+
+
 _shipped: set[str] = set()
 
 
