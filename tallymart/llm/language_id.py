@@ -197,30 +197,47 @@ def has_letter(text: str) -> bool:
 _scorers: dict[str, Scorer] = {}
 
 
-def _predict(batches: Iterator[pa.RecordBatch], model: Model, key: str) -> Iterator[pa.RecordBatch]:
-    if model.languages and key not in _scorers:
+def _scorer(model: Model, key: str) -> Scorer:
+    if key not in _scorers:
         _scorers.clear()
         _scorers[key] = Scorer(model)
+    return _scorers[key]
+
+
+def _judge(texts: pa.Array, model: Model, key: str) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Language, score and bits per byte of each text."""
+    size = np.diff(binary_values(texts)[1])
+    if not model.languages:
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    bits = _scorer(model, key).code_lengths(*binary_values(texts))
+    best = bits.argmin(axis=1)
+    shortest = bits[np.arange(len(bits)), best]
+    score = 1 / np.exp2(np.maximum(shortest[:, None] - bits, -1000)).sum(axis=1)
+    spoken = np.fromiter(map(has_letter, texts.to_pylist()), bool, len(texts))
+    names = [model.languages[i] if known else UNDETERMINED for i, known in zip(best, spoken, strict=True)]
+    return names, np.where(spoken, score, 0.0), shortest / np.maximum(size, 1)
+
+
+def _predict(batches: Iterator[pa.RecordBatch], model: Model, key: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch["text"]
-        if model.languages:
-            bits = _scorers[key].code_lengths(*binary_values(texts))
-            best = bits.argmin(axis=1)
-            shortest = bits[np.arange(len(bits)), best]
-            score = 1 / np.exp2(np.maximum(shortest[:, None] - bits, -1000)).sum(axis=1)
-            names = [model.languages[i] for i in best]
-        else:
-            shortest, score, names = np.zeros(len(texts)), np.zeros(len(texts)), [UNDETERMINED] * len(texts)
-        spoken = np.fromiter(map(has_letter, texts.to_pylist()), bool, len(texts)) & bool(model.languages)
-        names = [name if known else UNDETERMINED for name, known in zip(names, spoken, strict=True)]
-        size = np.diff(binary_values(texts)[1])
-        arrays = [pa.array(names), pa.array(np.where(spoken, score, 0.0)), pa.array(shortest / np.maximum(size, 1))]
+        names, score, bits = _judge(batch["text"], model, key)
         kept = [name for name in batch.schema.names if name != "text"]
+        arrays = [pa.array(names, pa.string()), pa.array(score), pa.array(bits)]
         yield pa.RecordBatch.from_arrays(
             [batch[name] for name in kept] + arrays, [*kept, "lang_pred", "score", "bits_per_byte"]
         )
 
 
+def _accept(
+    batches: Iterator[pa.RecordBatch], model: Model, key: str, least_score: float, most_bits: float
+) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch["text"].fill_null("").cast(pa.string())
+        names, score, bits = _judge(texts, model, key)
+        known = np.array([name != UNDETERMINED for name in names], bool)
+        yield batch.filter(pa.array(known & (score >= least_score) & (bits <= most_bits), pa.bool_()))
+
+
 def predict(docs: DataFrame, model: Model, row: str = "doc_id") -> DataFrame:
     """Per document: the column ``row``, lang_pred, score and bits_per_byte, from the whole text.
 
@@ -240,6 +257,19 @@ def predict(docs: DataFrame, model: Model, row: str = "doc_id") -> DataFrame:
     )
 
 
+def accept(docs: DataFrame, model: Model, least_score: float = 0.5, most_bits: float = 8.0) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language of the model, with all their columns.
+
+    Rejected are texts that are null, or have no letter, whose best language
+    has a score below ``least_score``, or takes more than ``most_bits`` a byte:
+    at 8 the model tells no more about the text than the plain bytes do.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    shared, key = spark.sparkContext.broadcast(model), model.key()
+    return docs.mapInArrow(lambda batches: _accept(batches, shared.value, key, least_score, most_bits), docs.schema)
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the labelled documents that are not held out, and predict the language of every document."""
     model = fit(docs.filter(~held_out()))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.llm.chat_format import conversation_digests, format_conversations
+from tallymart.llm.exact_topk import top_k
 from tallymart.llm.fingerprints import fingerprint_documents
 from tallymart.llm.language_id import identify
 from tallymart.llm.merge_replay import decoded_digests, encode_documents
@@ -33,6 +34,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), BYTE_BPE, end_id=0, capacity=2048)
 
@@ -74,6 +79,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_token_records": op1_token_records,
         "op2_secret_scan": op2_secret_scan,
+        "op3_exact_topk": op3_exact_topk,
         "op4_best_fit_packing": op4_best_fit_packing,
         "op5_language_id": op5_language_id,
         "op6_shingle_join": op6_shingle_join,
@@ -84,6 +90,25 @@ def queries() -> dict[str, Query]:
     }
 
 
+OP3_SQL = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM whole q JOIN whole c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id, score
+FROM scored
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express."""
-    return {}
+    return {"op3_exact_topk": OP3_SQL}

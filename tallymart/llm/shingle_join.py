@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from tallymart.llm.components import connected
 from tallymart.llm.fingerprints import scramble
@@ -518,7 +519,7 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
-    """Per document: n_shingles (size of its set), component_id and class_id.
+    """Per document: n_shingles (size of its set), component_id, class_id and component_class.
 
     Words are runs of characters other than ASCII white space, with A to Z in
     lower case; a set holds all runs of five words, or the whole sequence if a
@@ -529,6 +530,9 @@ def link_documents(docs: DataFrame) -> DataFrame:
     never the smallest unless its component has no other. Columns other than
     doc_id and text are ignored.
 
+    ``class_id`` names the document's set and ``component_class`` its component
+    (by the smallest class in it), also where ids repeat.
+
     Sets and classes are compared by 64-bit values of their shingles. Runs
     several jobs while it is built, each of which stores its result.
     """
@@ -538,10 +542,45 @@ def link_documents(docs: DataFrame) -> DataFrame:
     part_of = component.select(F.col("node").alias("cls"), "component")
     classes = classes.join(part_of, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = classes.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = classes.join(smallest, "component").select("cls", "component_id")
+    named = classes.join(smallest, "component").select("cls", "component", "component_id")
     return rows.join(named, "cls", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.col("cls").alias("class_id"),
+        F.col("component").alias("component_class"),
+    )
+
+
+def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        narrow = batch.select(["doc_id", "text"])
+        classes = [class_of(tokens) if len(tokens) else None for _, tokens in _sets_of(iter([narrow]))]
+        yield batch.append_column(CLASS, pa.array(classes, pa.int64()))
+
+
+CLASS = "shingle_class"
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Of each component of linked documents one row, that of the smallest doc_id, with all columns of ``docs``.
+
+    Rows without shingles are linked with nothing, and all stay. Of several rows
+    with that id and set, one stays.
+    """
+    names = docs.columns
+    linked = link_documents(docs).filter("class_id is not null")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "class_id")).alias("first")
+    kept = linked.groupBy("component_class").agg(first).select(
+        F.col("first.class_id").alias("kept_class"), F.col("first.doc_id").alias("kept_id")
+    )
+    classed = docs.mapInArrow(_classed, StructType([*docs.schema.fields, StructField(CLASS, LongType())]))
+    filled = classed.filter(F.col(CLASS).isNotNull())
+    chosen = filled.join(
+        kept, (filled[CLASS] == kept["kept_class"]) & filled["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi"
     )
+    # Copies of the chosen row agree in class; partial sums keep one of each task's.
+    others = [name for name in names if name != "doc_id"]
+    single = chosen.groupBy(CLASS, "doc_id").agg(F.first(F.struct(*others)).alias("row"))
+    single = single.select(*[F.col("doc_id") if name == "doc_id" else F.col(f"row.{name}") for name in names])
+    return single.unionByName(classed.filter(F.col(CLASS).isNull()).select(*names))
