@@ -29,8 +29,10 @@ SPACE = r"[^\S\x1c-\x1f]"
 CHUNK = re.compile(rf"{SPACE}*[^\W_]+|{SPACE}*(?:[^\w\s]|[_\x1c-\x1f])+[^\W_]*|{SPACE}+")
 
 # What one Python worker remembers; beyond these numbers a memory starts anew.
-CHUNKS_REMEMBERED = 4_000_000
-PIECES_REMEMBERED = 4_000_000
+CHUNKS_REMEMBERED = 2_000_000
+PIECES_REMEMBERED = 2_000_000
+# Bytes of text worked on at a time; a longer text is worked on alone.
+BYTES_AT_ONCE = 6 << 20
 
 
 class _Store:
@@ -106,13 +108,24 @@ class ChunkEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and where each text's ids begin (and the last end)."""
-        if len(texts) == 0:
-            return np.zeros(0, np.int32), np.zeros(1, np.int64)
+        texts = texts.cast(pa.large_string())
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        found, bounds, at = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+        while at < len(texts):
+            limit = (sizes[at - 1] if at else 0) + BYTES_AT_ONCE
+            after = max(at + 1, int(np.searchsorted(sizes, limit, "right")))
+            ids, ends = self._some(texts.slice(at, after - at))
+            found.append(ids)
+            bounds.append(ends[1:] + bounds[-1][-1])
+            at = after
+            pa.default_memory_pool().release_unused()
+        return np.concatenate(found), np.concatenate(bounds)
+
+    def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self._chunks) > self._limits[0]:
             self._chunks = _Store()
         if len(self._pieces) > self._limits[1]:
             self._pieces = _Store()
-        texts = texts.cast(pa.large_string())
         words = pc.split_pattern(texts, " ")
         ends = np.asarray(words.offsets).astype(np.int64)
         distinct, index = _each(words.flatten())
