@@ -10,8 +10,8 @@ Equal sets become one class first. Which sets are small is chosen by cost.
   common. Rarity comes from a sketch of the frequencies of all shingles.
 
 Lists of up to ``SHORT_LIST`` classes give candidate pairs directly. In longer
-lists, each class first meets a pivot of its list; what links becomes one
-component, and after ``ROUNDS`` such rounds only pairs from different components
+lists, each class first meets a pivot of each of its lists; what links becomes
+one component, and after ``ROUNDS`` such rounds only pairs from different components
 still meet. So a large group of near copies costs a few pairs a member, and no
 link between components is lost. Candidates pass a bound from parity sketches,
 then the sets themselves are intersected.
@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -48,7 +49,7 @@ FILTER_BITS = 1 << 25
 RARE = 16  # classes in a list before its shingle counts as frequent
 SHORT_LIST = 32
 ROUNDS = 2
-PARITY_BYTES = 256
+PARITY_BYTES = 128
 # A posting of a large set costs about this many subsets of a small one: it is sorted, listed and verified.
 POSTING_COST = 8
 SMALLEST_LARGE, LARGEST_SMALL = 2, 16
@@ -325,9 +326,12 @@ def may_link(size_a, place_a, size_b, place_b):
     return rest >= least_overlap(size_a, size_b)
 
 
+def _need() -> Column:
+    return F.floor(((F.col("n") + F.col("other_n")) * SAME + SAME + ALL - 1) / F.lit(SAME + ALL))
+
+
 def _may_link() -> Column:
-    need = F.ceil((F.col("n") + F.col("other_n")) * SAME / F.lit(float(SAME + ALL)) - 1e-9)
-    return F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) + 1 >= need
+    return F.least(F.col("n") - F.col("place"), F.col("other_n") - F.col("other_place")) + 1 >= _need()
 
 
 _FOUND = "kind int, x long, y long, n long, place long"
@@ -380,18 +384,29 @@ def _filter_place(classes: np.ndarray) -> np.ndarray:
     return (scramble(classes.view(np.uint64)) >> np.uint64(64 - 25)).astype(np.int64)
 
 
-def parity_sketch(tokens: np.ndarray) -> bytes:
+PARITY = [f"parity{i}" for i in range(PARITY_BYTES // 8)]
+FOLDED = [f"folded{i}" for i in range(8)]
+
+
+def parity_sketch(tokens: np.ndarray) -> list[int]:
     """For each bit, whether an odd number of shingles falls on it."""
     bits = 8 * PARITY_BYTES
     odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
-    return np.packbits(odd.astype(bool)).tobytes()
+    return np.packbits(odd.astype(bool)).view(np.int64).tolist()
 
 
-def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _near_enough(parity: list[str]) -> Column:
+    """Whether parity sketches allow the overlap: every bit in which they differ is a shingle that only one has."""
+    apart = sum((F.bit_count(F.col(x).bitwiseXOR(F.col(f"other_{x}"))) for x in parity), F.lit(0))
+    return F.col("n") + F.col("other_n") - apart >= 2 * _need()
+
+
+def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray, whole: bool) -> Iterator[pa.RecordBatch]:
+    """Of the wanted classes the sets themselves, or their sizes and parity sketches; each once per task."""
     seen: set[int] = set()
     rows, held = [], 0
-    names = ["cls", "n", "parity", "tokens"]
-    kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+    names = ["cls", "tokens"] if whole else ["cls", "n", *PARITY]
+    kinds = [pa.int64(), pa.binary()] if whole else [pa.int64()] * len(names)
 
     def flush() -> pa.RecordBatch:
         values = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
@@ -406,25 +421,23 @@ def _sets(batches: Iterator[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.
         if cls in seen or not wanted[place >> 3] >> (7 - (place & 7)) & 1:
             continue
         seen.add(cls)
-        rows.append((cls, len(tokens), parity_sketch(tokens), tokens.tobytes()))
-        held += len(tokens)
+        rows.append((cls, tokens.tobytes()) if whole else (cls, len(tokens), *parity_sketch(tokens)))
+        held += len(tokens) if whole else len(PARITY)
         if held >= 500_000:
             held = 0
             yield flush()
     yield flush()
 
 
-def _near_enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs whose parity sketches allow the overlap: every odd bit between them is a shingle that only one has."""
-    for batch in batches:
-        a, b = (
-            np.frombuffer(b"".join(batch[name].to_pylist()), np.uint8).reshape(-1, PARITY_BYTES)
-            for name in ("parity", "other_parity")
-        )
-        apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-        n, other = batch["n"].to_numpy(), batch["other_n"].to_numpy()
-        keep = n + other - apart >= 2 * least_overlap(n, other)
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+def _sets_of_classes(texts: DataFrame, classes: DataFrame, whole: bool) -> DataFrame:
+    """Stored sets (or sketches) of the classes in ``classes.cls``, and of a few others by chance."""
+    bits = texts.sparkSession.sparkContext.broadcast(zlib.compress(_class_filter(classes).tobytes(), 1))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _sets(batches, np.frombuffer(zlib.decompress(bits.value), np.uint8), whole)
+
+    kind = "cls long, tokens binary" if whole else ", ".join(f"{name} long" for name in ("cls", "n", *PARITY))
+    return materialise(texts.mapInArrow(work, kind).dropDuplicates(["cls"]))
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -438,21 +451,32 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs (a, b) of classes that link; stored."""
+def _classes(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+
+
+def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` with the columns of ``sets`` for a, and as ``other_`` for b."""
+    facts = [name for name in sets.columns if name != "cls"]
+    one = sets.withColumnRenamed("cls", "a")
+    two = sets.select(F.col("cls").alias("b"), *[F.col(x).alias(f"other_{x}") for x in facts])
+    return pairs.join(one, "a").join(two, "b")
 
-    def with_both(left: DataFrame, column: str) -> DataFrame:
-        facts = ["n", column] if column == "parity" else [column]
-        one = sets.select(F.col("cls").alias("a"), *facts)
-        two = sets.select(F.col("cls").alias("b"), *[F.col(x).alias(f"other_{x}") for x in facts])
-        return left.join(one, "a").join(two, "b")
 
-    likely = with_both(pairs, "parity").mapInArrow(_near_enough, "a long, b long")
-    return materialise(with_both(likely, "tokens").mapInArrow(_linked, "a long, b long"))
+def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """Those of the distinct pairs (a, b) of classes that link, stored; None if there are none to look at.
+
+    Sketches leave few pairs that do not link; only their sets are made again from the texts.
+    """
+    likely = materialise(_with_both(pairs, sketches).filter(_near_enough(PARITY)).select("a", "b"))
+    if likely.isEmpty():
+        return None
+    sets = _sets_of_classes(texts, _classes(likely), whole=True)
+    return materialise(_with_both(likely, sets).mapInArrow(_linked, "a long, b long"))
 
 
 def _pairs(entries: DataFrame, others: DataFrame, differ: Column) -> DataFrame:
-    met = entries.join(others, "token").filter(differ & _may_link())
+    met = entries.join(others, "token").filter(differ & _may_link() & _near_enough(FOLDED))
     low, high = F.least("cls", "other_cls").alias("a"), F.greatest("cls", "other_cls").alias("b")
     return met.select(low, high).distinct()
 
@@ -484,14 +508,14 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     links = found.filter(F.col("kind") == LINK).select(F.col("x").alias("a"), F.col("y").alias("b"))
     short = found.filter(F.col("kind") == PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
     entries = found.filter(F.col("kind") == LISTED).select(F.col("x").alias("token"), F.col("y").alias("cls"), "n", "place")
-    wanted = short.select(F.explode(F.array("a", "b")).alias("cls")).union(entries.select("cls"))
-    bits = spark.sparkContext.broadcast(zlib.compress(_class_filter(wanted).tobytes(), 1))
-
-    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _sets(batches, np.frombuffer(zlib.decompress(bits.value), np.uint8))
-
-    sets = texts.mapInArrow(sets_of, "cls long, n long, parity binary, tokens binary").dropDuplicates(["cls"])
-    sets = materialise(sets)
+    wanted = _classes(short).union(entries.select("cls").distinct())
+    sketches = _sets_of_classes(texts, wanted, whole=False)
+    # A sketch folded by exclusive or is the sketch with fewer bits.
+    folded = [
+        reduce(Column.bitwiseXOR, [F.col(name) for name in PARITY[i :: len(FOLDED)]]).alias(FOLDED[i])
+        for i in range(len(FOLDED))
+    ]
+    entries = materialise(entries.join(sketches.select("cls", *folded), "cls"))
     candidates = short.distinct()
     component = None
     for turn in range(ROUNDS + 1):
@@ -501,10 +525,10 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             listed = listed.withColumn("component", F.coalesce("component", "cls"))
         else:
             listed = entries.withColumn("component", F.col("cls"))
-        facts = ["cls", "n", "place", "component"]
+        facts = ["cls", "n", "place", "component", *FOLDED]
         differ = F.col("component") != F.col("other_component")
         if turn < ROUNDS:
-            first = F.min(F.struct(F.xxhash64("cls", F.lit(turn)).alias("draw"), *facts)).alias("pivot")
+            first = F.min(F.struct(F.xxhash64("cls", "token", F.lit(turn)).alias("draw"), *facts)).alias("pivot")
             pivots = listed.groupBy("token").agg(first).select("token", "pivot.*")
             met = _pairs(listed, _renamed(pivots, *facts), differ)
         else:
@@ -513,8 +537,10 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             listed = listed.join(mixed, "token", "left_semi")
             met = _pairs(listed, _renamed(listed, *facts), F.col("component") < F.col("other_component"))
         candidates = met if turn else candidates.union(met).distinct()
-        links = links.union(_verified(candidates, sets))
-        component = connected(links)
+        found_links = _verified(candidates, sketches, texts)
+        if found_links is not None or component is None:
+            links = links if found_links is None else links.union(found_links)
+            component = connected(links)
     return rows, component
 
 
