@@ -111,11 +111,14 @@ def _observe(
                 unknown.cast("date").alias("first_day"),
                 unknown.cast("date").alias("last_day"),
             )
-        key = F.count(keys[table]) if table in keys else F.max(unknown.cast("bigint"))
-        when = day(F.col(DATED_COLUMN)) if dated and table == DATED_TABLE else unknown.cast("date")
+        rows = market.table(table)
+        # A missing column gives no figure, and so a failed check.
+        keyed = keys.get(table) in rows.columns
+        key = F.count(keys[table]) if keyed else F.max(unknown.cast("bigint"))
+        timed = dated and table == DATED_TABLE and DATED_COLUMN in rows.columns
+        when = day(F.col(DATED_COLUMN)) if timed else unknown.cast("date")
         return (
-            market.table(table)
-            .agg(
+            rows.agg(
                 F.count(F.lit(1)).alias("row_count"),
                 key.alias("key_count"),
                 F.min(when).alias("first_day"),

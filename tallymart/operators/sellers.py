@@ -14,9 +14,6 @@ from tallymart.sources.marketplace import Marketplace
 DELIVERED = "delivered"
 CANCELED = "canceled"
 
-# Seller keys that may be copied to every task: some 20 MB as 32-character text.
-BROADCAST_SELLERS = 200_000
-
 SCORECARD_RANKS = (
     ("total_revenue", "desc", "revenue_rank"),
     ("on_time_rate", "desc", "delivery_rank"),
@@ -187,17 +184,13 @@ def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None)
 def _items(market: Marketplace, seller_state: str | None) -> DataFrame:
     """Items that may count for the state.
 
-    When the state's sellers are few, their keys go to every task and the
-    other items drop out before any shuffle. Otherwise all items pass and the
-    join with the state's sellers, which every caller ends with, drops them.
+    A plain semi join: Spark copies the sellers' keys to the items where they
+    are few, and shuffles (and splits) the items where they are not.
     """
     items = market.table("order_items")
     if seller_state is None:
         return items
-    keys = _sellers(market, seller_state).select("seller_id").distinct()
-    if keys.limit(BROADCAST_SELLERS + 1).count() > BROADCAST_SELLERS:
-        return items
-    return items.join(F.broadcast(keys), "seller_id", "left_semi")
+    return items.join(_sellers(market, seller_state).select("seller_id"), "seller_id", "left_semi")
 
 
 def _sellers(market: Marketplace, seller_state: str | None) -> DataFrame:

@@ -57,8 +57,14 @@ def run(market: Marketplace, settings: Settings) -> Outcome:
     output is left out when an analysis it needs has failed.
     """
     period = Period.of(settings.start, settings.end)
-    checks = materialise(run_validation(market, settings.min_year, settings.as_of))
-    outcome = Outcome(checks_passed=validation_passed(checks).head().passed)
+    outcome = Outcome(checks_passed=False)
+    checks = None
+    try:
+        checks = materialise(run_validation(market, settings.min_year, settings.as_of))
+        outcome.checks_passed = bool(validation_passed(checks).head().passed)
+    except ANALYSIS_ERRORS as error:
+        log.error("the checks failed: %s", error)
+        outcome.errors["checks"] = str(error)
     if not outcome.checks_passed:
         log.warning("some checks failed; treat the outputs with caution")
 
@@ -77,7 +83,8 @@ def run(market: Marketplace, settings: Settings) -> Outcome:
             log.error("%s failed: %s", name, error)
             outcome.errors[name] = str(error)
 
-    outcome.files["checks"] = publish.write_sheets({"checks": checks}, settings.out)["checks"]
+    if checks is not None:
+        outcome.files["checks"] = publish.write_sheets({"checks": checks}, settings.out)["checks"]
     if "classes" in results:
         outcome.files["summary"] = publish.write_summary(
             results["classes"].orderBy("abc_class"), settings.out
@@ -90,6 +97,11 @@ def run(market: Marketplace, settings: Settings) -> Outcome:
             report.top_delayed_states(results["delivery"]), settings.out
         )
     outcome.files.update(publish.write_sheets(_sheets(results), settings.out))
+    # Files of an earlier run stay where an analysis failed: this table says which belong to this run.
+    renewed = [(name, path, None) for name, path in outcome.files.items()]
+    failed = [(name, None, error) for name, error in outcome.errors.items()]
+    outputs = market.spark.createDataFrame(renewed + failed, "name string, path string, error string")
+    outcome.files["outputs"] = publish.write_sheets({"outputs": outputs}, settings.out)["outputs"]
     return outcome
 
 

@@ -17,7 +17,7 @@ from tallymart.sources.schema import COLUMNS, EXPECTED_TABLES
 
 
 class MissingTable(LookupError):
-    """A table the analysis needs is not in the source."""
+    """A table the analysis needs is not in the source, or cannot be read there."""
 
 
 Loader = Callable[[], DataFrame | None]
@@ -33,6 +33,7 @@ class Marketplace:
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame | None] = {}
+        self._unreadable: dict[str, str] = {}
 
     @classmethod
     def from_frames(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Marketplace:
@@ -80,23 +81,30 @@ class Marketplace:
         )
 
     def has(self, name: str) -> bool:
+        """Whether the table is there and can be opened."""
         return self._find(name) is not None
 
     def table(self, name: str) -> DataFrame:
         df = self._find(name)
         if df is None:
-            raise MissingTable(f"table not found: {name}")
+            raise MissingTable(f"table not found: {name}{self._unreadable.get(name, '')}")
         return df
 
     def _find(self, name: str) -> DataFrame | None:
         if name not in self._frames:
-            df = self._loaders[name]() if name in self._loaders else None
-            self._frames[name] = None if df is None else conform(name, df)
+            try:
+                df = self._loaders[name]() if name in self._loaders else None
+                self._frames[name] = None if df is None else conform(name, df)
+            except AnalysisException as error:
+                self._frames[name] = None
+                self._unreadable[name] = f" (it cannot be read: {error.getCondition()})"
         return self._frames[name]
 
 
 def conform(name: str, df: DataFrame) -> DataFrame:
-    """Keep the canonical columns of a table, cast where the type differs.
+    """Keep the canonical columns that a table has, cast where the type differs.
+
+    A column that is missing is missed only by what reads it.
 
     A column that already has the right type is passed through untouched, so
     filters on it still reach the Parquet reader. Items also get their price
@@ -109,8 +117,9 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     columns = [
         F.col(c) if kind is None or actual.get(c) == kind else F.col(c).cast(kind).alias(c)
         for c, kind in wanted.items()
+        if c in actual
     ]
-    if "price" in wanted:
+    if "price" in wanted and "price" in actual:
         columns.append(cents(F.col("price")).alias("price_cents"))
     return df.select(*columns)
 

@@ -101,3 +101,24 @@ def test_warnings_do_not_fail_the_run(spark):
     assert rows(tm.validation_passed(found)) == [(True,)]
     old = tm.run_validation(m, min_year=2031, as_of=TODAY, minimums=minimums)
     assert rows(tm.validation_passed(old)) == [(False,)]
+
+
+def test_a_missing_column_fails_its_own_check_only(spark):
+    whole = _good(spark)
+    m = whole.replace(customers=whole.table("customers").drop("customer_id"))
+    found = _verdicts(tm.run_validation(m, 2015, TODAY, {"orders": 1}))
+    assert not found["key_columns", "customers.customer_id"][1]
+    failed = {key for key, (_, passed, _) in found.items() if not passed}
+    assert failed <= {("key_columns", "customers.customer_id"), ("key_columns", "order_reviews.review_id")}
+    undated = whole.replace(orders=whole.table("orders").drop("order_purchase_timestamp"))
+    assert not _verdicts(tm.check_date_range(undated, 2015, TODAY))["dates_present", "orders.order_purchase_timestamp"][1]
+
+
+def test_an_unreadable_table_fails_its_own_checks(spark, tmp_path):
+    for name in ("orders", "customers"):
+        _good(spark).table(name).write.parquet(f"{tmp_path}/{name}")
+    (tmp_path / "sellers").mkdir()
+    m = tm.Marketplace.from_folder(spark, str(tmp_path))
+    found = _verdicts(tm.run_validation(m, 2015, TODAY, {"sellers": 1, "orders": 1}))
+    assert found["tables_exist", "orders"][1] and not found["tables_exist", "sellers"][1]
+    assert not found["row_counts", "sellers"][1] and found["row_counts", "orders"][1]

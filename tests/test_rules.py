@@ -162,7 +162,7 @@ def test_ranks_leave_gaps_and_score_keeps_one_digit(spark):
     assert card == {"s1": (1, 1.0), "s2": (1, 1.0), "s3": (3, 1.5)}
 
 
-def test_state_filter_also_when_sellers_are_too_many_to_copy(spark, monkeypatch):
+def test_state_filter_whether_or_not_sellers_are_copied(spark):
     m = market(
         spark,
         orders=[order("a", bought="2020-01-01")],
@@ -170,8 +170,12 @@ def test_state_filter_also_when_sellers_are_too_many_to_copy(spark, monkeypatch)
         sellers=SELLERS,
     )
     few = sorted(rows(tm.seller_metrics(m, seller_state="SP")))
-    monkeypatch.setattr("tallymart.operators.sellers.BROADCAST_SELLERS", 0)
-    assert sorted(rows(tm.seller_metrics(m, seller_state="SP"))) == few
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(rows(tm.seller_metrics(m, seller_state="SP"))) == few
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert [r[0] for r in few] == ["s1", "s3"]
     assert sorted(r[0] for r in rows(tm.seller_base(m, seller_state="SP"))) == ["s1", "s3"]
 

@@ -12,7 +12,7 @@ from tallymart import Marketplace, MissingTable, Settings
 from tallymart.__main__ import main
 from tallymart.plans import report
 from tallymart.sources import scratch
-from tests.small import SCHEMAS, item, market, order, rows
+from tests.small import SCHEMAS, by_key, item, market, order, rows
 
 FIVE = ("scorecard", "classes", "delivery", "months", "retention")
 
@@ -219,3 +219,21 @@ def test_job_arguments_and_exit_codes(spark, tmp_path):
     assert rows(detail, "seller_id", "total_revenue") == [("s2", 1.0)]
     with pytest.raises(SystemExit):
         main(["--out", out], spark)
+
+
+def test_a_missing_column_stops_only_what_reads_it(spark, star, tmp_path):
+    undated = star.table("orders").drop("order_purchase_timestamp")
+    outcome = tm.run(star.replace(orders=undated), Settings(out=str(tmp_path)))
+    assert "delivery" in outcome.errors or "months" in outcome.errors
+    assert "checks" in outcome.files and not outcome.checks_passed
+    personless = star.table("customers").drop("customer_unique_id")
+    assert tm.delivery_by_state(star.replace(customers=personless)).count() > 0
+
+
+def test_outputs_of_an_earlier_run_are_not_taken_for_new(spark, star, tmp_path):
+    first = tm.run(star, Settings(out=str(tmp_path)))
+    second = tm.run(star.without("sellers"), Settings(out=str(tmp_path)))
+    listed = by_key(spark.read.parquet(second.files["outputs"]), "name", "path", "error")
+    assert first.files["detail"] and "detail" not in listed
+    assert listed["scorecard"][0] is None and "sellers" in listed["scorecard"][1]
+    assert listed["summary"] == (second.files["summary"], None)
