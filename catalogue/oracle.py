@@ -74,6 +74,29 @@ TIED = {
                (100 * (1 + l_partkey % 5))::DECIMAL(12,2) AS price
         FROM lineitem""",
 }
+SUBCENT = {
+    **VIEWS,
+    "itm0": VIEWS["itm"],
+    "itm": """
+        SELECT order_id, product_id, seller_id,
+               (CASE WHEN order_id % 3 = 0 THEN 0 ELSE price END
+                + (order_id % 7 + 1)::DECIMAL(5,0) * 0.0009::DECIMAL(5,4))::DECIMAL(18,4) AS price
+        FROM itm0""",
+}
+HALVES = {
+    **VIEWS,
+    "rev0": VIEWS["rev"],
+    "rev": """
+        SELECT review_id, order_id,
+               review_score + CASE WHEN order_id % 2 = 0 THEN 0.5 ELSE 0 END AS review_score
+        FROM rev0""",
+}
+HURRIED = {
+    **VIEWS,
+    "ord0": VIEWS["ord"],
+    "ord": """
+        SELECT * REPLACE (bought + to_days((customer_id % 11)::INTEGER) AS promised) FROM ord0""",
+}
 UNESTIMATED = {
     **VIEWS,
     "ord0": VIEWS["ord"],
@@ -436,8 +459,9 @@ INSIGHT = """
 FINDINGS = """
     SELECT 'Seller Scorecard' AS topic, format('{:,}', count(*))
            || ' active sellers ranked by composite score' AS finding FROM scorecard
-    UNION ALL SELECT 'Delivery Analysis',
-           'Northern states experience the most delays vs. estimates'
+    UNION ALL SELECT 'Delivery Analysis', customer_state || ' experiences the most delays '
+           || 'vs. estimates (' || avg_delay_days || ' days on average)'
+           FROM (FROM states ORDER BY avg_delay_days DESC NULLS LAST, customer_state LIMIT 1)
     UNION ALL SELECT 'ABC Classification', 'Class A (' || format('{:,}', product_count)
            || ' products) drives ' || pct_of_total_revenue || '% of revenue'
            FROM classes WHERE abc_class = 'A'
@@ -445,9 +469,12 @@ FINDINGS = """
            || '% of customers return within 90 days' FROM rates"""
 
 
-def findings() -> str:
+def findings(views=VIEWS) -> str:
     return sellers(
         FINDINGS,
+        views=views,
+        transit=_transit("true"),
+        states=STATE_SUMS,
         earned=_earned("true"),
         run=PRODUCT_RUN,
         graded=PRODUCT_CLASSES,

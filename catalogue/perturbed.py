@@ -56,6 +56,33 @@ def tied(market: Marketplace) -> Marketplace:
     return market.replace(order_items=items)
 
 
+def subcent(market: Marketplace) -> Marketplace:
+    """Prices with four digits after the point, some of them far below a cent."""
+    price, order = F.col("price").cast("decimal(14,4)"), F.col("order_id")
+    tiny = (order % 7 + 1).cast("decimal(5,0)") * F.lit("0.0009").cast("decimal(5,4)")
+    items = market.table("order_items").withColumn(
+        "price", F.when(order % 3 == 0, tiny).otherwise(price + tiny).cast("decimal(18,4)")
+    )
+    return market.replace(order_items=items)
+
+
+def halves(market: Marketplace) -> Marketplace:
+    """Review scores with halves."""
+    half = F.when(F.col("order_id") % 2 == 0, F.lit("0.5").cast("decimal(2,1)")).otherwise(F.lit(0))
+    reviews = market.table("order_reviews").withColumn(
+        "review_score", (F.col("review_score") + half).cast("decimal(3,1)")
+    )
+    return market.replace(order_reviews=reviews)
+
+
+def hurried(market: Marketplace) -> Marketplace:
+    """Orders whose estimate depends on the account, so that another state is the worst."""
+    bought = F.col("order_purchase_timestamp")
+    promise = F.make_dt_interval(days=(F.col("customer_id") % 11).cast("int"))
+    orders = market.table("orders").withColumn("order_estimated_delivery_date", bought + promise)
+    return market.replace(orders=orders)
+
+
 def unestimated(market: Marketplace) -> Marketplace:
     """Orders that lost their delivery estimate now and then."""
     estimate = F.col("order_estimated_delivery_date")

@@ -70,7 +70,10 @@ def _written_sheet(market: tm.Marketplace) -> DataFrame:
 
 def _findings(market: tm.Marketplace) -> DataFrame:
     return report.key_findings(
-        tm.seller_scorecard(market), tm.abc_classification(market), tm.cohort_retention(market)
+        tm.seller_scorecard(market),
+        tm.delivery_by_state(market),
+        tm.abc_classification(market),
+        tm.cohort_retention(market),
     )
 
 
@@ -125,6 +128,13 @@ def _entries() -> dict[str, Entry]:
         "seller_revenue_broken": Entry(
             lambda m: tm.seller_revenue(broken(m)), sql.sellers(sums, views=sql.BROKEN)
         ),
+        "seller_revenue_subcent": Entry(
+            lambda m: tm.seller_revenue(perturbed.subcent(m)), sql.sellers(sums, views=sql.SUBCENT)
+        ),
+        "seller_reviews_halves": Entry(
+            lambda m: tm.seller_reviews(perturbed.halves(m)),
+            sql.sellers("SELECT * FROM scores", views=sql.HALVES),
+        ),
         "seller_on_time": Entry(tm.seller_on_time, sql.sellers(on_time)),
         "seller_on_time_week": Entry(
             lambda m: tm.seller_on_time(m, WEEK), sql.sellers(on_time, IN_WEEK)
@@ -305,6 +315,16 @@ def _entries() -> dict[str, Entry]:
             lambda m: report.retention_metrics(tm.cohort_retention(m)),
             sql.retention(sql.RATE_TILES),
         ),
+        "product_revenue_subcent": Entry(
+            lambda m: tm.product_revenue(perturbed.subcent(m)),
+            sql.products(sql.PRODUCT_REVENUE, views=sql.SUBCENT),
+        ),
+        "orders_over_time_subcent": Entry(
+            lambda m: tm.orders_over_time(perturbed.subcent(m)), sql.trend(months, views=sql.SUBCENT)
+        ),
+        "key_findings_hurried": Entry(
+            lambda m: _findings(perturbed.hurried(m)), sql.findings(sql.HURRIED)
+        ),
         "key_findings": Entry(_findings, sql.findings()),
         "abc_insight": Entry(
             lambda m: report.abc_insight(tm.abc_classification(m)), sql.products(sql.INSIGHT)

@@ -1,32 +1,89 @@
-"""Money and rounding.
+"""Money, scores and rounding.
 
-Prices are summed as whole cents in a BIGINT: exact, order-independent, and
-narrow in the shuffle. The result becomes DECIMAL or DOUBLE at the edge.
+Amounts are summed as whole units of their last digit in a BIGINT where that
+fits: exact, order-independent, and narrow in the shuffle. The result becomes
+DECIMAL or DOUBLE at the edge.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DecimalType, IntegralType
 
+# Digits after the point that a DOUBLE, FLOAT or text amount may have.
+LOOSE_DIGITS = 4
 
-def cents(price: Column) -> Column:
-    """Price as whole cents.
-
-    Goes through DOUBLE, which is exact here (below 2**53) and far cheaper per
-    row than decimal arithmetic.
-    """
-    return F.rint(price.cast("double") * F.lit(100.0)).cast("bigint")
 
+@dataclass(frozen=True)
+class Amounts:
+    """How the amounts of one column are summed without losing a digit.
 
-def cents_to_decimal(amount: Column) -> Column:
-    """Cents as an exact ``decimal(22,2)`` amount."""
-    return (amount.cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(22,2)")
-
+    * Whole numbers, and decimals of up to 18 digits of which at most four
+      follow the point: whole units of the last digit, as BIGINT.
+    * Wider decimals: as they are, in sums of 38 digits. A total that needs
+      more than 28 digits raises an error.
+    * DOUBLE, FLOAT and text: units of ``LOOSE_DIGITS`` digits; a value that
+      needs more digits raises an error rather than being rounded.
+    """
 
-def cents_to_double(amount: Column) -> Column:
-    """Cents as a DOUBLE amount."""
-    return amount.cast("double") / F.lit(100.0)
+    digits: int
+    wide: bool = False
+    loose: bool = False
+
+    @classmethod
+    def of(cls, kind: DataType) -> Amounts:
+        if isinstance(kind, DecimalType):
+            return cls(kind.scale, wide=kind.precision > 18 or kind.scale > LOOSE_DIGITS)
+        if isinstance(kind, IntegralType):
+            return cls(0)
+        return cls(LOOSE_DIGITS, loose=True)
+
+    def units(self, amount: Column, name: str = "amount") -> Column:
+        """A value of the column as what is summed."""
+        if self.wide:
+            return amount.cast(self._decimal(28))
+        if self.loose:
+            # Text keeps the digits that a FLOAT shows.
+            value = amount.cast("string").cast("double")
+            whole = F.rint(value * F.lit(self._unit))
+            error = F.concat(
+                F.lit(f"{name} needs more than {LOOSE_DIGITS} digits after the point: "),
+                value.cast("string"),
+            )
+            fits = value.isNull() | (whole / F.lit(self._unit) == value)
+            return F.when(fits, whole.cast("bigint")).otherwise(F.raise_error(error))
+        if self.digits == 0:
+            return amount.cast("bigint")
+        return (amount * F.lit(10**self.digits).cast("decimal(5,0)")).cast("bigint")
+
+    def times(self, units: Column, count: Column) -> Column:
+        """Units, or a sum of them, counted several times."""
+        if self.wide:
+            return units.cast(self._decimal(28)) * count.cast("decimal(9,0)")
+        return units * count
+
+    def decimal(self, units: Column) -> Column:
+        """An exact DECIMAL amount."""
+        if self.wide:
+            return units.cast(self._decimal(38))
+        scaled = units.cast("decimal(20,0)") / F.lit(10**self.digits).cast("decimal(5,0)")
+        return scaled.cast(self._decimal(22))
+
+    def double(self, units: Column) -> Column:
+        """A DOUBLE amount."""
+        if self.wide:
+            return units.cast("double")
+        return units.cast("double") / F.lit(self._unit)
+
+    @property
+    def _unit(self) -> float:
+        return float(10**self.digits)
+
+    def _decimal(self, precision: int) -> str:
+        return f"decimal({precision},{self.digits})"
 
 
 def ratio(part: Column, whole: Column) -> Column:

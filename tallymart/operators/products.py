@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import cents_to_decimal
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.ranking import cumulative_share_classify
 from tallymart.sources.marketplace import Marketplace
+from tallymart.sources.scratch import materialise
 
 PRODUCT_KEYS = ("product_id", "product_category_name")
 
@@ -50,31 +50,30 @@ def product_revenue(market: Marketplace, period: Period = EVERYTHING) -> DataFra
     return _revenue(market, period).withColumn("revenue", F.col("revenue").cast("double"))
 
 
-def _revenue(market: Marketplace, period: Period) -> DataFrame:
-    """Sums meet the order and product tables only after they are per key.
-
-    Items shrink to one row per order and product, orders to one row per
-    order with their number of copies, products to one row per listing.
-    """
-    lots = (
-        market.table("order_items")
-        .groupBy("order_id", "product_id")
-        .agg(
-            F.sum("price_cents").alias("lot_cents"),
-            F.count(F.lit(1)).alias("lot_units"),
-        )
-    )
-    orders = (
+def _order_copies(market: Marketplace, period: Period) -> DataFrame:
+    return (
         period.keep(market.table("orders"), "order_purchase_timestamp")
+        .filter(F.col("order_id").isNotNull())
         .groupBy("order_id")
         .agg(F.count(F.lit(1)).alias("order_rows"))
     )
+
+
+def _revenue(market: Marketplace, period: Period) -> DataFrame:
+    """Plain items meet one stored row per order; sums per product meet the listings.
+
+    Both sides of the order join are plain, so Spark can split a hot order.
+    """
+    money = market.amounts("order_items")
+    orders = materialise(_order_copies(market, period))
     sums = (
-        lots.join(orders, "order_id")
+        market.table("order_items")
+        .select("order_id", "product_id", "price_units")
+        .join(orders, "order_id")
         .groupBy("product_id")
         .agg(
-            F.sum(F.col("lot_cents") * F.col("order_rows")).alias("cents"),
-            F.sum(F.col("lot_units") * F.col("order_rows")).alias("units"),
+            F.sum(money.times(F.col("price_units"), F.col("order_rows"))).alias("earned"),
+            F.sum("order_rows").alias("units"),
         )
     )
     listings = (
@@ -85,6 +84,6 @@ def _revenue(market: Marketplace, period: Period) -> DataFrame:
     copies = F.coalesce("listed", F.lit(1))
     return sums.join(listings, "product_id", "left").select(
         *PRODUCT_KEYS,
-        cents_to_decimal(F.col("cents") * copies).alias("revenue"),
+        money.decimal(money.times(F.col("earned"), copies)).alias("revenue"),
         (F.col("units") * copies).alias("units_sold"),
     )

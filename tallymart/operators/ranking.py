@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 from tallymart.functions.numeric import round_away
 from tallymart.sources.scratch import materialise
 
-# How finely values are split: a piece between two cut points holds about
-# 1/CUTS of the rows.
-CUTS = 128
-ACCURACY = 2_000
-# Equal values at a cut point are dealt into this many groups.
-TIE_GROUPS = 256
+# Values are cut into as many pieces as the session has shuffle partitions, within
+# these bounds; a piece between two cut points holds about one share of the rows.
+FEWEST_CUTS, MOST_CUTS = 128, 2_048
+# Quantiles are this many times finer than the cuts.
+FINENESS = 16
 
 
 def composite_rank(
@@ -36,10 +35,9 @@ def composite_rank(
 
     ``ranks`` lists ``(column, "asc" | "desc", rank name)``. Ties share a rank
     and leave a gap after them; missing values share the last rank in both
-    directions. The input is written once, since each rank reads it again.
+    directions.
     """
-    stored = materialise(df)
-    ranked = global_rank(stored, ranks)
+    ranked = global_rank(df, ranks)
     names = [name for _, _, name in ranks]
     total = reduce(Column.__add__, [F.col(n) for n in names])
     return ranked.withColumn(score, round_away(total / F.lit(float(len(names))), digits))
@@ -48,25 +46,28 @@ def composite_rank(
 def global_rank(df: DataFrame, ranks: Sequence[tuple[str, str, str]]) -> DataFrame:
     """``RANK()`` over the whole frame, for each ``(numeric column, direction, name)``.
 
-    ``df`` is read once for the cut points, once for the piece sizes and once
-    for the ranks, so pass a stored table when it is costly to compute. Only
-    the cut points and the rows ahead of each piece, at most ``2 * CUTS``
-    numbers per rank, come to the driver.
+    The input is written once with a number for each row: it is read for the
+    cut points, the piece sizes and the ranks. Only the cut points and the rows
+    ahead of each piece, at most ``2 * MOST_CUTS`` numbers per rank, come to the
+    driver. Rows that tie at a cut point are dealt out by their number, so even
+    rows that are equal in every column never meet in one task.
     """
-    cut_points = _cut_points(df, [column for column, _, _ in ranks])
+    # Stored numbers stay the same when a task is run again.
+    stored = materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+    cut_count = _cut_count(df)
+    cut_points = _cut_points(stored, [column for column, _, _ in ranks], cut_count)
     kinds = dict(df.dtypes)
     pieces = [_piece(F.col(c), d, cut_points[c], kinds[c]) for c, d, _ in ranks]
-    ahead = _rows_ahead(df, pieces, [2 * len(cut_points[c]) + 2 for c, _, _ in ranks])
+    ahead = _rows_ahead(stored, pieces, [2 * len(cut_points[c]) + 2 for c, _, _ in ranks])
     piece_names = [f"_piece_{name}" for _, _, name in ranks]
-    spread = F.pmod(F.xxhash64(*df.columns), F.lit(TIE_GROUPS))
-    placed = df.select(
-        "*",
+    placed = stored.select(
+        *df.columns,
         *[piece.alias(p) for piece, p in zip(pieces, piece_names)],
-        spread.alias("_spread"),
+        F.pmod(F.xxhash64("_row"), F.lit(2 * cut_count)).alias("_spread"),
     )
     columns = []
     for (column, direction, name), p, rows in zip(ranks, piece_names, ahead):
-        # Rows of an odd piece all tie, so they may be dealt out freely.
+        # Rows of an odd piece all tie: the first rank of any group of them is theirs.
         group = F.when(F.col(p) % 2 == 1, F.col("_spread"))
         window = Window.partitionBy(p, group).orderBy(_ordering(column, direction))
         before = F.get(_constants(rows, "bigint"), F.col(p))
@@ -159,16 +160,23 @@ def _ordering(column: str, direction: str) -> Column:
     raise ValueError(f"direction must be asc or desc, got {direction!r}")
 
 
-def _cut_points(df: DataFrame, columns: Sequence[str]) -> dict[str, list]:
-    """Approximate quantiles of each column: at most CUTS numbers per column.
+def _cut_count(df: DataFrame) -> int:
+    session = df.sparkSession.conf
+    asked = session.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    partitions = int(asked or session.get("spark.sql.shuffle.partitions"))
+    return min(max(partitions, FEWEST_CUTS), MOST_CUTS)
+
+
+def _cut_points(df: DataFrame, columns: Sequence[str], cut_count: int) -> dict[str, list]:
+    """Approximate quantiles of each column: fewer than ``cut_count`` numbers per column.
 
     They only steer how evenly rows spread. A value shared by more than
-    roughly 2/CUTS of the rows is always one of them.
+    roughly ``2 / cut_count`` of the rows is always one of them.
     """
-    quantiles = _constants([i / CUTS for i in range(1, CUTS)], "double")
+    quantiles = _constants([i / cut_count for i in range(1, cut_count)], "double")
     wanted = list(dict.fromkeys(columns))
     found = df.select(
-        *[F.percentile_approx(c, quantiles, ACCURACY).alias(c) for c in wanted]
+        *[F.percentile_approx(c, quantiles, FINENESS * cut_count).alias(c) for c in wanted]
     ).head()
     return {c: sorted(set(found[c] or [])) for c in wanted}
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import cents_to_double, flag, ratio
+from tallymart.functions.numeric import flag, ratio
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.ranking import composite_rank
 from tallymart.sources.marketplace import Marketplace
+from tallymart.sources.scratch import materialise
 
 # Order states with a meaning of their own.
 DELIVERED = "delivered"
@@ -31,28 +32,34 @@ def seller_scorecard(
     review of the seller's items. Sellers without a delivered item have no
     on-time rate and share the last delivery rank.
     """
-    metrics = seller_metrics(market, period, seller_state)
-    ranked = composite_rank(metrics, SCORECARD_RANKS)
+    ranked = ranked_sellers(market, period, seller_state)
     return ranked.orderBy(F.col("composite_score").asc_nulls_last(), F.col("seller_id"))
 
 
+def ranked_sellers(
+    market: Marketplace, period: Period = EVERYTHING, seller_state: str | None = None
+) -> DataFrame:
+    """The rows of :func:`seller_scorecard` in any order."""
+    return composite_rank(seller_metrics(market, period, seller_state), SCORECARD_RANKS)
+
+
 def seller_metrics(
     market: Marketplace, period: Period = EVERYTHING, seller_state: str | None = None
 ) -> DataFrame:
     """Revenue, items, on-time rate, mean review and cancel rate per seller.
 
-    Everything comes from one pass over the items. Orders and reviews shrink
-    to one row per order and items to one row per order and seller before
-    they meet, so neither a hot order, a hot seller nor repeated rows pile up
-    in one task, and order facts and reviews share a single join.
+    Everything comes from one pass over the items. Orders and reviews shrink to
+    one stored row per order, which plain items join: Spark can split a hot
+    order, partial sums take care of a hot seller, and order facts and reviews
+    share a single join. The stored rows are written while the query is built.
     """
     facts = _per_order(_order_events(market, period).unionByName(_review_events(market)))
     sums = _per_seller(market, facts, seller_state).filter(F.col("items") > 0)
     return sums.join(_seller_copies(market, seller_state), "seller_id").select(
         "seller_id",
-        *_sales_columns(),
+        *_sales_columns(market),
         _on_time_rate(),
-        _avg_review(),
+        _avg_review(market),
         _cancel_rate(),
     )
 
@@ -62,7 +69,7 @@ def seller_revenue(
 ) -> DataFrame:
     """Sum of price and number of items per seller."""
     sums = _sold_sums(market, period, seller_state)
-    return sums.select("seller_id", *_sales_columns())
+    return sums.select("seller_id", *_sales_columns(market))
 
 
 def seller_on_time(
@@ -87,7 +94,7 @@ def seller_cancellations(
 def seller_reviews(market: Marketplace) -> DataFrame:
     """Mean review score over review and item pairs of an order, all dates and states."""
     facts = _per_order(_review_events(market))
-    return _per_seller(market, facts, None).select("seller_id", _avg_review())
+    return _per_seller(market, facts, None).select("seller_id", _avg_review(market))
 
 
 def seller_base(
@@ -141,42 +148,29 @@ def _review_events(market: Marketplace) -> DataFrame:
         none.alias("arrived"),
         none.alias("on_time"),
         none.alias("canceled"),
-        F.coalesce("review_score", none).alias("score_sum"),
+        F.coalesce("score_units", none).alias("score_sum"),
         flag(F.col("review_score").isNotNull()).alias("scores"),
     )
 
 
 def _per_order(events: DataFrame) -> DataFrame:
     counted = [c for c in events.columns if c != "order_id"]
-    return events.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in counted])
+    known = events.filter(F.col("order_id").isNotNull())
+    return materialise(known.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in counted]))
 
 
 def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None) -> DataFrame:
-    lots = (
-        _items(market, seller_state)
-        .groupBy("order_id", "seller_id")
-        .agg(
-            F.sum("price_cents").alias("lot_cents"),
-            F.count(F.lit(1)).alias("lot_items"),
-        )
-    )
-    sold = F.col("sales") > 0
+    money = market.amounts("order_items")
+    revenue = F.when(F.col("sales") > 0, money.times(F.col("price_units"), F.col("sales")))
     return (
-        lots.join(facts, "order_id")
+        _items(market, seller_state)
+        .select("order_id", "seller_id", "price_units")
+        .join(facts, "order_id")
         .groupBy("seller_id")
         .agg(
-            F.sum(F.when(sold, F.col("lot_cents") * F.col("sales"))).alias("cents"),
-            *[
-                F.sum(F.col("lot_items") * F.col(c)).alias(name)
-                for c, name in (
-                    ("sales", "items"),
-                    ("arrived", "arrived"),
-                    ("on_time", "on_time"),
-                    ("canceled", "canceled"),
-                    ("score_sum", "score_sum"),
-                    ("scores", "scores"),
-                )
-            ],
+            F.sum(revenue).alias("earned"),
+            F.sum("sales").alias("items"),
+            *[F.sum(c).alias(c) for c in ("arrived", "on_time", "canceled", "score_sum", "scores")],
         )
     )
 
@@ -209,9 +203,10 @@ def _seller_copies(market: Marketplace, seller_state: str | None) -> DataFrame:
     )
 
 
-def _sales_columns():
+def _sales_columns(market: Marketplace):
+    money = market.amounts("order_items")
     return (
-        cents_to_double(F.col("cents") * F.col("copies")).alias("total_revenue"),
+        money.double(money.times(F.col("earned"), F.col("copies"))).alias("total_revenue"),
         (F.col("items") * F.col("copies")).alias("total_items_sold"),
     )
 
@@ -220,8 +215,8 @@ def _on_time_rate():
     return ratio(F.col("on_time"), F.col("arrived")).alias("on_time_rate")
 
 
-def _avg_review():
-    return ratio(F.col("score_sum"), F.col("scores")).alias("avg_review")
+def _avg_review(market: Marketplace):
+    return ratio(market.amounts("order_reviews").double(F.col("score_sum")), F.col("scores")).alias("avg_review")
 
 
 def _cancel_rate():

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.dates import month_start
-from tallymart.functions.numeric import cents_to_double
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.sellers import CANCELED
 from tallymart.sources.marketplace import Marketplace
@@ -19,11 +18,12 @@ def orders_over_time(market: Marketplace, period: Period = EVERYTHING) -> DataFr
     counts three times and an order without items not at all. Orders with no
     status are left out as well.
     """
+    money = market.amounts("order_items")
     lots = (
         market.table("order_items")
         .groupBy("order_id")
         .agg(
-            F.sum("price_cents").alias("lot_cents"),
+            F.sum("price_units").alias("lot_units"),
             F.count(F.lit(1)).alias("lot_items"),
         )
     )
@@ -38,7 +38,7 @@ def orders_over_time(market: Marketplace, period: Period = EVERYTHING) -> DataFr
         .groupBy("order_month")
         .agg(
             F.sum(F.col("lot_items") * F.col("order_rows")).alias("total_orders"),
-            cents_to_double(F.sum(F.col("lot_cents") * F.col("order_rows"))).alias(
+            money.double(F.sum(money.times(F.col("lot_units"), F.col("order_rows")))).alias(
                 "total_revenue"
             ),
         )

@@ -16,7 +16,7 @@ from tallymart.operators.retention import WINDOWS
 
 # Wording of the report.
 FINDING_SELLERS = "%s active sellers ranked by composite score"
-FINDING_DELIVERY = "Northern states experience the most delays vs. estimates"
+FINDING_DELIVERY = "%s experiences the most delays vs. estimates (%s days on average)"
 FINDING_CLASSES = "Class A (%s products) drives %s of revenue"
 FINDING_RETENTION = "Only %s of customers return within 90 days"
 CLASS_INSIGHT = (
@@ -94,16 +94,31 @@ def retention_metrics(retention: DataFrame, windows: Sequence[int] = WINDOWS) ->
     return rates.select(F.inline(tiles))
 
 
-def key_findings(scorecard: DataFrame, classes: DataFrame, retention: DataFrame) -> DataFrame:
-    """Four topics with one sentence each, filled from the results."""
+def key_findings(
+    scorecard: DataFrame, delivery: DataFrame, classes: DataFrame, retention: DataFrame
+) -> DataFrame:
+    """Four topics with one sentence each, filled from the results.
+
+    The worst state is the first of :func:`top_delayed_states`; without any state
+    with a delay its name and delay read ``none``.
+    """
     sellers = F.format_string(FINDING_SELLERS, count_text(F.count(F.lit(1))))
-    leading = F.array(
-        F.struct(*_finding("Seller Scorecard", F.col("sellers"))),
-        F.struct(*_finding("Delivery Analysis", F.lit(FINDING_DELIVERY))),
+    missing = F.col("avg_delay_days").isNull()
+    worst = F.min_by(
+        F.struct("customer_state", "avg_delay_days"),
+        F.struct(missing, -F.col("avg_delay_days"), "customer_state"),
+    )
+    late = F.format_string(
+        FINDING_DELIVERY,
+        F.coalesce(F.col("worst.customer_state"), F.lit("none")),
+        F.coalesce(F.col("worst.avg_delay_days").cast("string"), F.lit("none")),
     )
     rate = _at_most_one(retention, ["retention_90_pct"])
     lines = [
-        scorecard.agg(sellers.alias("sellers")).select(F.inline(leading)),
+        scorecard.agg(sellers.alias("finding")).select(
+            *_finding("Seller Scorecard", F.col("finding"))
+        ),
+        delivery.agg(worst.alias("worst")).select(*_finding("Delivery Analysis", late)),
         _class_figures(classes, "A").select(
             *_finding("ABC Classification", F.format_string(FINDING_CLASSES, "A_count", "A_share"))
         ),

@@ -16,12 +16,12 @@ from tallymart.operators.checks import run_validation, validation_passed
 from tallymart.operators.delivery import delivery_by_state
 from tallymart.operators.products import abc_classification
 from tallymart.operators.retention import cohort_retention
-from tallymart.operators.sellers import seller_scorecard
+from tallymart.operators.sellers import ranked_sellers
 from tallymart.operators.trends import orders_over_time
 from tallymart.plans import publish, report
 from tallymart.sources.marketplace import Marketplace, MissingTable
 from tallymart.sources.schema import EARLIEST_YEAR
-from tallymart.sources.scratch import materialise
+from tallymart.sources.scratch import materialise, released
 
 log = logging.getLogger(__name__)
 
@@ -54,9 +54,15 @@ def run(market: Marketplace, settings: Settings) -> Outcome:
 
     A malformed date raises ``ValueError`` before any job starts. Failed
     checks and failed analyses are reported and do not stop the others; an
-    output is left out when an analysis it needs has failed.
+    output is left out when an analysis it needs has failed. Intermediate tables
+    are deleted at the end.
     """
     period = Period.of(settings.start, settings.end)
+    with released(market.spark):
+        return _run(market, settings, period)
+
+
+def _run(market: Marketplace, settings: Settings, period: Period) -> Outcome:
     outcome = Outcome(checks_passed=False)
     checks = None
     try:
@@ -70,7 +76,7 @@ def run(market: Marketplace, settings: Settings) -> Outcome:
 
     results: dict[str, DataFrame] = {}
     analyses: dict[str, Callable[[], DataFrame]] = {
-        "scorecard": lambda: seller_scorecard(market, period, settings.seller_state),
+        "scorecard": lambda: ranked_sellers(market, period, settings.seller_state),
         "classes": lambda: abc_classification(market, period),
         "delivery": lambda: delivery_by_state(market, period),
         "months": lambda: orders_over_time(market, period),
@@ -109,7 +115,7 @@ def _sheets(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The report tables whose inputs are at hand."""
     plans = {
         "retention_metrics": (("retention",), report.retention_metrics),
-        "key_findings": (("scorecard", "classes", "retention"), report.key_findings),
+        "key_findings": (("scorecard", "delivery", "classes", "retention"), report.key_findings),
         "seller_scorecard": (("scorecard",), report.top_sellers),
         "delivery_analysis": (("delivery",), report.delivery_sheet),
         "abc_classification": (("classes",), report.abc_sheet),

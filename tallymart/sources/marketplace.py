@@ -12,8 +12,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallymart.functions.numeric import cents
-from tallymart.sources.schema import COLUMNS, EXPECTED_TABLES
+from tallymart.functions.numeric import Amounts
+from tallymart.sources.schema import AMOUNTS, COLUMNS, EXPECTED_TABLES
 
 
 class MissingTable(LookupError):
@@ -90,6 +90,12 @@ class Marketplace:
             raise MissingTable(f"table not found: {name}{self._unreadable.get(name, '')}")
         return df
 
+    def amounts(self, name: str) -> Amounts:
+        """How the amounts of a table (prices, review scores) are summed."""
+        df = self.table(name)
+        (column,) = AMOUNTS[name]
+        return Amounts.of(df.schema[column].dataType) if column in df.columns else Amounts(0)
+
     def _find(self, name: str) -> DataFrame | None:
         if name not in self._frames:
             try:
@@ -107,8 +113,8 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     A column that is missing is missed only by what reads it.
 
     A column that already has the right type is passed through untouched, so
-    filters on it still reach the Parquet reader. Items also get their price
-    in cents, taken straight from the source column.
+    filters on it still reach the Parquet reader. Prices and scores also come as
+    the units in which they are summed.
     """
     wanted = COLUMNS.get(name)
     if wanted is None:
@@ -119,8 +125,10 @@ def conform(name: str, df: DataFrame) -> DataFrame:
         for c, kind in wanted.items()
         if c in actual
     ]
-    if "price" in wanted and "price" in actual:
-        columns.append(cents(F.col("price")).alias("price_cents"))
+    for column, units in AMOUNTS.get(name, {}).items():
+        if column in actual:
+            kind = Amounts.of(df.schema[column].dataType)
+            columns.append(kind.units(F.col(column), column).alias(units))
     return df.select(*columns)
 
 

@@ -1,8 +1,7 @@
 """Canonical marketplace schema: the nine tables and the columns the analyses read.
 
-Money is ``decimal(12,2)`` so that sums are exact and independent of row
-order. Key columns carry no fixed type: any equi-joinable type works and is
-left as the source has it.
+Key columns, prices and review scores carry no fixed type and are left as the
+source has them: any equi-joinable type serves as a key, any number as an amount.
 """
 
 from __future__ import annotations
@@ -29,7 +28,7 @@ MINIMUM_ROWS = {"orders": 1_000, "order_items": 1_000, "customers": 1_000}
 EARLIEST_YEAR = 2015
 
 # Columns the analyses use, with the type they need. ``None`` keeps the
-# source type (keys). Tables that are only counted are not listed.
+# source type. Tables that are only counted are not listed.
 COLUMNS: dict[str, dict[str, str | None]] = {
     "orders": {
         "order_id": None,
@@ -43,7 +42,7 @@ COLUMNS: dict[str, dict[str, str | None]] = {
         "order_id": None,
         "product_id": None,
         "seller_id": None,
-        "price": "decimal(12,2)",
+        "price": None,
     },
     "customers": {
         "customer_id": None,
@@ -52,5 +51,8 @@ COLUMNS: dict[str, dict[str, str | None]] = {
     },
     "products": {"product_id": None, "product_category_name": "string"},
     "sellers": {"seller_id": None, "seller_state": "string"},
-    "order_reviews": {"review_id": None, "order_id": None, "review_score": "int"},
+    "order_reviews": {"review_id": None, "order_id": None, "review_score": None},
 }
+
+# Columns that are summed, and the column that holds them as units to sum.
+AMOUNTS = {"order_items": {"price": "price_units"}, "order_reviews": {"review_score": "score_units"}}

@@ -7,9 +7,12 @@ executor, and lets the later reads prune columns and see true sizes.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +28,7 @@ def scratch_root(spark: SparkSession) -> str:
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that all executors share")
     return _local_folder()
 
@@ -39,5 +42,27 @@ def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader over the files."""
     spark = df.sparkSession
     path = f"{scratch_root(spark).rstrip('/')}/tallymart/{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[str] = []
+
+
+@contextlib.contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the intermediate tables that are written inside the block, at its end.
+
+    Frames that read them cannot be used afterwards. Only folders that this
+    process made itself under names of its own are deleted.
+    """
+    kept = len(_written)
+    try:
+        yield
+    finally:
+        jvm = spark._jvm
+        for path in _written[kept:]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+        del _written[kept:]

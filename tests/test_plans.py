@@ -127,8 +127,8 @@ def test_date_bounds_reach_the_reader(market):
     for df in (
         tm.orders_over_time(market, YEAR),
         tm.delivery_by_state(market, YEAR),
-        tm.seller_metrics(market, YEAR),
-        tm.product_revenue(market, YEAR),
+        sellers._order_events(market, YEAR),
+        products._order_copies(market, YEAR),
         tm.first_purchase(market, YEAR),
         tm.cohort_retention(market, Period.of(start="2020-01-01")),
     ):
@@ -149,11 +149,10 @@ def test_only_used_columns_are_read(market):
 
 
 def test_rows_are_combined_before_the_first_shuffle(spark, market):
-    """Item and order rows pass a partial aggregate below every exchange."""
+    """Rows pass a partial aggregate below every exchange, but for items that meet their orders."""
     with conf(spark, **NO_BROADCAST):
         for df in (
-            tm.seller_metrics(market, YEAR),
-            products._revenue(market, YEAR),
+            products._order_copies(market, YEAR),
             tm.orders_over_time(market),
             tm.delivery_by_state(market),
             tm.cohort_retention(market),
@@ -210,11 +209,26 @@ SPLIT_EARLY = {
 def test_row_level_joins_split_hot_keys(spark, market):
     """Joins that return a row per order or item meet as plain shuffles, which may be split."""
     with conf(spark, **SPLIT_EARLY):
-        for df in (tm.delivery_times(market), tm.seller_base(market), tm.days_since_first(market)):
+        for df in (
+            tm.delivery_times(market),
+            tm.seller_base(market),
+            tm.days_since_first(market),
+            tm.seller_metrics(market),
+            tm.seller_reviews(market),
+            tm.product_revenue(market),
+        ):
             df.collect()
             assert "skew=true" in plan(df, "simple")
 
 
+def test_items_are_shuffled_once_before_the_order_join(spark, market):
+    with conf(spark, **NO_BROADCAST):
+        for df in (tm.seller_metrics(market, YEAR), tm.product_revenue(market, YEAR)):
+            text = plan(df, "simple")
+            assert len(re.findall(r"Exchange hashpartitioning\(order_id", text)) == 2  # items and facts
+            assert not re.search(r"HashAggregate\(keys=\[order_id", text)
+
+
 def test_hot_keys_give_the_same_sums_as_plain_joins(spark, market):
     orders, items = market.table("orders"), market.table("order_items")
     plain = (

@@ -38,6 +38,19 @@ def _same(left, right):
     return sorted(rows(left), key=repr) == sorted(rows(right), key=repr)
 
 
+def test_rows_equal_in_every_column_do_not_meet(spark):
+    df = spark.range(30_000).selectExpr("cast(7 as double) as v")
+    ranked = global_rank(df, [("v", "desc", "r")])
+    assert ranked.groupBy("r").count().collect() == [(1, 30_000)]
+    largest = ranked.groupBy(F.spark_partition_id()).count().agg(F.max("count"))
+    with_aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert largest.head()[0] < 30_000 / 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", with_aqe)
+
+
 VALUES = {
     "distinct": "cast(id as double)",
     "eleven values": "cast(id % 11 as double)",
@@ -62,13 +75,14 @@ def test_rank_equals_plain_window(spark, values, direction, size):
 def test_rank_spreads_a_hot_value(spark, hot):
     """No window group holds much more than a fair share of the rows."""
     df = spark.range(30_000).selectExpr(
-        f"case when id % 3 = 0 then {hot} else cast(id as double) end as v", "id"
+        f"case when id % 3 = 0 then {hot} else cast(id as double) end as v", "id as _row"
     )
-    cuts = ranking._cut_points(df, ["v"])["v"]
+    count = ranking._cut_count(df)
+    cuts = ranking._cut_points(df, ["v"], count)["v"]
     piece = ranking._piece(F.col("v"), "desc", cuts, "double")
-    spread = F.pmod(F.xxhash64("v", "id"), F.lit(ranking.TIE_GROUPS))
+    spread = F.pmod(F.xxhash64("_row"), F.lit(2 * count))
     groups = df.groupBy(piece.alias("p"), F.when(piece % 2 == 1, spread).alias("g")).count()
-    assert groups.agg(F.max("count")).head()[0] < 30_000 / ranking.CUTS * 2
+    assert groups.agg(F.max("count")).head()[0] < 30_000 / count * 2
 
 
 def test_rank_needs_a_direction(spark):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 import tallymart as tm
 from catalogue.star import star_market
@@ -53,28 +54,37 @@ def test_database_source(spark):
     spark.sql("DROP DATABASE shop CASCADE")
 
 
-def test_other_column_types_are_cast(spark):
-    raw = spark.sql(
-        """SELECT 1L AS order_id, 2L AS product_id, 3L AS seller_id, 1.15D AS price, 'x' AS extra"""
-    )
-    m = Marketplace.from_frames(spark, {"order_items": raw})
-    table = m.table("order_items")
-    assert dict(table.dtypes) == {
-        "order_id": "bigint",
-        "product_id": "bigint",
-        "seller_id": "bigint",
-        "price": "decimal(12,2)",
-        "price_cents": "bigint",
-    }
-    assert rows(table, "price_cents") == [(115,)]
+def _items(spark, prices):
+    raw = prices.selectExpr("1L AS order_id", "2L AS product_id", "3L AS seller_id", "price", "'x' AS extra")
+    return Marketplace.from_frames(spark, {"order_items": raw})
+
+
+def test_prices_keep_their_type_and_all_digits(spark):
+    found = {}
+    for kind in ("double", "float", "string", "decimal(12,2)", "decimal(18,4)", "decimal(20,10)", "int"):
+        m = _items(spark, spark.sql(f"SELECT cast('12' AS {kind}) AS price UNION ALL SELECT NULL"))
+        table, money = m.table("order_items"), m.amounts("order_items")
+        assert dict(table.dtypes)["price"] == kind and "extra" not in table.columns
+        assert rows(table.select(money.double(F.sum("price_units")).alias("s")), "s") == [(12.0,)]
+        found[kind] = dict(table.dtypes)["price_units"]
+    assert found.pop("decimal(20,10)") == "decimal(28,10)" and set(found.values()) == {"bigint"}
 
 
-def test_cents_are_exact(spark):
-    prices = spark.range(0, 9_999_999_999_99, 7_777_777_77).selectExpr(
-        "1L order_id", "1L product_id", "id seller_id", "cast(id as decimal(20,0)) / 100 as price"
+def test_units_are_exact(spark):
+    prices = spark.range(0, 99_999_999_999_999_999, 77_777_777_777_777).selectExpr(
+        "id", "cast(cast(id as decimal(20,0)) / 10000 as decimal(18,4)) as price"
     )
-    table = Marketplace.from_frames(spark, {"order_items": prices}).table("order_items")
-    assert table.filter("price_cents <> seller_id").count() == 0
+    units = F.col("price") * 10_000
+    table = _items(spark, prices).table("order_items")
+    assert table.filter(units != F.col("price_units")).count() == 0
+
+
+def test_a_loose_price_with_more_digits_is_refused(spark):
+    good = _items(spark, spark.sql("SELECT 20000000000.0375D AS price"))
+    assert rows(good.table("order_items"), "price_units") == [(200000000000375,)]
+    bad = _items(spark, spark.sql("SELECT 0.00001D AS price"))
+    with pytest.raises(Exception, match="more than 4 digits"):
+        bad.table("order_items").collect()
 
 
 def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
@@ -170,7 +180,7 @@ def test_one_failed_analysis_leaves_the_others(spark, star, tmp_path):
 
 
 def test_failure_inside_a_job_is_contained(spark, star, tmp_path):
-    items = star.table("order_items").drop("price_cents")
+    items = star.table("order_items").drop("price_units")
     bad = items.selectExpr(
         "order_id", "product_id", "seller_id",
         "if(order_id >= 0, raise_error('unreadable price'), price) as price",
@@ -193,7 +203,7 @@ def test_run_on_empty_tables(spark, tmp_path):
     found = rows(spark.read.parquet(outcome.files["key_findings"]), "topic", "finding")
     assert dict(found) == {
         "Seller Scorecard": "0 active sellers ranked by composite score",
-        "Delivery Analysis": report.FINDING_DELIVERY,
+        "Delivery Analysis": report.FINDING_DELIVERY % ("none", "none"),
         "ABC Classification": "Class A (N/A products) drives N/A of revenue",
         "Customer Retention": "Only N/A of customers return within 90 days",
     }
@@ -211,7 +221,7 @@ def test_job_arguments_and_exit_codes(spark, tmp_path):
     )
     for name in SCHEMAS:
         table = m.table(name)
-        table.drop("price_cents").write.parquet(f"{source}/{name}")
+        table.drop("price_units", "score_units").write.parquet(f"{source}/{name}")
     assert main(["--folder", source, "--out", out, "--start-date", "20200101"], spark) == 1
     arguments = ["--start-date", "2020-01-01", "--end-date", "2021-12-31", "--seller-state", "RJ"]
     assert main(["--folder", source, "--out", out, *arguments], spark) == 0
@@ -237,3 +247,24 @@ def test_outputs_of_an_earlier_run_are_not_taken_for_new(spark, star, tmp_path):
     assert first.files["detail"] and "detail" not in listed
     assert listed["scorecard"][0] is None and "sellers" in listed["scorecard"][1]
     assert listed["summary"] == (second.files["summary"], None)
+
+
+def test_a_run_leaves_no_intermediate_tables(spark, star, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "scratch_root", lambda _: str(tmp_path / "scratch"))
+    tm.run(star, Settings(out=str(tmp_path / "out")))
+    assert list((tmp_path / "scratch" / "tallymart").iterdir()) == []
+    assert spark.read.parquet(str(tmp_path / "out" / "detail.parquet")).count() > 0
+
+
+def test_only_a_local_master_has_a_folder_of_its_own(spark, monkeypatch):
+    class Session:
+        class sparkContext:
+            master = "local-cluster[2,1,1024]"
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return None
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(Session)
