@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 
 from tallymart.plans.run import Settings, run
+from tallymart.session import CLUSTER_SETTINGS
 from tallymart.sources.marketplace import Marketplace
 
 log = logging.getLogger("tallymart")
@@ -30,7 +31,10 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("--seller-state", help="only sellers of this state in the scorecard")
     given = parser.parse_args(argv)
 
-    spark = spark or SparkSession.builder.appName("tallymart").getOrCreate()
+    if spark is None:
+        zone = "spark.sql.session.timeZone"
+        builder = SparkSession.builder.appName("tallymart").config(zone, CLUSTER_SETTINGS[zone])
+        spark = builder.getOrCreate()
     settings = Settings(given.out, given.start_date, given.end_date, given.seller_state)
     try:
         if given.folder:
