@@ -437,6 +437,11 @@ def all_checks(min_year: int, as_of: str) -> str:
     return " UNION ALL ".join((TABLE_CHECK, KEY_CHECK, date_check(min_year, as_of), SIZE_CHECK))
 
 
+INCOMPLETE = """
+    SELECT * FROM found WHERE item NOT IN ('geolocation', 'sellers.seller_id')
+    UNION ALL SELECT 'tables_exist', 'geolocation', 'missing', 'present', false, 'fail'
+    UNION ALL SELECT 'key_columns', 'sellers.seller_id', 'none', '>= 1', false, 'fail'"""
+
 # --- reports ---------------------------------------------------------------
 
 TOP_STATES = """

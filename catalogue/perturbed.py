@@ -101,6 +101,12 @@ def keyless_customers(market: Marketplace) -> Marketplace:
     )
 
 
+def incomplete(market: Marketplace) -> Marketplace:
+    """A table and a key column are not there."""
+    sellers = market.table("sellers").drop("seller_id")
+    return market.without("geolocation").replace(sellers=sellers)
+
+
 def _repeat(df: DataFrame, condition: Column) -> DataFrame:
     copies = F.when(condition, F.lit(2)).otherwise(F.lit(1))
     return df.select("*", F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")).drop("_copy")

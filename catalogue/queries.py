@@ -286,6 +286,10 @@ def _entries() -> dict[str, Entry]:
             lambda m: tm.run_validation(m, as_of=AS_OF),
             sql.statement(sql.all_checks(2015, AS_OF.isoformat())),
         ),
+        "run_validation_incomplete": Entry(
+            lambda m: tm.run_validation(perturbed.incomplete(m), as_of=AS_OF),
+            sql.statement(sql.INCOMPLETE, found=sql.all_checks(2015, AS_OF.isoformat())),
+        ),
         "validation_passed": Entry(
             lambda m: tm.validation_passed(tm.run_validation(m, 1990, EARLY_AS_OF)),
             sql.statement(
