@@ -9,8 +9,11 @@ depth is reported as a span of the original.
 
 A layer equal to one already seen at the same place is not unwrapped again, and
 decoding always shortens a segment or opens compressed data, so the worklist
-ends. Compressed data is opened up to ``LAYER_BYTES``; a text with a larger layer
-is reported as ``cut_short``, its first ``LAYER_BYTES`` are still scanned.
+ends. Compressed data is opened to its end, member after member, and scanned in
+pieces of about ``PIECE_BYTES``. A piece ends where no secret and no encoded run
+can go on, so the pieces give what the whole would; without such a place a piece
+grows. Data that is damaged or ends early is scanned as far as it opens, and its
+text is reported as ``cut_short``.
 """
 
 from __future__ import annotations
@@ -20,9 +23,9 @@ import binascii
 import hashlib
 import re
 import zlib
-from collections import deque
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +42,12 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 
-LAYER_BYTES = 16 << 20
+PIECE_BYTES = 4 << 20
+# Compressed bytes handed over at a time.
+FEED_BYTES = 16 << 10
+# After these bytes nothing goes on that a pattern could match: one outside all patterns, or a line end after one
+# that cannot be in a base64 line.
+BREAK = re.compile(rb"""[^A-Za-z0-9"' :=+/_.%\\~\t\r\n-]|["':.%~]\r?\n""")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
@@ -149,20 +157,90 @@ def _readable(data: bytes) -> str | None:
     return None if control or not text else text
 
 
-def _opened(data: bytes) -> tuple[bytes, bool] | None:
-    """Decompressed data (zlib or gzip by its first bytes), and whether it was cut short."""
-    if data[:2] == b"\x1f\x8b":
-        window = 31
-    elif len(data) > 2 and data[0] & 15 == 8 and int.from_bytes(data[:2], "big") % 31 == 0:
-        window = 15
-    else:
-        return None
-    machine = zlib.decompressobj(window)
-    try:
-        out = machine.decompress(data, LAYER_BYTES)
-    except zlib.error:
-        return None
-    return out, bool(machine.unconsumed_tail)
+def _window(head: bytes) -> int:
+    """How zlib is to open data that begins like this (gzip or zlib), or 0."""
+    if head[:2] == b"\x1f\x8b":
+        return 31
+    return 15 if len(head) > 2 and head[0] & 15 == 8 and int.from_bytes(head[:2], "big") % 31 == 0 else 0
+
+
+def _inflated(machine: zlib._Decompress, fed: bytes) -> Iterator[bytes]:
+    """What comes out for some compressed bytes; if they are damaged, first all that precedes the damage."""
+    while True:
+        before = machine.copy()
+        try:
+            out = machine.decompress(fed, PIECE_BYTES)
+        except zlib.error:
+            yield from (before.decompress(fed[i : i + 1]) for i in range(len(fed)))
+            raise
+        yield out
+        fed = machine.unconsumed_tail
+        if machine.eof or not (fed or out):
+            return
+
+
+def _members(head: bytes, rest: Iterator[bytes], cuts: list[str]) -> Iterator[bytes]:
+    """The decompressed bytes of members that follow each other; after a zero byte, whatever else follows them.
+
+    Data that is damaged or ends early is told in ``cuts``, unless it only began like zlib data by chance.
+    """
+    while window := _window(head):
+        machine, fed, feeds = zlib.decompressobj(window), head, 0
+        while fed and not machine.eof:
+            try:
+                yield from _inflated(machine, fed)
+            except zlib.error:
+                break
+            feeds += 1
+            fed = machine.unused_data if machine.eof else next(rest, b"")
+        if not machine.eof:
+            if window == 31 or feeds > 1:
+                cuts.append("damaged")
+            yield from chain([b"\0", head if feeds < 2 and not fed else fed], rest)
+            return
+        head = fed
+        while len(head := head.lstrip(b"\0")) < 3 and (more := next(rest, b"")):
+            head += more
+    yield from chain([b"\0" * bool(head), head], rest)
+
+
+def _fed(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    return (chunk[i : i + FEED_BYTES] for chunk in chunks for i in range(0, len(chunk), FEED_BYTES))
+
+
+def _opened(data: bytes, cuts: list[str]) -> Iterator[bytes]:
+    """The bytes inside all layers of compression, chunk by chunk; other data as it stands."""
+    chunks, heads = _fed([data]), set()
+    while True:
+        head = b""
+        while len(head) <= FEED_BYTES and (more := next(chunks, b"")):
+            head += more
+        # Short data that opens to itself would go on for ever.
+        if not _window(head) or head in heads:
+            return chain([head], chunks)
+        if len(head) <= FEED_BYTES:
+            heads.add(head)
+        chunks = _fed(_members(head, chunks, cuts))
+
+
+def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The same bytes, in pieces that end at a break."""
+    parts, size, enough = [], 0, PIECE_BYTES
+    for chunk in chunks:
+        parts.append(chunk)
+        size += len(chunk)
+        if size < enough:
+            continue
+        held, at, back = b"".join(parts), 0, 1 << 10
+        while not at and back < 2 * size:
+            at = max((match.end() for match in BREAK.finditer(held, max(0, size - back))), default=0)
+            back *= 8
+        if at:
+            yield held[:at]
+        parts, size = [held[at:]], size - at
+        enough = max(PIECE_BYTES, 2 * size)
+    if size:
+        yield b"".join(parts)
 
 
 def _unbase64(segment: str) -> bytes | None:
@@ -178,25 +256,23 @@ def _unbase64(segment: str) -> bytes | None:
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
-def _unwrapped(layer: Layer) -> Iterator[tuple[Layer, bool]]:
-    """The layers directly inside one, and whether each was cut short."""
+def _unwrapped(layer: Layer, cuts: list[str]) -> Iterator[Layer]:
+    """The layers directly inside one; of compressed data, its pieces. ``cuts`` tells of damaged ones."""
     text = layer.text
     for mark, pattern, decode in (("%", PERCENT, _unpercent), ("\\", ESCAPES, _unescape)):
         if mark in text and (inner := _decoded(layer, pattern, decode)) is not None:
-            yield inner, False
+            yield inner
     for match in BASE64.finditer(text):
         data = _unbase64(match[0])
         if data is None:
             continue
-        cut_short = False
-        while (inner := _opened(data)) is not None:
-            data, cut = inner
-            cut_short |= cut
-        if cut_short:
-            # The end may have fallen inside a character.
-            data = data.decode(errors="ignore").encode()
-        if (readable := _readable(data)) is not None:
-            yield Layer(readable, None, None, layer.origin(match.start(), match.end()), layer.depth + 1), cut_short
+        place = layer.origin(match.start(), match.end())
+        if not _window(data):
+            if (readable := _readable(data)) is not None:
+                yield Layer(readable, None, None, place, layer.depth + 1)
+            continue
+        for piece in _pieces(_opened(data, cuts)):
+            yield Layer(piece.decode(errors="replace"), None, None, place, layer.depth + 1)
 
 
 @dataclass
@@ -215,22 +291,24 @@ def scan(text: str) -> Found:
     plain = [Span(*span) for span in plain_spans(text)]
     wrapped: set[Span] = set()
     seen: set[tuple[bytes, tuple[int, int]]] = set()
-    work, layers, cut_short = deque([Layer(text, None, None, None, 0)]), 0, False
+    # A layer is unwrapped to the end before the next one is made, so that few are held at a time.
+    cuts: list[str] = []
+    work, layers = [_unwrapped(Layer(text, None, None, None, 0), cuts)], 0
     while work:
-        layer = work.popleft()
-        for inner, cut in _unwrapped(layer):
-            cut_short |= cut
-            place = inner.origin(0, len(inner.text)) if inner.text else (0, 0)
-            key = hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), place
-            if key in seen:
-                continue
-            seen.add(key)
-            layers += 1
-            for start, kind, end in plain_spans(inner.text):
-                begin, stop = inner.origin(start, end)
-                wrapped.add(Span(begin, kind, stop, inner.depth))
-            work.append(inner)
-    return Found(plain, sorted(wrapped.difference(plain)), layers, cut_short)
+        if (inner := next(work[-1], None)) is None:
+            work.pop()
+            continue
+        place = inner.origin(0, len(inner.text)) if inner.text else (0, 0)
+        key = hashlib.blake2b(inner.text.encode("utf-8", "surrogatepass"), digest_size=16).digest(), place
+        if key in seen:
+            continue
+        seen.add(key)
+        layers += 1
+        for start, kind, end in plain_spans(inner.text):
+            begin, stop = inner.origin(start, end)
+            wrapped.add(Span(begin, kind, stop, inner.depth))
+        work.append(_unwrapped(inner, cuts))
+    return Found(plain, sorted(wrapped.difference(plain)), layers, bool(cuts))
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -58,6 +58,30 @@ def test_plain_rules():
     ]
 
 
+def test_compressed_data_is_scanned_to_its_end(monkeypatch):
+    monkeypatch.setattr(secret_scan, "PIECE_BYTES", 1 << 16)
+    long = b"a, b\n" * 4_000_000 + SECRET.encode()
+    members = gzip.compress(b"first passw") + gzip.compress(b"ord = hunter22abc") + b"\0" * 9 + gzip.compress(b"x token: abcdef1")
+    nested = gzip.compress(gzip.compress(random.Random(3).randbytes(300_000).hex().encode() + b"\n, " + SECRET.encode()))
+    for data, kinds in ((gzip.compress(long), {0}), (members, {0}), (nested, {0, 2})):
+        found = secret_scan.scan(f"before {base64.b64encode(data).decode()} after")
+        assert {span.kind for span in found.wrapped} == kinds and not found.cut_short
+    damaged = secret_scan.scan(base64.b64encode(gzip.compress(SECRET.encode())[:-6]).decode())
+    assert damaged.wrapped and damaged.cut_short
+
+
+def test_pieces_are_the_whole_and_end_at_breaks():
+    rng = random.Random(6)
+    for _ in range(200):
+        data = b"".join(rng.choice([b"password = abcdef1", b"\n", b", ", b"AKIA" + b"Q" * 30, b"0a" * 40, b".\r\n"]) for _ in range(60))
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(secret_scan, "PIECE_BYTES", 50)
+            pieces = list(secret_scan._pieces([data[i : i + 7] for i in range(0, len(data), 7)]))
+        assert b"".join(pieces) == data
+        found = [(kind, end - start) for piece in pieces for start, kind, end in secret_scan.plain_spans(piece.decode())]
+        assert found == [(kind, end - start) for start, kind, end in secret_scan.plain_spans(data.decode())]
+
+
 def test_scan_table(spark):
     docs = awkward(spark).union(documents(spark, [f"a {SECRET} b", f"{SECRET} {SECRET}"], 100))
     rows = {row.doc_id: row for row in secret_scan.scan_documents(docs).collect()}
