@@ -2,10 +2,12 @@
 
 Each text is scanned as it stands. Then a worklist unwraps it: the text with its
 percent-encoded bytes decoded, with its backslash escapes decoded, and each of
-its base64 segments (opened if compressed) are layers of their own; each layer
-is scanned and unwrapped in turn, until nothing new comes up. Every layer remembers, for each of its characters,
-the place in the original text that it came from, so a secret found at any
-depth is reported as a span of the original.
+its base64 segments are layers of their own, and so is compressed data written in
+any of these ways (as escapes, if every byte is escaped), once opened. Each layer
+is scanned and unwrapped in turn, until nothing new comes up. Decoded bytes become one character each, whether or not
+they are text. Every layer remembers, for each of its characters, the place in
+the original text that it came from, so a secret found at any depth is reported
+as a span of the original.
 
 A layer equal to one already seen at the same place is not unwrapped again, and
 decoding always shortens a segment or opens compressed data, so the worklist
@@ -26,6 +28,7 @@ import zlib
 from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 from itertools import chain
+from urllib.parse import unquote_to_bytes
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +46,8 @@ KINDS = ("assign", "access", "hex")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 
 PIECE_BYTES = 4 << 20
-# Compressed bytes handed over at a time.
-FEED_BYTES = 16 << 10
+# Compressed bytes handed over at a time, and looked at to tell whether compressed data begins.
+FEED_BYTES, BEGIN_BYTES = 16 << 10, 512
 # After these bytes nothing goes on that a pattern could match: one outside all patterns, or a line end after one
 # that cannot be in a base64 line.
 BREAK = re.compile(rb"""[^A-Za-z0-9"' :=+/_.%\\~\t\r\n-]|["':.%~]\r?\n""")
@@ -101,15 +104,11 @@ class Layer:
 Decoded = list[tuple[str, int]]
 
 
-def _unpercent(run: str) -> Decoded | None:
-    try:
-        text = bytes.fromhex(run.replace("%", "")).decode()
-    except UnicodeDecodeError:
-        return None
-    return [(char, 3 * len(char.encode())) for char in text]
+def _unpercent(run: str) -> Decoded:
+    return [(char, 3) for char in unquote_to_bytes(run).decode("latin-1")]
 
 
-def _unescape(run: str) -> Decoded | None:
+def _unescape(run: str) -> Decoded:
     found: Decoded = []
     high = None
     for match in ESCAPE.finditer(run):
@@ -123,12 +122,11 @@ def _unescape(run: str) -> Decoded | None:
     return found
 
 
-def _decoded(layer: Layer, pattern: re.Pattern, decode: Callable[[str], Decoded | None]) -> Layer | None:
+def _decoded(layer: Layer, pattern: re.Pattern, decode: Callable[[str], Decoded]) -> Layer | None:
     """The layer with every run of ``pattern`` decoded, each character tied to its source."""
     texts, starts, sizes, at = [], [], [], 0
     for match in pattern.finditer(layer.text):
-        if (found := decode(match[0])) is None:
-            continue
+        found = decode(match[0])
         texts += [layer.text[at : match.start()], "".join(char for char, _ in found)]
         lengths = np.array([size for _, size in found], np.int64)
         starts += [np.arange(at, match.start()), match.start() + np.cumsum(lengths) - lengths]
@@ -147,16 +145,6 @@ def _decoded(layer: Layer, pattern: re.Pattern, decode: Callable[[str], Decoded
     return Layer(text, begin, end, None, layer.depth + 1)
 
 
-def _readable(data: bytes) -> str | None:
-    """The text of bytes that are UTF-8 without control characters."""
-    try:
-        text = data.decode()
-    except UnicodeDecodeError:
-        return None
-    control = sum(char < " " and char not in "\t\n\r" or char == "\x7f" for char in text)
-    return None if control or not text else text
-
-
 def _window(head: bytes) -> int:
     """How zlib is to open data that begins like this (gzip or zlib), or 0."""
     if head[:2] == b"\x1f\x8b":
@@ -164,6 +152,15 @@ def _window(head: bytes) -> int:
     return 15 if len(head) > 2 and head[0] & 15 == 8 and int.from_bytes(head[:2], "big") % 31 == 0 else 0
 
 
+def _begins(data: bytes) -> bool:
+    """Whether bytes from somewhere within others are the begin of compressed data; zlib's two first bytes tell little."""
+    window = _window(data)
+    try:
+        return window == 31 or window == 15 and bool(zlib.decompressobj(window).decompress(data[:BEGIN_BYTES]))
+    except zlib.error:
+        return False
+
+
 def _inflated(machine: zlib._Decompress, fed: bytes) -> Iterator[bytes]:
     """What comes out for some compressed bytes; if they are damaged, first all that precedes the damage."""
     while True:
@@ -243,6 +240,31 @@ def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
+def _escaped_bytes(run: str) -> bytes:
+    return bytes(int(match[1] or match[2] or match[3], 16) for match in ESCAPE.finditer(run))
+
+
+# Per way of writing bytes: its mark, where compressed data (gzip, or zlib as all tools write it) begins, what belongs
+# to it, how it is read. Percent encoding leaves some bytes as they are.
+PACKED = [
+    (
+        "%",
+        re.compile(r"%1[Ff]%8[Bb]|(?:%78|x)%(?:01|5[Ee]|9[Cc]|[Dd][Aa])"),
+        re.compile(r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~/+-])+"),
+        unquote_to_bytes,
+    ),
+    (
+        "\\",
+        re.compile(
+            r"(?:\\x|\\u00|\\U000000)1[Ff](?:\\x|\\u00|\\U000000)8[Bb]"
+            r"|(?:\\x|\\u00|\\U000000)78(?:\\x|\\u00|\\U000000)(?:01|5[Ee]|9[Cc]|[Dd][Aa])"
+        ),
+        re.compile(r"(?:\\u00[0-9A-Fa-f]{2}|\\x[0-9A-Fa-f]{2}|\\U000000[0-9A-Fa-f]{2})+"),
+        _escaped_bytes,
+    ),
+]
+
+
 def _unbase64(segment: str) -> bytes | None:
     body = segment.rstrip("=")
     if len(body) % 4 == 1:
@@ -262,17 +284,29 @@ def _unwrapped(layer: Layer, cuts: list[str]) -> Iterator[Layer]:
     for mark, pattern, decode in (("%", PERCENT, _unpercent), ("\\", ESCAPES, _unescape)):
         if mark in text and (inner := _decoded(layer, pattern, decode)) is not None:
             yield inner
+    yield from _packed(layer, cuts)
     for match in BASE64.finditer(text):
         data = _unbase64(match[0])
         if data is None:
             continue
-        place = layer.origin(match.start(), match.end())
-        if not _window(data):
-            if (readable := _readable(data)) is not None:
-                yield Layer(readable, None, None, place, layer.depth + 1)
-            continue
-        for piece in _pieces(_opened(data, cuts)):
-            yield Layer(piece.decode(errors="replace"), None, None, place, layer.depth + 1)
+        yield from _contents(data, layer, match, cuts)
+
+
+def _contents(data: bytes, layer: Layer, source: re.Match, cuts: list[str]) -> Iterator[Layer]:
+    """The layers of bytes written in some place of a layer, opened if compressed. All bytes are kept, as characters."""
+    place = layer.origin(source.start(), source.end())
+    for piece in _pieces(_opened(data, cuts)):
+        yield Layer(piece.decode("latin-1"), None, None, place, layer.depth + 1)
+
+
+def _packed(layer: Layer, cuts: list[str]) -> Iterator[Layer]:
+    """The contents of compressed data written as percent-encoded bytes or backslash escapes."""
+    text = layer.text
+    for mark, start, run, decode in PACKED:
+        for found in start.finditer(text) if mark in text else ():
+            if _begins(decode(run.match(text, found.start(), found.start() + 4 * BEGIN_BYTES)[0])):
+                source = run.match(text, found.start())
+                yield from _contents(decode(source[0]), layer, source, cuts)
 
 
 @dataclass

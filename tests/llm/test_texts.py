@@ -8,6 +8,7 @@ import hashlib
 import math
 import random
 import urllib.parse
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -82,6 +83,28 @@ def test_pieces_are_the_whole_and_end_at_breaks():
         assert found == [(kind, end - start) for start, kind, end in secret_scan.plain_spans(data.decode())]
 
 
+def _escapes(data: bytes, form: str) -> str:
+    return "".join(form % byte for byte in data)
+
+
+@pytest.mark.parametrize("inner", [
+    base64.b64encode(b"HOME=/root\0" + SECRET.encode() + b"\0A=1").decode(),
+    base64.b64encode("caf\u00e9 ".encode("latin-1") + SECRET.encode()).decode(),
+    base64.b64encode(gzip.compress(b"name\0\xff\xfe" + SECRET.encode())).decode(),
+    _escapes(b"\xe9" + SECRET.encode(), "%%%02X"),
+    *(_escapes(gzip.compress(SECRET.encode()), form) for form in ("%%%02x", "\\x%02x", "\\u00%02X", "\\U000000%02x")),
+    *(_escapes(zlib.compress(SECRET.encode()), form) for form in ("%%%02X", "\\x%02x")),
+    urllib.parse.quote(gzip.compress(SECRET.encode()), safe=""),
+    urllib.parse.quote("a " + urllib.parse.quote(zlib.compress(SECRET.encode()), safe=""), safe=""),
+])
+def test_odd_bytes_hide_nothing(inner):
+    text = f"before {inner} after"
+    found = secret_scan.scan(text)
+    assert {span.kind for span in found.wrapped} == {0} and not found.cut_short
+    clean = secret_scan.redact(text, found.all())
+    assert clean.startswith("before ") and clean.endswith(" after") and not secret_scan.scan(clean).all()
+
+
 def test_scan_table(spark):
     docs = awkward(spark).union(documents(spark, [f"a {SECRET} b", f"{SECRET} {SECRET}"], 100))
     rows = {row.doc_id: row for row in secret_scan.scan_documents(docs).collect()}
