@@ -21,7 +21,6 @@ text is reported as ``cut_short``.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -55,7 +54,16 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8})+")
 ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
 # Shorter segments cannot hold the shortest secret.
-BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+LEAST_BASE64 = 16
+BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_BASE64},}}={{0,2}}")
+# Base64 over several lines, whose ends may be written as escapes.
+LINE_END = re.compile(r"[ \t]*\r?\n[ \t]*|(?:\\r)?\\n")
+WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:(?:[ \t]*\r?\n[ \t]*|(?:\\r)?\\n)[A-Za-z0-9+/_-]++)+={0,2}"
+)
+BASE64_PART = re.compile(r"[A-Za-z0-9+]+")
+# Where compressed data may begin within other bytes: gzip, or zlib as all tools write it.
+PACKED_BYTES = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]")
 
 
 @dataclass(frozen=True, order=True)
@@ -147,7 +155,7 @@ def _decoded(layer: Layer, pattern: re.Pattern, decode: Callable[[str], Decoded]
 
 def _window(head: bytes) -> int:
     """How zlib is to open data that begins like this (gzip or zlib), or 0."""
-    if head[:2] == b"\x1f\x8b":
+    if head[:3] == b"\x1f\x8b\x08":
         return 31
     return 15 if len(head) > 2 and head[0] & 15 == 8 and int.from_bytes(head[:2], "big") % 31 == 0 else 0
 
@@ -176,10 +184,21 @@ def _inflated(machine: zlib._Decompress, fed: bytes) -> Iterator[bytes]:
             return
 
 
-def _members(head: bytes, rest: Iterator[bytes], cuts: list[str]) -> Iterator[bytes]:
+@dataclass
+class Opening:
+    """What became of compressed data: whether a member opened to its end, whether one did not, and where they end."""
+
+    whole: bool = False
+    damaged: bool = False
+    fed: int = 0
+    end: int = 0
+
+
+def _members(head: bytes, rest: Iterator[bytes], opening: Opening, outer: bool, alone: bool) -> Iterator[bytes]:
     """The decompressed bytes of members that follow each other; after a zero byte, whatever else follows them.
 
-    Data that is damaged or ends early is told in ``cuts``, unless it only began like zlib data by chance.
+    The latter not if ``alone``. Data that is damaged or ends early counts as such,
+    unless it only began like zlib data by chance.
     """
     while window := _window(head):
         machine, fed, feeds = zlib.decompressobj(window), head, 0
@@ -191,23 +210,31 @@ def _members(head: bytes, rest: Iterator[bytes], cuts: list[str]) -> Iterator[by
             feeds += 1
             fed = machine.unused_data if machine.eof else next(rest, b"")
         if not machine.eof:
-            if window == 31 or feeds > 1:
-                cuts.append("damaged")
-            yield from chain([b"\0", head if feeds < 2 and not fed else fed], rest)
-            return
+            opening.damaged |= window == 31 or feeds > 1
+            head = head if feeds < 2 and not fed else fed
+            break
+        opening.whole = True
+        if outer:
+            opening.end = opening.fed - len(fed)
         head = fed
         while len(head := head.lstrip(b"\0")) < 3 and (more := next(rest, b"")):
             head += more
-    yield from chain([b"\0" * bool(head), head], rest)
+    if head and not alone:
+        yield from chain([b"\0", head], rest)
 
 
-def _fed(chunks: Iterable[bytes]) -> Iterator[bytes]:
-    return (chunk[i : i + FEED_BYTES] for chunk in chunks for i in range(0, len(chunk), FEED_BYTES))
+def _fed(chunks: Iterable[bytes], opening: Opening | None = None) -> Iterator[bytes]:
+    for chunk in chunks:
+        for i in range(0, len(chunk), FEED_BYTES):
+            part = bytes(chunk[i : i + FEED_BYTES])
+            if opening:
+                opening.fed += len(part)
+            yield part
 
 
-def _opened(data: bytes, cuts: list[str]) -> Iterator[bytes]:
+def _opened(data: memoryview, opening: Opening, alone: bool) -> Iterator[bytes]:
     """The bytes inside all layers of compression, chunk by chunk; other data as it stands."""
-    chunks, heads = _fed([data]), set()
+    chunks, heads, outer = _fed([data], opening), set(), True
     while True:
         head = b""
         while len(head) <= FEED_BYTES and (more := next(chunks, b"")):
@@ -217,7 +244,7 @@ def _opened(data: bytes, cuts: list[str]) -> Iterator[bytes]:
             return chain([head], chunks)
         if len(head) <= FEED_BYTES:
             heads.add(head)
-        chunks = _fed(_members(head, chunks, cuts))
+        chunks, outer = _fed(_members(head, chunks, opening, outer, outer and alone)), False
 
 
 def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
@@ -265,48 +292,84 @@ PACKED = [
 ]
 
 
-def _unbase64(segment: str) -> bytes | None:
-    body = segment.rstrip("=")
-    if len(body) % 4 == 1:
-        return None
-    try:
-        return base64.b64decode(body.translate(_URL_SAFE) + "=" * (-len(body) % 4), validate=True)
-    except binascii.Error:
-        return None
+def _unbase64(body: str) -> bytes:
+    """The bytes of base64 digits of either alphabet; a digit left over after the last byte is dropped."""
+    body = body[: len(body) - (len(body) % 4 == 1)].translate(_URL_SAFE)
+    return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
 
 
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
-def _unwrapped(layer: Layer, cuts: list[str]) -> Iterator[Layer]:
+def _segments(text: str) -> Iterator[tuple[int, int, str, int]]:
+    """Base64 segments: where they begin and end, their digits, and how many of these to leave out at the begin.
+
+    A segment is a run of digits, or several joined over line ends. Since a name,
+    a path or a line above may stand right before it, it is also read from its
+    second, third and fourth digit, and the parts of a run between separators are segments as well.
+    """
+    for match in BASE64.finditer(text):
+        body = match[0].rstrip("=")
+        yield from ((*match.span(), body, skip) for skip in range(4))
+        for part in BASE64_PART.finditer(body):
+            if LEAST_BASE64 <= len(part[0]) < len(body):
+                end = match.end() if part.end() == len(body) else match.start() + part.end()
+                yield match.start() + part.start(), end, part[0], 0
+    if "\n" in text or "\\n" in text:
+        for match in WRAPPED.finditer(text):
+            body = LINE_END.sub("", match[0]).rstrip("=")
+            if len(body) >= LEAST_BASE64:
+                yield from ((*match.span(), body, skip) for skip in range(4))
+
+
+def _unwrapped(layer: Layer, cuts: list[bool]) -> Iterator[Layer]:
     """The layers directly inside one; of compressed data, its pieces. ``cuts`` tells of damaged ones."""
     text = layer.text
     for mark, pattern, decode in (("%", PERCENT, _unpercent), ("\\", ESCAPES, _unescape)):
         if mark in text and (inner := _decoded(layer, pattern, decode)) is not None:
             yield inner
-    yield from _packed(layer, cuts)
-    for match in BASE64.finditer(text):
-        data = _unbase64(match[0])
-        if data is None:
+    streams: list[tuple[int, int, int, Opening]] = []
+    for start, end, data in _packed(text):
+        yield from _contents(data, layer, (start, end, 0), streams, False)
+    for start, end, body, skip in _segments(text):
+        yield from _contents(_unbase64(body[skip:]), layer, (start, end, skip), streams, True)
+    # Half of a stream, as one line of several holds, is no damage if the whole was read.
+    whole = [(start, end, begin) for start, end, begin, opening in streams if not opening.damaged]
+    for start, end, begin, opening in streams:
+        if opening.damaged:
+            cuts.append(not any(a <= start and end <= b and (b - a > end - start or c <= begin) for a, b, c in whole))
+
+
+def _contents(
+    data: bytes, layer: Layer, source: tuple[int, int, int], streams: list[tuple[int, int, int, Opening]], kept: bool
+) -> Iterator[Layer]:
+    """The layers of bytes written in some place of a layer: compressed data in them opened, and the bytes if ``kept``.
+
+    All bytes are kept, as characters. Adds to ``streams`` what was opened.
+    """
+    start, end, skip = source
+    place, view, done = layer.origin(start, end), memoryview(data), 0
+    for at in chain([0], (match.start() for match in PACKED_BYTES.finditer(data, 1))):
+        first = kept and not at
+        if at < done or not first and not _begins(data[at : at + BEGIN_BYTES]):
             continue
-        yield from _contents(data, layer, match, cuts)
-
+        opening = Opening()
+        for piece in _pieces(_opened(view[at:], opening, not first)):
+            yield Layer(piece.decode("latin-1"), None, None, place, layer.depth + 1)
+        done = at + opening.end
+        if opening.whole or opening.damaged and (not at or data[at] == 0x1F):
+            streams.append((start, end, start + skip + at, opening))
 
-def _contents(data: bytes, layer: Layer, source: re.Match, cuts: list[str]) -> Iterator[Layer]:
-    """The layers of bytes written in some place of a layer, opened if compressed. All bytes are kept, as characters."""
-    place = layer.origin(source.start(), source.end())
-    for piece in _pieces(_opened(data, cuts)):
-        yield Layer(piece.decode("latin-1"), None, None, place, layer.depth + 1)
 
-
-def _packed(layer: Layer, cuts: list[str]) -> Iterator[Layer]:
-    """The contents of compressed data written as percent-encoded bytes or backslash escapes."""
-    text = layer.text
+def _packed(text: str) -> Iterator[tuple[int, int, bytes]]:
+    """Where compressed data may be written as percent-encoded bytes or backslash escapes, and the bytes from there."""
     for mark, start, run, decode in PACKED:
+        done = 0
         for found in start.finditer(text) if mark in text else ():
-            if _begins(decode(run.match(text, found.start(), found.start() + 4 * BEGIN_BYTES)[0])):
+            if found.start() >= done:
                 source = run.match(text, found.start())
-                yield from _contents(decode(source[0]), layer, source, cuts)
+                done = source.end()
+                yield *source.span(), decode(source[0])
 
 
 @dataclass
@@ -326,7 +389,7 @@ def scan(text: str) -> Found:
     wrapped: set[Span] = set()
     seen: set[tuple[bytes, tuple[int, int]]] = set()
     # A layer is unwrapped to the end before the next one is made, so that few are held at a time.
-    cuts: list[str] = []
+    cuts: list[bool] = []
     work, layers = [_unwrapped(Layer(text, None, None, None, 0), cuts)], 0
     while work:
         if (inner := next(work[-1], None)) is None:
@@ -342,7 +405,7 @@ def scan(text: str) -> Found:
             begin, stop = inner.origin(start, end)
             wrapped.add(Span(begin, kind, stop, inner.depth))
         work.append(_unwrapped(inner, cuts))
-    return Found(plain, sorted(wrapped.difference(plain)), layers, bool(cuts))
+    return Found(plain, sorted(wrapped.difference(plain)), layers, any(cuts))
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -105,6 +105,35 @@ def test_odd_bytes_hide_nothing(inner):
     assert clean.startswith("before ") and clean.endswith(" after") and not secret_scan.scan(clean).all()
 
 
+def _wrapped_lines(data: bytes, end: str = "\n", width: int = 76) -> str:
+    digits = base64.b64encode(data).decode()
+    return end.join(digits[i : i + width] for i in range(0, len(digits), width))
+
+
+LONG = b", ".join(b"%d" % (i * i) for i in range(700)) + b" " + SECRET.encode()
+
+
+@pytest.mark.parametrize("inner", [
+    *(_wrapped_lines(data, end) for end in ("\n", "\r\n", "\n    ", "\\n") for data in (LONG, gzip.compress(LONG))),
+    _wrapped_lines(b"x" * 50 + SECRET.encode(), width=64),
+    "-----BEGIN DATA-----\n" + _wrapped_lines(zlib.compress(LONG)) + "\n-----END DATA-----",
+    *(prefix + base64.b64encode(data).decode() for prefix in ("https://h.example/v1/", "a", "ab", "abc", "name-", "x_y/")
+      for data in (SECRET.encode(), gzip.compress(LONG), zlib.compress(LONG))),
+    base64.urlsafe_b64encode(bytes(range(256)) + SECRET.encode()).decode(),
+])
+def test_base64_over_lines_and_behind_names(inner):
+    text = f"before, {inner} , after"
+    found = secret_scan.scan(text)
+    assert {span.kind for span in found.wrapped} == {0} and not found.cut_short
+    clean = secret_scan.redact(text, found.all())
+    assert clean.startswith("before, ") and clean.endswith(" , after") and not secret_scan.scan(clean).all()
+
+
+def test_parts_of_a_path_are_segments_of_their_own():
+    text = "https://h.example/v1/" + base64.b64encode(SECRET.encode()).decode()
+    assert (21, len(text)) in {(span.start, span.end) for span in secret_scan.scan(text).wrapped}
+
+
 def test_scan_table(spark):
     docs = awkward(spark).union(documents(spark, [f"a {SECRET} b", f"{SECRET} {SECRET}"], 100))
     rows = {row.doc_id: row for row in secret_scan.scan_documents(docs).collect()}
