@@ -29,8 +29,8 @@ from tallymart.llm.support import binary_values, columns, ship, text_or_empty
 
 ORDER = 3
 UNDETERMINED = "und"
-# Bounds of what a model is fitted on: bytes per language (texts are drawn whole, by a hash, so that this is
-# the expected number), bytes of the longest text drawn, and number of languages.
+# Bounds of what a model is fitted on: bytes per language, bytes of a passage (longer texts are several), and number
+# of languages. Passages are drawn whole, one of each group of copies, by a hash; at least one of each language.
 SAMPLE_BYTES = 3_000_000
 SAMPLE_LONGEST = 100_000
 MOST_LANGUAGES = 200
@@ -145,31 +145,80 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def fit(labelled: DataFrame) -> Model:
     """Fit a model on rows with ``text`` and ``lang``, on a bounded sample of each language.
 
-    Rows without language or text are left out. Runs two jobs; what reaches the
-    driver is one row per language and the counted sequences of the sample.
+    Rows without language or text are left out. The sample is of passages: whole
+    texts, or pieces of ``SAMPLE_LONGEST`` bytes of longer ones. Copies count
+    once. If the distinct passages of a language have up to ``SAMPLE_BYTES``
+    bytes all are learnt, otherwise those with the least hashes, as many as fit.
+    Runs three jobs; what reaches the driver is the languages, the bytes of each
+    in some hundred ranges of hashes, and the counted sequences of the sample.
     """
     ship(labelled.sparkSession)
-    known = columns(labelled, text="string", lang="string").dropna()
-    known = known.withColumn("size", F.octet_length("text")).filter(F.col("size").between(1, SAMPLE_LONGEST))
-    sizes = known.groupBy("lang").agg(F.sum("size").alias("size")).limit(MOST_LANGUAGES + 1).collect()
-    if len(sizes) > MOST_LANGUAGES:
+    known = columns(labelled, text="string", lang="string").dropna().filter(F.octet_length("text") > 0)
+    found = known.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()
+    if len(found) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    languages = tuple(sorted(row["lang"] for row in sizes))
-    share = {row["lang"]: min(1.0, SAMPLE_BYTES / row["size"]) for row in sizes}
+    languages = tuple(sorted(row["lang"] for row in found))
     if not languages:
         return Model((), *(np.zeros(0, np.int64) for _ in range(3)))
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
-    drawn = F.create_map(*[F.lit(x) for lang in languages for x in (lang, int(share[lang] * (1 << 30)))])
-    sample = known.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < drawn[F.col("lang")])
-    counted = sample.select(number[F.col("lang")].alias("language"), "text").mapInArrow(
-        _count, "language int, sequence long, count long"
-    )
+    known = known.select(number[F.col("lang")].alias("language"), "text")
+    longest = SAMPLE_LONGEST
+    hashed = known.mapInArrow(lambda batches: _passages(batches, longest), "language int, hash long, range int, size long")
+    distinct = hashed.groupBy("language", "hash").agg(F.max("range").alias("range"), F.max("size").alias("size"))
+    sizes = distinct.groupBy("language", "range").agg(F.sum("size").alias("size")).collect()
+    last = _last_ranges([(row["language"], row["range"], row["size"]) for row in sizes])
+    drawn = known.mapInArrow(lambda batches: _passages(batches, longest, last), "language int, hash long, text binary")
+    sample = drawn.groupBy("language", "hash").agg(F.first("text").alias("text"))
+    counted = sample.select("language", "text").mapInArrow(_count, "language int, sequence long, count long")
     found = counted.groupBy("language", "sequence").agg(F.sum("count").alias("count")).toArrow()
     table = [found[name].to_numpy() for name in ("language", "sequence", "count")]
     order = np.lexsort((table[1], table[0]))
     return Model(languages, *(x[order].astype(np.int64) for x in table))
 
 
+def _hash_range(value: int) -> int:
+    """Number of a range of hashes, 16 to each power of two; greater hashes have no smaller number."""
+    bits = value.bit_length()
+    return 16 * bits + ((value >> bits - 5 if bits > 5 else value << 5 - bits) & 15)
+
+
+def _last_ranges(sizes: list[tuple[int, int, int]]) -> dict[int, int]:
+    """For each language the last range of hashes that is drawn: up to SAMPLE_BYTES, and always its first range."""
+    last: dict[int, int] = {}
+    total: dict[int, int] = {}
+    for language, number, size in sorted(sizes):
+        total[language] = total.get(language, 0) + size
+        if total[language] <= SAMPLE_BYTES or language not in last:
+            last[language] = number
+    return last
+
+
+def _passages(
+    batches: Iterator[pa.RecordBatch], longest: int, last: dict[int, int] | None = None
+) -> Iterator[pa.RecordBatch]:
+    """Hash, its range and size of every passage; given the last ranges to draw, the passages up to there, once each."""
+    sent: set[tuple[int, int]] = set()
+    for batch in batches:
+        rows: list[tuple] = []
+        data, offsets = binary_values(batch["text"])
+        view = memoryview(data)
+        for language, start, end in zip(batch["language"].to_pylist(), offsets[:-1], offsets[1:], strict=True):
+            for low in range(int(start), int(end), longest):
+                passage = view[low : min(low + longest, int(end))]
+                value = int.from_bytes(hashlib.blake2b(passage, digest_size=8).digest()) >> 1
+                number = _hash_range(value)
+                if last is None:
+                    rows.append((language, value, number, len(passage)))
+                elif number <= last[language] and (language, value) not in sent:
+                    sent.add((language, value))
+                    rows.append((language, value, bytes(passage)))
+        kinds = {"language": pa.int32(), "hash": pa.int64()}
+        kinds |= {"range": pa.int32(), "size": pa.int64()} if last is None else {"text": pa.binary()}
+        values = zip(*rows, strict=True) if rows else [[]] * len(kinds)
+        arrays = [pa.array(v, kind) for v, kind in zip(values, kinds.values(), strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, list(kinds))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         languages = batch["language"].to_numpy()

@@ -195,6 +195,32 @@ def test_languages_of_held_out_documents(spark, sf_dir):
     assert all(0 <= row.score <= 1 for row in found)
 
 
+def _counts(model, lang):
+    return model.count[model.language == model.languages.index(lang)]
+
+
+def test_sample_has_each_language_and_copies_once(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SAMPLE_BYTES", 3000)
+    monkeypatch.setattr(language_id, "SAMPLE_LONGEST", 500)
+    rng = random.Random(12)
+    rows = [(f"{n} {i % 2} template words", f"t{n:02}") for n in range(12) for i in range(400)]
+    rows += [("hot " * 100, "hot")] * 300 + [(" ".join(words(rng, 20)), "hot") for _ in range(30)]
+    rows += [(" ".join(words(rng, 9000)), "long")] * 2 + [(None, "none"), ("", "none"), ("text", None)]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string").repartition(3))
+    assert model.languages == tuple(sorted([f"t{n:02}" for n in range(12)] + ["hot", "long"]))
+    for n in range(12):
+        assert _counts(model, f"t{n:02}").sum() == sum(len(f"{n} {i} template words") for i in range(2))
+    assert _counts(model, "hot").sum() == sum(len(text) for text, lang in set(rows) if lang == "hot")
+    assert 2000 <= _counts(model, "long").sum() <= 3000
+
+
+def test_hash_ranges_follow_the_hash():
+    values = sorted([*range(2000), *(random.Random(1).getrandbits(63) >> i for i in range(60))])
+    ranges = [language_id._hash_range(value) for value in values]
+    assert ranges == sorted(ranges)
+    assert language_id._last_ranges([(0, 7, 5_000_000), (0, 9, 1), (1, 3, 1), (1, 5, 2_999_999), (1, 6, 1)]) == {0: 7, 1: 5}
+
+
 def test_languages_of_awkward_documents(spark):
     rows = {row.doc_id: row for row in language_id.identify(awkward(spark)).collect()}
     assert rows[0].lang_pred == rows[1].lang_pred == rows[3].lang_pred == "und" and rows[0].score == 0
