@@ -38,11 +38,17 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="tallymart-")
 
 
+def new_path(spark: SparkSession) -> str:
+    """A place in the shared folder that nothing else uses; ``released`` deletes what is written there."""
+    path = f"{scratch_root(spark).rstrip('/')}/tallymart/{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and return a reader over the files."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark).rstrip('/')}/tallymart/{uuid.uuid4().hex}"
-    _written.append(path)
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
