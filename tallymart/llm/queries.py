@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from tallymart.llm.chat_format import conversation_digests, format_conversations
 from tallymart.llm.exact_topk import top_k
 from tallymart.llm.fingerprints import fingerprint_documents
+from tallymart.llm.hard_negatives import mine
 from tallymart.llm.language_id import identify
 from tallymart.llm.merge_replay import decoded_digests, encode_documents
 from tallymart.llm.packing import pack
 from tallymart.llm.secret_scan import scan_documents
 from tallymart.llm.shingle_join import link_documents
+from tallymart.llm.spelling_variants import spelling_variants
+from tallymart.llm.substring_dedup import remove_repeats
 from tallymart.llm.support import table
 from tallymart.llm.token_records import token_records
 from tallymart.llm.warc_io import archive_pages
@@ -75,6 +78,22 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Labels of some rows are wrong on purpose.
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    mined = mine(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+    return mined.drop("positive_rank")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_token_records": op1_token_records,
@@ -87,6 +106,9 @@ def queries() -> dict[str, Query]:
         "op8_warc": op8_warc,
         "op9_merge_replay": op9_merge_replay,
         "op10_fingerprints": op10_fingerprints,
+        "op11_spelling_variants": op11_spelling_variants,
+        "op12_substring_dedup": op12_substring_dedup,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
@@ -109,6 +131,65 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+OP12_SQL = """
+WITH words AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
+    FROM (SELECT doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS words FROM documents)
+),
+followed AS (
+    SELECT doc_id, pos, word,
+        list(word) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS run
+    FROM words
+),
+ranked AS (
+    SELECT doc_id, pos, word, len(run) = 20
+        AND row_number() OVER (PARTITION BY array_to_string(run, ' ') ORDER BY doc_id, pos) > 1 AS again
+    FROM followed
+),
+covered AS (
+    SELECT doc_id, pos, word,
+        max(again) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+    FROM ranked
+),
+kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+        string_agg(word, ' ' ORDER BY pos) FILTER (WHERE NOT gone) AS kept
+    FROM covered GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+    sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+OP13_SQL = """
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM whole a JOIN whole c ON c.vec_id <> a.vec_id
+    WHERE a.vec_id % 100 = 0
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+),
+near AS (
+    SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+        row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+    FROM positives JOIN scored USING (anchor_id)
+    WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM near WHERE place <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express."""
-    return {"op3_exact_topk": OP3_SQL}
+    return {"op3_exact_topk": OP3_SQL, "op12_substring_dedup": OP12_SQL, "op13_hard_negatives": OP13_SQL}

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.sources import scratch
+from tallymart.sources.scratch import new_path as scratch_path
 from tallymart.sources.scratch import scratch_root
 
 __all__ = [
@@ -21,6 +22,7 @@ __all__ = [
     "filesystem",
     "materialise",
     "ragged",
+    "scratch_path",
     "scratch_root",
     "ship",
     "table",
