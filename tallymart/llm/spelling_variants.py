@@ -8,23 +8,27 @@ holds every short gram, and longer ones only where their first part is frequent
 short, and bounds the dictionary by the alphabet and by ``FREQUENT``, whatever
 the corpus.
 
-One edit touches the grams that start from ``LONG - 1`` code points before it to
-``LONG - SHORT`` after it. The most grams that any edit of a word can touch is
-the word's bound: two words one edit apart share all but that many of each
-word's grams. Put in order of rarity, the first ``bound + SHARED`` grams of both
-words then have ``SHARED`` of the shared ones in common, at the same places or
-moved by the edit. So each word is listed under every ``SHARED``-fold choice of
-those grams, lists of equal choices are merged, and what meets is verified.
+One edit touches only the grams that start from ``LONG - 1`` code points before
+its place to ``LONG - SHORT`` after it. These bounds are taken for every place
+of every word: two words one edit apart have all grams outside the bounds of
+that edit in common, at the same places or moved by one. So the inverted lists
+of those grams are merged at once: a word stands in one list for each place and
+kind of edit, named by all grams that the edit leaves alone. What meets in a
+list is verified by its letters. Words of a list differ in a few code points
+around one place, so its length is bounded by the alphabet, not by the corpus.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +39,6 @@ RUN = re.compile("[A-Za-zÀ-ÿ]+")
 SHORT, LONG = 2, 3
 MARK = "\x00"
 FREQUENT = 4096
-SHARED = 2
-# From this length on, every word shares SHARED grams with its near words, whatever the dictionary.
-LEAST_LENGTH = 7
 # Characters of a text whose runs are taken at a time, and different words that a task counts at a time.
 PIECE, HELD = 1 << 20, 200_000
 
@@ -90,7 +91,7 @@ def _counted(batches: Iterator[pa.RecordBatch], one_in: int, least: int) -> Iter
     yield flush()
 
 
-def word_counts(docs: DataFrame, one_in: int = 0, least_length: int = LEAST_LENGTH) -> DataFrame:
+def word_counts(docs: DataFrame, one_in: int = 0, least_length: int = 7) -> DataFrame:
     """``word`` and ``n``, its occurrences, for the runs of letters of all texts, of ``least_length`` or more.
 
     With ``one_in``, a run whose hash with the document's id it divides has lost one code point.
@@ -122,18 +123,6 @@ def grams_of(word: str, longer: frozenset[str]) -> list[tuple[int, str]]:
     return found
 
 
-def most_affected(starts: list[int], length: int) -> int:
-    """The most grams that one edit of a word can touch, given where its grams start."""
-    most = low = high = 0
-    for edit in range(LONG - 1, LONG - 1 + length):
-        while low < len(starts) and starts[low] < edit - LONG + 1:
-            low += 1
-        while high < len(starts) and starts[high] <= edit + LONG - SHORT:
-            high += 1
-        most = max(most, high - low)
-    return most
-
-
 def _gram_counts(batches: Iterator[pa.RecordBatch], size: int, longer: frozenset[str]) -> Iterator[pa.RecordBatch]:
     """Grams of one size, those beyond SHORT only where their first part may grow."""
     counts: Counter = Counter()
@@ -144,100 +133,153 @@ def _gram_counts(batches: Iterator[pa.RecordBatch], size: int, longer: frozenset
     yield _counts_batch(counts)
 
 
-def _used_counts(batches: Iterator[pa.RecordBatch], longer: frozenset[str]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
-    for batch in batches:
-        for word in batch["word"].to_pylist():
-            counts.update(gram for _, gram in grams_of(word, longer))
-    yield _counts_batch(counts)
-
-
 def _counts_batch(counts: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["gram", "n"]
     )
 
 
-def gram_dictionary(words: DataFrame) -> tuple[frozenset[str], dict[str, int]]:
-    """Which grams may grow, and how often each gram of the words' decompositions occurs.
-
-    Both are bounded: grams of SHORT code points by the square of the alphabet,
-    longer ones by FREQUENT times the alphabet for each further code point.
-    """
+def gram_dictionary(words: DataFrame) -> frozenset[str]:
+    """The dictionary's grams that may grow by a code point: of each size, those with one in FREQUENT of all grams or more."""
     longer: frozenset[str] = frozenset()
     for size in range(SHORT, LONG):
         last = longer
         counted = words.mapInArrow(lambda batches, n=size, g=last: _gram_counts(batches, n, g), "gram string, n long")
-        counted = counted.groupBy("gram").agg(F.sum("n").alias("n"))
-        rows = counted.collect()
+        # Bounded by the square of the alphabet, then by FREQUENT times the alphabet.
+        rows = counted.groupBy("gram").agg(F.sum("n").alias("n")).collect()
         total = sum(row["n"] for row in rows)
         longer |= {row["gram"] for row in rows if row["n"] * FREQUENT >= total}
-    used = words.mapInArrow(lambda batches: _used_counts(batches, longer), "gram string, n long")
-    return longer, {row["gram"]: row["n"] for row in used.groupBy("gram").agg(F.sum("n").alias("n")).collect()}
+    return longer
 
 
 # --- lists ------------------------------------------------------------------------------------------------
 
+# A code point is replaced; one is missing, or one too many, against the other word.
+REPLACED, SHORTER, LONGER = 0, 1, 2
+_BITS = (1 << 64) - 1
+_LENGTH, _PLACE, _KIND = 0xD6E8FEB86659FD93, 0x9E3779B97F4A7C15, 0xA0761D6478BD642F
+
+_numbers: dict[str, int] = {}
+
+
+def _number(gram: str) -> int:
+    """A fixed 64-bit number of a gram; as many are remembered as the dictionary has."""
+    if gram not in _numbers:
+        _numbers[gram] = int.from_bytes(hashlib.blake2b(gram.encode(), digest_size=8).digest(), "little")
+    return _numbers[gram]
 
-def choices(word: str, longer: frozenset[str], often: dict[str, int]) -> Iterator[tuple[tuple[int, str], ...]]:
-    """Every SHARED-fold choice, by position, of the rarest grams that near words must have in common."""
+
+def lists_of(word: str, longer: frozenset[str]) -> Iterator[tuple[int, int, int]]:
+    """List, kind of edit and place of it, for every edit by which a word can differ from another.
+
+    A list's name adds up the grams that the edit leaves alone, each times its
+    place in the shorter word. A code point that repeats the one before it is
+    never the one too many: that is the first of them.
+    """
     grams = grams_of(word, longer)
-    bound = most_affected([start for start, _ in grams], len(word))
-    if len(grams) - bound < SHARED:
-        raise ValueError(f"{word!r} is too short for lists of {SHARED} shared grams")
-    rarest = sorted(grams, key=lambda gram: (often[gram[1]], gram[1], gram[0]))[: bound + SHARED]
-    for chosen in combinations(sorted(rarest), SHARED):
-        yield chosen
-
-
-def _key(chosen: tuple[tuple[int, str], ...], shifts: tuple[int, ...], length: int) -> int:
-    text = "|".join(f"{start + shift}{gram}" for (start, gram), shift in zip(chosen, shifts, strict=True))
-    data = f"{length}:{text}".encode()
-    return zlib.crc32(data) << 31 ^ zlib.adler32(data[::-1]) ^ zlib.crc32(data[::-1]) << 8
-
-
-def _listed(
-    batches: Iterator[pa.RecordBatch], longer: frozenset[str], often: dict[str, int], asking: bool
-) -> Iterator[pa.RecordBatch]:
-    """Words under the keys of their choices: their own, or those that near words of the same or one more code point have."""
-    # Grams up to the edit stay, those behind it move: a shift of 0 or more, then 1.
-    moved = [tuple(int(i >= edge) for i in range(SHARED)) for edge in range(SHARED + 1)]
-    still = moved[-1]
+    starts = [start for start, _ in grams]
+    same = [_number(gram) * (2 * start + 1) for start, gram in grams]
+    back = [_number(gram) * (2 * start - 1) for start, gram in grams]
+    before = list(accumulate(same, initial=0))
+    after = list(accumulate(reversed(same), initial=0))[::-1]
+    moved = list(accumulate(reversed(back), initial=0))[::-1]
+    n = len(word)
+    for place in range(n + 1):
+        at = place + LONG - 1
+        low = bisect_left(starts, at - LONG + 1)
+        if place < n:
+            high = bisect_right(starts, at + LONG - SHORT)
+            yield _name(before[low] + after[high], n, place, 0), REPLACED, place
+            if not place or word[place] != word[place - 1]:
+                yield _name(before[low] + moved[high], n - 1, place, 1), LONGER, place
+        high = bisect_right(starts, at + LONG - SHORT - 1)
+        yield _name(before[low] + after[high], n, place, 1), SHORTER, place
+
+
+def _name(grams: int, length: int, place: int, kind: int) -> int:
+    name = (grams + length * _LENGTH + place * _PLACE + kind * _KIND) & _BITS
+    return name - (1 << 64) if name >> 63 else name
+
+
+_LISTED = "list long, kind int, place int, word string, n long"
+
+
+def _listed(batches: Iterator[pa.RecordBatch], longer: frozenset[str]) -> Iterator[pa.RecordBatch]:
+    names = ["list", "kind", "place", "word", "n"]
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.int64()]
+    rows: list[tuple] = []
+    letters = 0
+
+    def flush() -> pa.RecordBatch:
+        values = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, kinds, strict=True)], names)
+
     for batch in batches:
-        keys, words, counts = [], [], []
         for word, n in zip(batch["word"].to_pylist(), batch["n"].to_pylist(), strict=True):
-            for chosen in choices(word, longer, often):
-                own = [_key(chosen, still, len(word))]
-                if asking:
-                    own += [_key(chosen, shifts, len(word) + 1) for shifts in moved]
-                keys += own
-                words += [word] * len(own)
-                counts += [n] * len(own)
-            if len(keys) >= 50_000:
-                yield _lists_batch(keys, words, counts)
-                keys, words, counts = [], [], []
-        yield _lists_batch(keys, words, counts)
-
-
-def _lists_batch(keys: list[int], words: list[str], counts: list[int]) -> pa.RecordBatch:
-    arrays = [pa.array(keys, pa.int64()), pa.array(words, pa.string()), pa.array(counts, pa.int64())]
-    return pa.RecordBatch.from_arrays(arrays, ["key", "word", "n"])
-
-
-def near_pairs(words: DataFrame) -> DataFrame:
-    """Each pair of the distinct ``words`` (word, n) one edit apart, in both directions: word, n, near, near_n."""
-    spark = words.sparkSession
+            rows += [(*own, word, n) for own in lists_of(word, longer)]
+            letters += 3 * len(word) ** 2
+            if len(rows) >= 50_000 or letters >= 20_000_000:
+                letters = 0
+                yield flush()
+    yield flush()
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists, sorted by name: for each word of a list how many near words it has there, and the best of them."""
+    left = None
+    for batch in batches:
+        if left is not None:
+            batch = pa.Table.from_batches([left, batch]).combine_chunks().to_batches()[0]
+        if not len(batch):
+            continue
+        names = batch["list"].to_numpy()
+        cut = int(np.searchsorted(names, names[-1]))
+        left = batch.slice(cut)
+        yield _judged(batch.slice(0, cut))
+    if left is not None:
+        yield _judged(left)
+
+
+def _judged(batch: pa.RecordBatch) -> pa.RecordBatch:
+    names = batch["list"].to_numpy()
+    new = np.ones(len(names), bool)
+    new[1:] = names[1:] != names[:-1]
+    group = np.cumsum(new) - 1
+    several = np.flatnonzero(np.bincount(group)[group] > 1) if len(group) else group
+    some = batch.take(pa.array(several))
+    # Per list, rest of the letters: the words that have it, shorter ones as they are.
+    sides: dict[tuple, tuple[list, list]] = {}
+    columns = (some[name].to_pylist() for name in ("kind", "place", "word", "n"))
+    for number, kind, place, word, n in zip(group[several].tolist(), *columns, strict=True):
+        rest = word if kind == SHORTER else word[:place] + word[place + 1 :]
+        both = sides.setdefault((number, kind == REPLACED, rest), ([], []))
+        both[kind == LONGER].append((-n, word))
+    rows = []
+    for (_, replaced, _), (some, others) in sides.items():
+        if replaced and len(some) > 1:
+            some.sort()
+            rows += [(word, len(some) - 1, *some[word == some[0][1]]) for _, word in some]
+        elif some and others:
+            for mine, theirs in ((some, others), (others, some)):
+                rows += [(word, len(theirs), *min(theirs)) for _, word in mine]
+    values = list(zip(*rows, strict=True)) if rows else [[]] * 4
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    arrays = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, ["word", "n_near", "less", "near"])
+
+
+def near_words(words: DataFrame) -> DataFrame:
+    """For the distinct ``words`` (word, n) that have near words: n_near, and the best's near and near_n."""
     # Bounded by the alphabet and FREQUENT.
-    shared = spark.sparkContext.broadcast(gram_dictionary(words))
-    kind = "key long, word string, n long"
-    own = words.mapInArrow(lambda batches: _listed(batches, *shared.value, False), kind)
-    asked = words.mapInArrow(lambda batches: _listed(batches, *shared.value, True), kind)
-    asked = asked.withColumnsRenamed({"word": "near", "n": "near_n"})
-    # A shorter word asks; of words of one length, the smaller one.
-    longer = F.length("word") > F.length("near")
-    met = own.join(asked, "key").filter(longer | (F.col("near") < F.col("word")))
-    found = met.filter(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n").distinct()
-    return found.union(found.select("near", "near_n", "word", "n"))
+    longer = words.sparkSession.sparkContext.broadcast(gram_dictionary(words))
+    listed = words.mapInArrow(lambda batches: _listed(batches, longer.value), _LISTED)
+    lists = listed.repartition("list").sortWithinPartitions("list")
+    found = lists.mapInArrow(_near, "word string, n_near long, less long, near string")
+    best = found.groupBy("word").agg(
+        F.sum("n_near").alias("n_near"), F.min(F.struct("less", "near")).alias("best")
+    )
+    return best.select("word", "n_near", F.col("best.near").alias("near"), (-F.col("best.less")).alias("near_n"))
 
 
 def with_roots(forms: DataFrame) -> DataFrame:
@@ -264,26 +306,22 @@ def group_variants(words: DataFrame, times: int = 10) -> DataFrame:
     else null; its root is where forms lead in the end. Returns word, form,
     root, n, n_near (0 without near words) and form_n (null without a form).
 
-    Words must be distinct and have LEAST_LENGTH code points or more; null
-    words are left out. An empty table gives no rows. Runs jobs while it is
-    built: words, forms and roots are stored.
+    Words must be distinct; null words are left out. An empty table gives no
+    rows. Runs jobs while it is built: words, forms and roots are stored.
     """
     if times < 2:
         raise ValueError("forms of words as rare as themselves could lead back")
     ship(words.sparkSession)
     words = materialise(words.filter("word is not null").select("word", "n"))
-    best = near_pairs(words).groupBy("word").agg(
-        F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("best")
-    )
-    judged = words.join(best, "word", "left").withColumn("best_n", -F.col("best.less"))
-    good = F.col("best_n") >= times * F.col("n")
+    judged = words.join(near_words(words), "word", "left")
+    good = F.col("near_n") >= times * F.col("n")
     forms = materialise(
         judged.select(
             "word",
-            F.when(good, F.col("best.near")).alias("form"),
+            F.when(good, F.col("near")).alias("form"),
             "n",
             F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
-            F.when(good, F.col("best_n")).alias("form_n"),
+            F.when(good, F.col("near_n")).alias("form_n"),
         )
     )
     return with_roots(forms).select("word", "form", "root", "n", "n_near", "form_n")

@@ -42,8 +42,8 @@ from tallymart.llm.support import columns, filesystem, materialise, scratch_path
 WINDOW, GRAM = 20, 8
 # Words that are cut into slices at a time, and bytes of a text that are split into words at a time.
 RUN_WORDS, PIECE_BYTES = 400_000, 1 << 22
-# Different slices of an anchor from which they are cut into windows and dealt out.
-MANY_SLICES = 4096
+# Different slices of an anchor from which they are cut into windows, and groups to which so many are dealt.
+MANY_SLICES, GROUPS = 1024, 8
 # The number of a row holds that of its part of the stored table from this bit on.
 PART_BIT = 33
 
@@ -213,7 +213,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], path: str, many: int) -> Iterat
         met: set[tuple[int, bytes]] = set()
         for i in np.flatnonzero(known[place] == found.anchor).tolist():
             unit, start, windows = units[found.unit[i]], int(found.start[i]), int(found.windows[i])
-            anchor, salts = int(found.anchor[i]), int(kinds[place[i]]) // many
+            anchor, salts = int(found.anchor[i]), int(kinds[place[i]]) // many * GROUPS
             cuts = range(start, start + windows) if salts else (start,)
             length = WINDOW if salts else windows + WINDOW - 1
             for cut in cuts:

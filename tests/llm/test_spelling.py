@@ -6,7 +6,6 @@ import random
 import re
 import zlib
 from collections import Counter
-from itertools import product
 
 import pytest
 
@@ -53,18 +52,21 @@ def _rows(df) -> list[tuple]:
     return [(r["word"], r["form"], r["root"], r["n"], r["n_near"], r["form_n"]) for r in df.collect()]
 
 
-def test_every_long_enough_word_keeps_two_shared_grams():
-    for length in (7, 8):
-        size = length + 2 * (sv.LONG - 1)
-        worst = size
-        for ends in product((2, 3), repeat=size - 1):
-            starts, reached = [], -1
-            for start, own in enumerate(ends):
-                if min(start + own, size) > reached:
-                    starts.append(start)
-                    reached = min(start + own, size)
-            worst = min(worst, len(starts) - sv.most_affected(starts, length))
-        assert worst >= sv.SHARED
+@pytest.mark.parametrize("longer", [frozenset(), frozenset({"ab", "ba", "aa", "\x00a"})])
+def test_an_edit_leaves_the_list_of_its_place(longer):
+    rng = random.Random(1)
+    for _ in range(300):
+        word = "".join(rng.choices("abc", k=rng.randint(0, 9)))
+        lists = {(kind, place): name for name, kind, place in sv.lists_of(word, longer)}
+        at = rng.randrange(len(word) + 1)
+        longer_word = word[:at] + rng.choice("abcd") + word[at:]
+        first = next(i for i in range(at + 1) if longer_word[i : at + 1] == longer_word[at] * (at + 1 - i))
+        theirs = {(kind, place): name for name, kind, place in sv.lists_of(longer_word, longer)}
+        assert lists[sv.SHORTER, first] == theirs[sv.LONGER, first]
+        if at < len(word):
+            other = word[:at] + "d" + word[at + 1 :]
+            theirs = {(kind, place): name for name, kind, place in sv.lists_of(other, longer)}
+            assert lists[sv.REPLACED, at] == theirs[sv.REPLACED, at]
 
 
 def _edited(rng, word, alphabet):
