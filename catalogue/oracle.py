@@ -83,6 +83,17 @@ SUBCENT = {
                 + (order_id % 7 + 1)::DECIMAL(5,0) * 0.0009::DECIMAL(5,4))::DECIMAL(18,4) AS price
         FROM itm0""",
 }
+# DOUBLE prices, as whole multiples of 2**-30.
+UNIT = 1 << 30
+DOUBLES = {
+    **VIEWS,
+    "itm0": VIEWS["itm"],
+    "itm": f"""
+        SELECT order_id, product_id, seller_id,
+               (CASE WHEN order_id % 3 = 0 THEN order_id % 7 + 1
+                ELSE floor(price::DOUBLE / 7 * {UNIT}) END)::BIGINT AS price
+        FROM itm0""",
+}
 HALVES = {
     **VIEWS,
     "rev0": VIEWS["rev"],

@@ -66,6 +66,16 @@ def subcent(market: Marketplace) -> Marketplace:
     return market.replace(order_items=items)
 
 
+def doubles(market: Marketplace) -> Marketplace:
+    """DOUBLE prices with thirty digits after the point; a third of them are far below a cent."""
+    seventh = F.floor(F.col("price").cast("double") / 7 * F.lit(2.0**30)) / F.lit(2.0**30)
+    tiny = (F.col("order_id") % 7 + 1).cast("double") / F.lit(2.0**30)
+    items = market.table("order_items").withColumn(
+        "price", F.when(F.col("order_id") % 3 == 0, tiny).otherwise(seventh)
+    )
+    return market.replace(order_items=items)
+
+
 def halves(market: Marketplace) -> Marketplace:
     """Review scores with halves."""
     half = F.when(F.col("order_id") % 2 == 0, F.lit("0.5").cast("decimal(2,1)")).otherwise(F.lit(0))

@@ -131,6 +131,12 @@ def _entries() -> dict[str, Entry]:
         "seller_revenue_subcent": Entry(
             lambda m: tm.seller_revenue(perturbed.subcent(m)), sql.sellers(sums, views=sql.SUBCENT)
         ),
+        "seller_revenue_doubles": Entry(
+            lambda m: tm.seller_revenue(perturbed.doubles(m)),
+            sql.sellers(
+                f"SELECT * REPLACE (total_revenue / {sql.UNIT} AS total_revenue) FROM ({sums})", views=sql.DOUBLES
+            ),
+        ),
         "seller_reviews_halves": Entry(
             lambda m: tm.seller_reviews(perturbed.halves(m)),
             sql.sellers("SELECT * FROM scores", views=sql.HALVES),
@@ -323,6 +329,18 @@ def _entries() -> dict[str, Entry]:
             lambda m: tm.product_revenue(perturbed.subcent(m)),
             sql.products(sql.PRODUCT_REVENUE, views=sql.SUBCENT),
         ),
+        "product_revenue_doubles": Entry(
+            lambda m: tm.product_revenue(perturbed.doubles(m)),
+            sql.products(
+                f"SELECT * REPLACE (revenue::DOUBLE / {sql.UNIT} AS revenue) FROM earned", views=sql.DOUBLES
+            ),
+        ),
+        "orders_over_time_doubles": Entry(
+            lambda m: tm.orders_over_time(perturbed.doubles(m)),
+            sql.trend(
+                f"SELECT * REPLACE (total_revenue / {sql.UNIT} AS total_revenue) FROM ({months})", views=sql.DOUBLES
+            ),
+        ),
         "orders_over_time_subcent": Entry(
             lambda m: tm.orders_over_time(perturbed.subcent(m)), sql.trend(months, views=sql.SUBCENT)
         ),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallymart.functions.period import EVERYTHING, Period
@@ -39,7 +41,8 @@ def abc_classification(market: Marketplace, period: Period = EVERYTHING) -> Data
 
 def product_classes(market: Marketplace, period: Period = EVERYTHING) -> DataFrame:
     """Share, running share and class of every product, revenue as exact decimal."""
-    return cumulative_share_classify(_revenue(market, period), "revenue", PRODUCT_KEYS)
+    revenue = _revenue(market, period, market.amounts("order_items").decimal)
+    return cumulative_share_classify(revenue, "revenue", PRODUCT_KEYS)
 
 
 def product_revenue(market: Marketplace, period: Period = EVERYTHING) -> DataFrame:
@@ -47,7 +50,7 @@ def product_revenue(market: Marketplace, period: Period = EVERYTHING) -> DataFra
 
     Products that are not listed keep their rows with no category.
     """
-    return _revenue(market, period).withColumn("revenue", F.col("revenue").cast("double"))
+    return _revenue(market, period, market.amounts("order_items").double)
 
 
 def _order_copies(market: Marketplace, period: Period) -> DataFrame:
@@ -59,20 +62,26 @@ def _order_copies(market: Marketplace, period: Period) -> DataFrame:
     )
 
 
-def _revenue(market: Marketplace, period: Period) -> DataFrame:
+def _revenue(
+    market: Marketplace, period: Period, joined: Callable[[Sequence[Column]], Column]
+) -> DataFrame:
     """Plain items meet one stored row per order; sums per product meet the listings.
 
     Both sides of the order join are plain, so Spark can split a hot order.
     """
     money = market.amounts("order_items")
+    prices, earned = money.names("price_units"), money.names("earned")
     orders = materialise(_order_copies(market, period))
     sums = (
         market.table("order_items")
-        .select("order_id", "product_id", "price_units")
+        .select("order_id", "product_id", *prices)
         .join(orders, "order_id")
         .groupBy("product_id")
         .agg(
-            F.sum(money.times(F.col("price_units"), F.col("order_rows"))).alias("earned"),
+            *[
+                F.sum(money.times(F.col(price), F.col("order_rows"))).alias(name)
+                for price, name in zip(prices, earned, strict=True)
+            ],
             F.sum("order_rows").alias("units"),
         )
     )
@@ -84,6 +93,6 @@ def _revenue(market: Marketplace, period: Period) -> DataFrame:
     copies = F.coalesce("listed", F.lit(1))
     return sums.join(listings, "product_id", "left").select(
         *PRODUCT_KEYS,
-        money.decimal(money.times(F.col("earned"), copies)).alias("revenue"),
+        joined([money.times(F.col(name), copies) for name in earned]).alias("revenue"),
         (F.col("units") * copies).alias("units_sold"),
     )

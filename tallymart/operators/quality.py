@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.functions.dates import calendar, day
+from tallymart.functions.dates import day
 from tallymart.functions.numeric import flag
 from tallymart.sources.marketplace import Marketplace
 from tallymart.sources.schema import EXPECTED_TABLES
-from tallymart.sources.scratch import materialise
 
 # Which keys the audit looks at.
 PROFILED_KEYS = {
@@ -99,17 +98,33 @@ def orphan_keys(
 
 
 def date_gaps(market: Marketplace) -> DataFrame:
-    """First and last order day and the number of days between without an order."""
-    days = _order_days(market)
-    missing = _uncovered(days).agg(F.count(F.lit(1)).alias("missing_days"))
-    return days.agg(F.min("date").alias("start_date"), F.max("date").alias("end_date")).select(
-        "start_date", "end_date", missing.scalar().alias("missing_days")
+    """First and last order day and the number of days between without an order.
+
+    One pass over the orders: days are set bits, merged in each task before the
+    shuffle, and a count of bits stands for the distinct days.
+    """
+    days = _day_bits(market).agg(
+        F.min("first").alias("start"), F.max("last").alias("end"), F.sum(F.bitmap_count("bits")).alias("covered")
+    )
+    missing = F.col("end") - F.col("start") + 1 - F.col("covered")
+    return days.select(
+        F.date_from_unix_date("start").alias("start_date"),
+        F.date_from_unix_date("end").alias("end_date"),
+        F.coalesce(missing, F.lit(0)).cast("bigint").alias("missing_days"),
     )
 
 
 def missing_days(market: Marketplace) -> DataFrame:
-    """Calendar days without an order between the first and the last order day."""
-    return _uncovered(_order_days(market))
+    """Calendar days without an order between the first and the last order day.
+
+    Days come from the gaps between neighbouring days that have orders. Those
+    are at most as many as the calendar has, whatever the number of orders.
+    """
+    seen = _days_set(_day_bits(market))
+    ordered = Window.orderBy("number")
+    gaps = seen.withColumn("next", F.lead("number").over(ordered)).filter(F.col("next") > F.col("number") + 1)
+    inside = F.explode(F.sequence(F.col("number") + 1, F.col("next") - 1))
+    return gaps.select(inside.alias("number")).select(F.date_from_unix_date("number").alias("date"))
 
 
 def duplicate_keys(
@@ -127,15 +142,35 @@ def duplicate_keys(
     return _one_row({f"duplicate_{t.removeprefix('order_')}": repeated(t, k) for t, k in keys})
 
 
-def _order_days(market: Marketplace) -> DataFrame:
-    """Distinct order days, stored: no more rows than the calendar, and read several times."""
+# Days that one bitmap covers: fixed by the bitmap functions.
+BITMAP_BITS = 32_768
+
+
+def _day_bits(market: Marketplace) -> DataFrame:
+    """For each stretch of ``BITMAP_BITS`` days that has orders: its days as bits, the first and the last."""
     stamp = F.col("order_purchase_timestamp")
-    return materialise(market.table("orders").select(day(stamp).alias("date")).distinct())
+    number = F.unix_date(day(stamp))
+    # Days before 1970 have negative numbers; the functions' own buckets count from the days after 0.
+    bucket = (F.floor(number / BITMAP_BITS) + 1).cast("bigint").alias("bucket")
+    numbers = market.table("orders").filter(stamp.isNotNull()).select(bucket, number.alias("number"))
+    place = F.pmod(F.col("number"), F.lit(BITMAP_BITS)).cast("bigint")
+    return numbers.groupBy("bucket").agg(
+        F.bitmap_construct_agg(place).alias("bits"),
+        F.min("number").alias("first"),
+        F.max("number").alias("last"),
+    )
 
 
-def _uncovered(days: DataFrame) -> DataFrame:
-    bounds = days.agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    return calendar(bounds, "first", "last").join(days, "date", "left_anti")
+def _days_set(stretches: DataFrame) -> DataFrame:
+    """The ``number`` of every day whose bit is set; the first bit of a byte is its lowest."""
+    in_bytes = F.transform(
+        F.sequence(F.lit(0), F.lit(BITMAP_BITS // 8 - 1)),
+        lambda i: F.conv(F.hex(F.substring("bits", i + 1, F.lit(1))), 16, 10).cast("int"),
+    )
+    held = stretches.select("bucket", F.posexplode(in_bytes).alias("byte", "value")).filter("value <> 0")
+    spread = held.select("*", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("bit"))
+    number = (F.col("bucket") - 1) * BITMAP_BITS + F.col("byte") * 8 + F.col("bit")
+    return spread.filter("shiftright(value, bit) & 1 = 1").select(number.cast("int").alias("number"))
 
 
 def _stack(frames) -> DataFrame:

@@ -187,16 +187,32 @@ def _piece(value: Column, direction: str, cut_points: Sequence, kind: str) -> Co
     Even numbers are the open ranges between cut points. Odd numbers hold rows
     that tie: the cut values themselves and, last, the missing values.
     """
-    last = F.lit(2 * len(cut_points) + 1)
-    if len(cut_points) == 0:
+    count = len(cut_points)
+    last = F.lit(2 * count + 1)
+    if count == 0:
         return F.when(value.isNull(), last).otherwise(F.lit(0))
     points = _constants(cut_points, kind)
-    if direction == "desc":
-        passed = F.size(F.filter(points, lambda p: p > value))
-    else:
-        passed = F.size(F.filter(points, lambda p: p < value))
-    exact = F.array_contains(points, value).cast("int")
-    return F.when(value.isNull(), last).otherwise(passed * 2 + exact)
+    below, here = _search(points, count, value)
+    # Cut points are in ascending order; a descending rank counts those above.
+    passed = below if direction == "asc" else F.lit(count) - below - here
+    return F.when(value.isNull(), last).otherwise(passed * 2 + here)
+
+
+def _search(points: Column, count: int, value: Column) -> tuple[Column, Column]:
+    """How many of the ascending points lie below the value, and 1 where one equals it.
+
+    Halves the range of candidates until one is left: as many comparisons as
+    ``count`` has binary digits. NaN lies above all numbers, as it sorts.
+    """
+    steps = [1 << bit for bit in reversed(range(count.bit_length()))]
+
+    def halved(state: Column, step: Column) -> Column:
+        further = state + step
+        # The array gives NULL beyond its end, which is not below anything.
+        return F.when(F.get(points, further - 1) < value, further).otherwise(state)
+
+    below = F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), halved)
+    return below, F.coalesce(F.get(points, below) == value, F.lit(False)).cast("int")
 
 
 def _rows_ahead(

@@ -135,20 +135,22 @@ def _order_events(market: Marketplace, period: Period) -> DataFrame:
         flag(arrived).alias("arrived"),
         flag(arrived & in_time).alias("on_time"),
         flag(F.col("order_status") == CANCELED).alias("canceled"),
-        F.lit(0).alias("score_sum"),
+        *[F.lit(0).alias(name) for name in market.amounts("order_reviews").names("score_sum")],
         F.lit(0).alias("scores"),
     )
 
 
 def _review_events(market: Marketplace) -> DataFrame:
     none = F.lit(0)
+    marks = market.amounts("order_reviews")
+    scores = zip(marks.names("score_units"), marks.names("score_sum"), strict=True)
     return market.table("order_reviews").select(
         "order_id",
         none.alias("sales"),
         none.alias("arrived"),
         none.alias("on_time"),
         none.alias("canceled"),
-        F.coalesce("score_units", none).alias("score_sum"),
+        *[F.coalesce(units, none).alias(name) for units, name in scores],
         flag(F.col("review_score").isNotNull()).alias("scores"),
     )
 
@@ -161,16 +163,18 @@ def _per_order(events: DataFrame) -> DataFrame:
 
 def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None) -> DataFrame:
     money = market.amounts("order_items")
-    revenue = F.when(F.col("sales") > 0, money.times(F.col("price_units"), F.col("sales")))
+    prices = money.names("price_units")
+    revenue = [F.when(F.col("sales") > 0, money.times(F.col(price), F.col("sales"))) for price in prices]
+    counted = ("arrived", "on_time", "canceled", *market.amounts("order_reviews").names("score_sum"), "scores")
     return (
         _items(market, seller_state)
-        .select("order_id", "seller_id", "price_units")
+        .select("order_id", "seller_id", *prices)
         .join(facts, "order_id")
         .groupBy("seller_id")
         .agg(
-            F.sum(revenue).alias("earned"),
+            *[F.sum(part).alias(name) for part, name in zip(revenue, money.names("earned"), strict=True)],
             F.sum("sales").alias("items"),
-            *[F.sum(c).alias(c) for c in ("arrived", "on_time", "canceled", "score_sum", "scores")],
+            *[F.sum(c).alias(c) for c in counted],
         )
     )
 
@@ -205,8 +209,9 @@ def _seller_copies(market: Marketplace, seller_state: str | None) -> DataFrame:
 
 def _sales_columns(market: Marketplace):
     money = market.amounts("order_items")
+    earned = [money.times(F.col(name), F.col("copies")) for name in money.names("earned")]
     return (
-        money.double(money.times(F.col("earned"), F.col("copies"))).alias("total_revenue"),
+        money.double(earned).alias("total_revenue"),
         (F.col("items") * F.col("copies")).alias("total_items_sold"),
     )
 
@@ -216,7 +221,9 @@ def _on_time_rate():
 
 
 def _avg_review(market: Marketplace):
-    return ratio(market.amounts("order_reviews").double(F.col("score_sum")), F.col("scores")).alias("avg_review")
+    marks = market.amounts("order_reviews")
+    total = marks.double([F.col(name) for name in marks.names("score_sum")])
+    return ratio(total, F.col("scores")).alias("avg_review")
 
 
 def _cancel_rate():

@@ -19,11 +19,12 @@ def orders_over_time(market: Marketplace, period: Period = EVERYTHING) -> DataFr
     status are left out as well.
     """
     money = market.amounts("order_items")
+    lots_of = money.names("lot_units")
     lots = (
         market.table("order_items")
         .groupBy("order_id")
         .agg(
-            F.sum("price_units").alias("lot_units"),
+            *[F.sum(price).alias(name) for price, name in zip(money.names("price_units"), lots_of, strict=True)],
             F.count(F.lit(1)).alias("lot_items"),
         )
     )
@@ -38,7 +39,7 @@ def orders_over_time(market: Marketplace, period: Period = EVERYTHING) -> DataFr
         .groupBy("order_month")
         .agg(
             F.sum(F.col("lot_items") * F.col("order_rows")).alias("total_orders"),
-            money.double(F.sum(money.times(F.col("lot_units"), F.col("order_rows")))).alias(
+            money.double([F.sum(money.times(F.col(name), F.col("order_rows"))) for name in lots_of]).alias(
                 "total_revenue"
             ),
         )

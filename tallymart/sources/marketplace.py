@@ -33,6 +33,7 @@ class Marketplace:
         self.spark = spark
         self._loaders = dict(loaders)
         self._frames: dict[str, DataFrame | None] = {}
+        self._amounts: dict[str, Amounts] = {}
         self._unreadable: dict[str, str] = {}
 
     @classmethod
@@ -92,29 +93,36 @@ class Marketplace:
 
     def amounts(self, name: str) -> Amounts:
         """How the amounts of a table (prices, review scores) are summed."""
-        df = self.table(name)
-        (column,) = AMOUNTS[name]
-        return Amounts.of(df.schema[column].dataType) if column in df.columns else Amounts(0)
+        self.table(name)
+        return self._amounts[name]
 
     def _find(self, name: str) -> DataFrame | None:
         if name not in self._frames:
             try:
                 df = self._loaders[name]() if name in self._loaders else None
-                self._frames[name] = None if df is None else conform(name, df)
+                self._amounts[name] = _amounts_of(name, df)
+                self._frames[name] = None if df is None else conform(name, df, self._amounts[name])
             except AnalysisException as error:
                 self._frames[name] = None
                 self._unreadable[name] = f" (it cannot be read: {error.getCondition()})"
         return self._frames[name]
 
 
-def conform(name: str, df: DataFrame) -> DataFrame:
+def _amounts_of(name: str, df: DataFrame | None) -> Amounts:
+    for column in AMOUNTS.get(name, ()):
+        if df is not None and column in df.columns:
+            return Amounts.of(df, column)
+    return Amounts(0)
+
+
+def conform(name: str, df: DataFrame, amounts: Amounts) -> DataFrame:
     """Keep the canonical columns that a table has, cast where the type differs.
 
     A column that is missing is missed only by what reads it.
 
     A column that already has the right type is passed through untouched, so
     filters on it still reach the Parquet reader. Prices and scores also come as
-    the units in which they are summed.
+    the units in which they are summed, one column for each part of the sum.
     """
     wanted = COLUMNS.get(name)
     if wanted is None:
@@ -127,8 +135,8 @@ def conform(name: str, df: DataFrame) -> DataFrame:
     ]
     for column, units in AMOUNTS.get(name, {}).items():
         if column in actual:
-            kind = Amounts.of(df.schema[column].dataType)
-            columns.append(kind.units(F.col(column), column).alias(units))
+            parts = zip(amounts.units(F.col(column)), amounts.names(units), strict=True)
+            columns += [part.alias(name) for part, name in parts]
     return df.select(*columns)
 
 

@@ -327,3 +327,12 @@ def test_results_do_not_depend_on_session_settings(spark, market, session):
     usual = results()
     with conf(spark, **session):
         assert results() == usual
+
+
+def test_date_gaps_read_orders_once_and_run_nothing_before(spark, market, monkeypatch):
+    from tallymart.sources import scratch
+
+    monkeypatch.setattr(scratch, "materialise", None)
+    text = plan(tm.date_gaps(market))
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
+    assert "Join" not in text and "partial_bitmap_construct_agg" in text.lower()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+from bisect import bisect_left
 from decimal import Decimal
 
 import pytest
@@ -155,3 +157,27 @@ def test_other_cuts(spark):
     df = spark.createDataFrame([("a", 60.0), ("b", 30.0), ("c", 10.0)], "k string, v double")
     found = cumulative_share_classify(df, "v", ["k"], [("top", 0.6)], "rest")
     assert {r.k: r.abc_class for r in found.collect()} == {"a": "top", "b": "rest", "c": "rest"}
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 7, 8, 100, 2047])
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+def test_pieces_are_found_by_halving(spark, count, direction):
+    rng = random.Random(count)
+    points = sorted(rng.sample(range(-5 * count, 5 * count), count))
+    values = [*points, *(p + 0.5 for p in points), points[0] - 1.0, points[-1] + 1.0, float("nan"), float("inf")]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    piece = ranking._piece(F.col("v"), direction, [float(p) for p in points], "double")
+
+    def expected(value):
+        below = count if value != value else bisect_left(points, value)
+        here = value in points
+        passed = below if direction == "asc" else count - below - here
+        return 2 * passed + here
+
+    found = df.select("v", piece.alias("p")).collect()
+    assert [r["p"] for r in found] == [expected(r["v"]) for r in found]
+    # One step for each binary digit of the number of cut points, and no look at all of them.
+    plan = df.select(piece.alias("p"))._jdf.queryExecution().optimizedPlan().toString()
+    steps = count.bit_length()
+    assert "filter(" not in plan and "array_contains" not in plan
+    assert f"[{','.join(str(1 << b) for b in reversed(range(steps)))}]" in plan.replace(" ", "")

@@ -395,3 +395,15 @@ def test_null_profile_has_no_counts_for_keys_of_empty_tables(spark):
         "products": (0, 0, 0, None, 0),
         "sellers": (0, 0, 0, 0, None),
     }
+
+
+def test_gaps_over_many_decades_come_from_one_pass(spark):
+    days = ["1901-02-27", "1969-12-31", "1970-01-01", "2059-09-18", "2059-09-19", "2059-09-21"]
+    m = market(spark, orders=[order(str(i), bought=day) for i, day in enumerate(days * 3)])
+    first, last = dt.date(1901, 2, 27), dt.date(2059, 9, 21)
+    missing = (last - first).days + 1 - len(days)
+    assert rows(tm.date_gaps(m)) == [(first, last, missing)]
+    found = {r[0] for r in rows(tm.missing_days(m))}
+    assert len(found) == missing
+    assert found.isdisjoint(dt.date.fromisoformat(day) for day in days)
+    assert min(found) > first and max(found) == dt.date(2059, 9, 20)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ import tallymart as tm
 from catalogue.star import star_market
 from tallymart import Marketplace, MissingTable, Settings
 from tallymart.__main__ import main
+from tallymart.functions.numeric import Amounts
 from tallymart.plans import report
 from tallymart.sources import scratch
 from tests.small import SCHEMAS, by_key, item, market, order, rows
@@ -65,9 +68,12 @@ def test_prices_keep_their_type_and_all_digits(spark):
         m = _items(spark, spark.sql(f"SELECT cast('12' AS {kind}) AS price UNION ALL SELECT NULL"))
         table, money = m.table("order_items"), m.amounts("order_items")
         assert dict(table.dtypes)["price"] == kind and "extra" not in table.columns
-        assert rows(table.select(money.double(F.sum("price_units")).alias("s")), "s") == [(12.0,)]
-        found[kind] = dict(table.dtypes)["price_units"]
-    assert found.pop("decimal(20,10)") == "decimal(28,10)" and set(found.values()) == {"bigint"}
+        parts = money.names("price_units")
+        assert rows(table.select(money.double([F.sum(part) for part in parts]).alias("s")), "s") == [(12.0,)]
+        found[kind] = {dict(table.dtypes)[part] for part in parts}
+    assert found.pop("decimal(20,10)") == {"decimal(28,10)"}
+    assert all(found.pop(kind) == {"bigint", "double"} for kind in ("double", "float", "string"))
+    assert all(kinds == {"bigint"} for kinds in found.values())
 
 
 def test_units_are_exact(spark):
@@ -79,12 +85,66 @@ def test_units_are_exact(spark):
     assert table.filter(units != F.col("price_units")).count() == 0
 
 
-def test_a_loose_price_with_more_digits_is_refused(spark):
-    good = _items(spark, spark.sql("SELECT 20000000000.0375D AS price"))
-    assert rows(good.table("order_items"), "price_units") == [(200000000000375,)]
-    bad = _items(spark, spark.sql("SELECT 0.00001D AS price"))
-    with pytest.raises(Exception, match="more than 4 digits"):
-        bad.table("order_items").collect()
+def _exact(values):
+    odd = [v for v in values if v is not None and not math.isfinite(v)]
+    known = [v for v in values if v is not None]
+    return sum(odd) if odd else math.fsum(known) if known else None
+
+
+@pytest.mark.parametrize(
+    "spread", [(-5, 5), (-30, 0), (-1074, -1000), (900, 1018), (-1074, 1018)], ids=lambda s: f"{s[0]}to{s[1]}"
+)
+def test_doubles_of_any_size_are_summed_exactly(spark, spread):
+    rng = random.Random(spread[1])
+    groups = {g: [rng.uniform(-2, 2) * 2.0 ** rng.randint(*spread) for _ in range(rng.randint(1, 40))] for g in range(30)}
+    groups[30] = [-x for x in groups[3]] + groups[3]
+    groups[31] = [*groups[4], None, 0.0, -0.0]
+    groups[32] = [None, None]
+    groups[33] = [0.1] * 1000
+    pairs = [(g, v) for g, values in groups.items() for v in values]
+    for turn in range(2):
+        rng.shuffle(pairs)
+        df = spark.createDataFrame(pairs, "g int, price double").repartition(3 + 4 * turn)
+        money = Amounts.of(df, "price")
+        parts = [u.alias(n) for u, n in zip(money.units(F.col("price")), money.names("p"), strict=True)]
+        sums = df.select("g", *parts).groupBy("g").agg(*[F.sum(n).alias(n) for n in money.names("p")])
+        found = sums.select("g", money.double([F.col(n) for n in money.names("p")]).alias("s")).collect()
+        assert {r["g"]: r["s"] for r in found} == {g: _exact(values) for g, values in groups.items()}
+
+
+def test_missing_infinite_and_undefined_doubles(spark):
+    inf, nan = float("inf"), float("nan")
+    groups = {0: [inf, 1.0], 1: [-inf, 2.0], 2: [inf, -inf], 3: [nan, 1.0], 4: [1.0, None], 5: [None]}
+    df = spark.createDataFrame([(g, v) for g, own in groups.items() for v in own], "g int, price double")
+    money = Amounts.of(df, "price")
+    parts = [u.alias(n) for u, n in zip(money.units(F.col("price")), money.names("p"), strict=True)]
+    sums = df.select("g", *parts).groupBy("g").agg(*[F.sum(n).alias(n) for n in money.names("p")])
+    found = {r["g"]: r["s"] for r in sums.select("g", money.double([F.col(n) for n in money.names("p")]).alias("s")).collect()}
+    assert found[0] == inf and found[1] == -inf and math.isnan(found[2]) and math.isnan(found[3])
+    assert found[4] == 1.0 and found[5] is None
+    empty = df.filter("g > 9")
+    assert Amounts.of(empty, "price").limbs == 1
+
+
+def test_classes_of_double_prices_do_not_depend_on_the_order_of_rows(spark):
+    rng = random.Random(1)
+    items = [(i, rng.randrange(40), 3, rng.random() * 10.0 ** rng.randint(-12, 3)) for i in range(2000)]
+    orders = spark.createDataFrame([(i, "delivered") for i in range(2000)], "order_id long, order_status string")
+    orders = orders.selectExpr("*", *[f"timestamp_ntz'2020-01-01' AS {c}" for c in (
+        "order_purchase_timestamp", "order_delivered_customer_date", "order_estimated_delivery_date")])
+    products = spark.createDataFrame([(i, "c") for i in range(40)], "product_id long, product_category_name string")
+    found = []
+    for turn in range(2):
+        rng.shuffle(items)
+        table = spark.createDataFrame(items, "order_id long, product_id long, seller_id long, price double")
+        market = Marketplace.from_frames(
+            spark, {"order_items": table.repartition(5 + turn), "orders": orders, "products": products}
+        )
+        found.append([tuple(r) for r in tm.abc_classification(market).collect()])
+        assert {r["product_id"]: r["revenue"] for r in tm.product_revenue(market).collect()} == {
+            p: math.fsum(x[3] for x in items if x[1] == p) for p in range(40)
+        }
+    assert found[0] == found[1] and sum(r[1] for r in found[0]) == 40
 
 
 def test_scratch_folder_comes_from_the_session(spark, monkeypatch):
