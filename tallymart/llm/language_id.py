@@ -38,7 +38,7 @@ MOST_LANGUAGES = 200
 CONTEXTS = 12_000
 # A text starts as if after spaces.
 PAD = 0x20
-WINDOW = 1 << 19
+WINDOW = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -86,24 +86,24 @@ class Scorer:
         self.cost = np.ascontiguousarray(np.concatenate(rows).reshape(-1, n), dtype=np.float32)
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Bits of each text in each language."""
-        texts = len(offsets) - 1
-        total = np.zeros((texts, self.cost.shape[1]))
-        lengths = np.diff(offsets)
-        starts = offsets[:-1] + ORDER * np.arange(1, texts + 1)
-        symbols = np.full(len(data) + ORDER * texts, self.symbol[PAD], np.int32)
-        place = np.arange(len(data)) + np.repeat(starts - offsets[:-1], lengths)
-        symbols[place] = self.symbol[data]
-        filled = np.flatnonzero(lengths)
-        for low in range(0, len(data), WINDOW):
-            at = place[low : low + WINDOW]
+        """Bits of each text in each language. Besides ``data``, memory is that of a window, whatever the texts."""
+        languages = self.cost.shape[1]
+        total = np.zeros((len(offsets) - 1, languages))
+        filled = np.flatnonzero(np.diff(offsets))
+        starts, ends = offsets[filled], offsets[filled + 1]
+        step_size = max(1 << 12, WINDOW // (1 + languages // 8))
+        for low in range(0, len(data), step_size):
+            at = np.arange(low, min(low + step_size, len(data)))
+            begin = np.searchsorted(starts, low, "right") - 1
+            end = np.searchsorted(starts, low + len(at), "left")
+            own = np.repeat(starts[begin:end], np.minimum(ends[begin:end], low + len(at)) - np.maximum(starts[begin:end], low))
             node = np.zeros(len(at), np.int32)
             for order, step in enumerate(self.steps, 1):
-                node = step[node * self.width + symbols[at - order]]
-            cost = self.cost[node.astype(np.int64) * self.width + symbols[at]]
-            begin = np.searchsorted(offsets[filled], low, "right") - 1
-            end = np.searchsorted(offsets[filled], low + len(at), "left")
-            cuts = np.maximum(offsets[filled[begin:end]] - low, 0)
+                back = at - order
+                symbol = np.where(back >= own, self.symbol[data[np.maximum(back, 0)]], self.symbol[PAD])
+                node = step[node * self.width + symbol]
+            cost = self.cost[node.astype(np.int64) * self.width + self.symbol[data[at]]]
+            cuts = np.maximum(starts[begin:end] - low, 0)
             total[filled[begin:end]] += np.add.reduceat(cost, cuts, axis=0, dtype=np.float64)
         return total
 
@@ -262,7 +262,7 @@ def _judge(texts: pa.Array, model: Model, key: str) -> tuple[list[str], np.ndarr
     best = bits.argmin(axis=1)
     shortest = bits[np.arange(len(bits)), best]
     score = 1 / np.exp2(np.maximum(shortest[:, None] - bits, -1000)).sum(axis=1)
-    spoken = np.fromiter(map(has_letter, texts.to_pylist()), bool, len(texts))
+    spoken = np.fromiter((has_letter(text.as_py()) for text in texts), bool, len(texts))
     names = [model.languages[i] if known else UNDETERMINED for i, known in zip(best, spoken, strict=True)]
     return names, np.where(spoken, score, 0.0), shortest / np.maximum(size, 1)
 
