@@ -51,6 +51,8 @@ READ_BYTES = 8 << 20
 
 class CorruptRecord(ValueError):
     """A frame whose length or checksum does not fit."""
+# Tasks that read files back at most; each may read many files.
+MOST_READERS = 100_000
 
 
 def masked_checksum(data: bytes) -> int:
@@ -188,6 +190,8 @@ def read_record(store, path: str, row: int) -> tuple[int | None, np.ndarray]:
 def read_token_records(manifest: DataFrame, folder: str) -> DataFrame:
     """Per record of the manifest's files: doc_id, start, n_tokens and ids_crc32, all from the files.
 
+    About as many tasks read as there are files, up to ``MOST_READERS``.
+
     ``start`` counts the ids of all documents before it. The running total over
     files is one row per file; inside a file it is kept while reading.
     """
@@ -199,7 +203,8 @@ def read_token_records(manifest: DataFrame, folder: str) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _read_files(batches, folder)
 
-    spread = files.select("path", "before").repartition(F.col("path"))
+    # A number of its own keeps adaptive execution from putting the few rows of a manifest into one task.
+    spread = files.select("path", "before").repartition(max(1, min(manifest.count(), MOST_READERS)), "path")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
