@@ -54,6 +54,8 @@ PARITY_BYTES = 128
 POSTING_COST = 8
 SMALLEST_LARGE, LARGEST_SMALL = 2, 16
 MOST_SALTS = 12  # binary logarithm
+# Up to so many classes, their texts are found by id.
+FEW_CLASSES = 10_000
 
 LINK, PAIR, LISTED = 0, 1, 2
 
@@ -463,16 +465,51 @@ def _with_both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b")
 
 
-def _verified(pairs: DataFrame, sketches: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """Those of the distinct pairs (a, b) of classes that link, stored; None if there are none to look at.
-
-    Sketches leave few pairs that do not link; only their sets are made again from the texts.
+class _Known:
+    """The sets that were made so far, each from its text once."""
+
+    def __init__(self, texts: DataFrame, rows: DataFrame):
+        self.texts, self.rows, self.sets = texts, rows, None
+
+    def of(self, classes: DataFrame) -> DataFrame:
+        """Stored sets, those of ``classes`` among them."""
+        if self.sets is None:
+            self.sets = _sets_of_classes(self.texts, classes, whole=True)
+            return self.sets
+        missing = materialise(classes.join(self.sets.select("cls"), "cls", "left_anti"))
+        count = missing.count()
+        if count:
+            texts = self.texts
+            if count <= FEW_CLASSES:
+                # One text of each class is enough, and their ids are few.
+                ids = self.rows.join(F.broadcast(missing), "cls").groupBy("cls").agg(F.min("doc_id").alias("own_id"))
+                ids = materialise(ids.select("own_id").distinct())
+                texts = texts.join(F.broadcast(ids), texts["doc_id"].eqNullSafe(ids["own_id"]), "left_semi")
+            self.sets = self.sets.union(_sets_of_classes(texts, missing, whole=True)).dropDuplicates(["cls"])
+        return self.sets
+
+
+def _verified(pairs: DataFrame, sketches: DataFrame, known: _Known) -> DataFrame | None:
+    """Links among the distinct pairs (a, b) of classes that connect all that link, stored; None if none are likely.
+
+    Sketches leave few pairs that do not link; only their sets are made again
+    from the texts. Sets move with the pair of each class and its smallest
+    likely partner first, then only with pairs of what this did not connect.
     """
     likely = materialise(_with_both(pairs, sketches).filter(_near_enough(PARITY)).select("a", "b"))
     if likely.isEmpty():
         return None
-    sets = _sets_of_classes(texts, _classes(likely), whole=True)
-    return materialise(_with_both(likely, sets).mapInArrow(_linked, "a long, b long"))
+    sets = known.of(_classes(likely))
+    star = materialise(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    links = materialise(_with_both(star, sets).mapInArrow(_linked, "a long, b long"))
+    part_of = connected(links)
+    one = part_of.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    two = part_of.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+    apart = likely.join(star, ["a", "b"], "left_anti").join(one, "a", "left").join(two, "b", "left")
+    apart = materialise(apart.filter("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b"))
+    if apart.isEmpty():
+        return links
+    return links.union(materialise(_with_both(apart, sets).mapInArrow(_linked, "a long, b long")))
 
 
 def _pairs(entries: DataFrame, others: DataFrame, differ: Column) -> DataFrame:
@@ -518,6 +555,7 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     entries = materialise(entries.join(sketches.select("cls", *folded), "cls"))
     candidates = short.distinct()
     component = None
+    known = _Known(texts, rows)
     for turn in range(ROUNDS + 1):
         if turn:
             part_of = component.select(F.col("node").alias("cls"), "component")
@@ -537,7 +575,7 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
             listed = listed.join(mixed, "token", "left_semi")
             met = _pairs(listed, _renamed(listed, *facts), F.col("component") < F.col("other_component"))
         candidates = met if turn else candidates.union(met).distinct()
-        found_links = _verified(candidates, sketches, texts)
+        found_links = _verified(candidates, sketches, known)
         if found_links is not None or component is None:
             links = links if found_links is None else links.union(found_links)
             component = connected(links)
@@ -578,14 +616,13 @@ def link_documents(docs: DataFrame) -> DataFrame:
     )
 
 
-def _classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _classed(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         narrow = batch.select(["doc_id", "text"])
         classes = [class_of(tokens) if len(tokens) else None for _, tokens in _sets_of(iter([narrow]))]
-        yield batch.append_column(CLASS, pa.array(classes, pa.int64()))
-
-
-CLASS = "shingle_class"
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(classes, pa.int64())], [*batch.schema.names, name]
+        )
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
@@ -600,13 +637,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = linked.groupBy("component_class").agg(first).select(
         F.col("first.class_id").alias("kept_class"), F.col("first.doc_id").alias("kept_id")
     )
-    classed = docs.mapInArrow(_classed, StructType([*docs.schema.fields, StructField(CLASS, LongType())]))
-    filled = classed.filter(F.col(CLASS).isNotNull())
+    cls = "shingle_class"
+    while cls in names:
+        cls += "_"
+    kind = StructType([*docs.schema.fields, StructField(cls, LongType())])
+    classed = docs.mapInArrow(lambda batches: _classed(batches, cls), kind)
+    filled = classed.filter(F.col(cls).isNotNull())
     chosen = filled.join(
-        kept, (filled[CLASS] == kept["kept_class"]) & filled["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi"
+        kept, (filled[cls] == kept["kept_class"]) & filled["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi"
     )
     # Copies of the chosen row agree in class; partial sums keep one of each task's.
     others = [name for name in names if name != "doc_id"]
-    single = chosen.groupBy(CLASS, "doc_id").agg(F.first(F.struct(*others)).alias("row"))
+    single = chosen.groupBy(cls, "doc_id").agg(F.first(F.struct(*others)).alias("row"))
     single = single.select(*[F.col("doc_id") if name == "doc_id" else F.col(f"row.{name}") for name in names])
-    return single.unionByName(classed.filter(F.col(CLASS).isNull()).select(*names))
+    return single.unionByName(classed.filter(F.col(cls).isNull()).select(*names))
