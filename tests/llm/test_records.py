@@ -17,8 +17,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tallymart.llm import chat_format, exact_topk, queries, shingle_join, warc_io
-from tests.llm.tables import empty
+from tallymart.llm import chat_format, exact_topk, queries, shingle_join, token_records, warc_io
+from tests.llm.tables import documents, empty
 
 TRICKY = st.lists(st.sampled_from([*"\\<>/s[]INST ok\n", "</s>", "<s>", "[INST]", "[/INST]", "[ROLE]", "<image>"])).map("".join)
 
@@ -168,5 +168,35 @@ def test_pipeline_of_an_empty_table(spark, sf_dir):
 
 def test_queries_cover_all_operators():
     numbers = sorted(int(name[2:].split("_")[0]) for name in queries.queries())
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert np.all([name in queries.queries() for name in queries.oracle_sql()])
+
+
+def test_top_k_ranks_components_of_any_size(spark):
+    rng = random.Random(10)
+    sizes = (1.0, 1e5, 1e9, 1e200, 1e304)
+    rows = [(i * 10, [rng.uniform(-1, 1) * rng.choice(sizes) for _ in range(4)]) for i in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = exact_topk.top_k(table, F.col("vec_id") % 100 == 0, 5).collect()
+    expected = Counter()
+    for (query, rank, other, score), n in _brute_top(rows, 5).items():
+        expected[query, rank, other, score if -(2**63) <= score < 2**63 else None] += n
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == expected
+    assert any(r.score is None for r in got)
+
+
+def test_near_copies_keep_a_column_that_is_named_like_their_own(spark):
+    texts = ["a b c d e f", "a b c d e f", "", None]
+    docs = documents(spark, texts).withColumn("shingle_class", F.lit("mine"))
+    kept = shingle_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
+    assert {r.shingle_class for r in kept.collect()} == {"mine"}
+
+
+def test_records_are_read_by_as_many_tasks_as_there_are_files(spark, tmp_path):
+    docs = documents(spark, [f"text {i}" for i in range(400)]).repartition(6)
+    manifest = token_records.write_token_records(docs, str(tmp_path), queries.BYTE_BPE, 2, part_bytes=200)
+    found = token_records.read_token_records(manifest, str(tmp_path))
+    assert found.count() == 400
+    assert found.rdd.getNumPartitions() == manifest.count() > 1

@@ -351,3 +351,22 @@ def test_components_of_a_long_chain_and_a_star(spark):
     found = {r.node: r.component for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     assert all(found[i] == 0 for i in range(41)) and all(found[100 + i] == 100 for i in range(30))
     assert found[200] == found[199] == 199
+
+
+def test_code_lengths_do_not_depend_on_windows(monkeypatch):
+    rng = random.Random(8)
+    sample = [bytes(rng.choices(b"abc \xc3\xa9", k=50)) for _ in range(20)]
+    padded = [b" " * language_id.ORDER + text for text in sample]
+    counts = {}
+    for number, text in enumerate(padded):
+        for at in range(language_id.ORDER, len(text)):
+            key = number % 2, sum(text[at - i] << 8 * i for i in range(language_id.ORDER + 1))
+            counts[key] = counts.get(key, 0) + 1
+    columns = zip(*((lang, sequence, n) for (lang, sequence), n in sorted(counts.items())), strict=True)
+    scorer = language_id.Scorer(language_id.Model(("x", "y"), *(np.array(c, np.int64) for c in columns)))
+    texts = ["", "a", "abc " * 3000, "", "é" * 5000, "b", "c a" * 1700, ""]
+    one = scorer.code_lengths(*language_id.binary_values(pa.array(texts)))
+    alone = [scorer.code_lengths(*language_id.binary_values(pa.array([text])))[0] for text in texts]
+    monkeypatch.setattr(language_id, "WINDOW", 1)  # windows of the least size
+    assert np.allclose(one, alone)
+    assert np.allclose(scorer.code_lengths(*language_id.binary_values(pa.array(texts))), one)
