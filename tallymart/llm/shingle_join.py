@@ -485,7 +485,8 @@ class _Known:
                 ids = self.rows.join(F.broadcast(missing), "cls").groupBy("cls").agg(F.min("doc_id").alias("own_id"))
                 ids = materialise(ids.select("own_id").distinct())
                 texts = texts.join(F.broadcast(ids), texts["doc_id"].eqNullSafe(ids["own_id"]), "left_semi")
-            self.sets = self.sets.union(_sets_of_classes(texts, missing, whole=True)).dropDuplicates(["cls"])
+            # A set that is made again by chance gives the same links again.
+            self.sets = self.sets.union(_sets_of_classes(texts, missing, whole=True))
         return self.sets
 
 
@@ -501,10 +502,10 @@ def _verified(pairs: DataFrame, sketches: DataFrame, known: _Known) -> DataFrame
         return None
     sets = known.of(_classes(likely))
     star = materialise(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = materialise(_with_both(star, sets).mapInArrow(_linked, "a long, b long"))
-    part_of = connected(links)
-    one = part_of.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
-    two = part_of.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+    links = materialise(_with_both(star, sets).mapInArrow(_linked, "a long, b long").distinct())
+    # Classes that hang from the same one need no pair of their own.
+    one = links.select(F.col("b").alias("a"), F.col("a").alias("of_a"))
+    two = links.select("b", F.col("a").alias("of_b"))
     apart = likely.join(star, ["a", "b"], "left_anti").join(one, "a", "left").join(two, "b", "left")
     apart = materialise(apart.filter("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b"))
     if apart.isEmpty():
