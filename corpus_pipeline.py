@@ -50,7 +50,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-# Models, hashes and tokenizers are beyond SQL; the tests compare with a brute-force version.
+# Models, hashes and tokenizers are beyond SQL; the tests look at the stages one by one.
 ORACLE_SQL = None
 
 
