@@ -39,12 +39,15 @@ from tallymart.operators.sellers import (
     seller_revenue,
     seller_reviews,
     seller_scorecard,
+    sold_items,
 )
 from tallymart.operators.trends import orders_over_time
+from tallymart.plans.editions import Edition, current_edition
 from tallymart.plans.run import Outcome, Settings, run
 from tallymart.sources.marketplace import Marketplace, MissingTable
 
 __all__ = [
+    "Edition",
     "Marketplace",
     "MissingTable",
     "Outcome",
@@ -58,6 +61,7 @@ __all__ = [
     "cohort_retention",
     "composite_rank",
     "cumulative_share_classify",
+    "current_edition",
     "date_gaps",
     "days_since_first",
     "delivery_by_state",
@@ -84,5 +88,6 @@ __all__ = [
     "seller_revenue",
     "seller_reviews",
     "seller_scorecard",
+    "sold_items",
     "validation_passed",
 ]

@@ -29,13 +29,14 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     parser.add_argument("--start-date", metavar="YYYY-MM-DD", help="first purchase day to include")
     parser.add_argument("--end-date", metavar="YYYY-MM-DD", help="last purchase day to include")
     parser.add_argument("--seller-state", help="only sellers of this state in the scorecard")
+    parser.add_argument("--editions", type=int, metavar="N", help="publish runs as a whole and keep the last N")
     given = parser.parse_args(argv)
 
     if spark is None:
         zone = "spark.sql.session.timeZone"
         builder = SparkSession.builder.appName("tallymart").config(zone, CLUSTER_SETTINGS[zone])
         spark = builder.getOrCreate()
-    settings = Settings(given.out, given.start_date, given.end_date, given.seller_state)
+    settings = Settings(given.out, given.start_date, given.end_date, given.seller_state, editions=given.editions)
     try:
         if given.folder:
             market = Marketplace.from_folder(spark, given.folder)

@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.sources.schema import ORDER_DAY
+
 _ISO_DAY = re.compile(r"\d{4}-\d{2}-\d{2}", re.ASCII)
 
 
@@ -42,8 +44,10 @@ class Period:
 
         Compares the raw timestamp with midnight bounds, so the predicate is a
         plain range that Parquet row groups can be skipped on. A missing
-        timestamp passes only when there is no bound at all.
+        timestamp passes only when there is no bound at all. Of a table that is
+        laid out by day, only the folders of the period are opened.
         """
+        df = self.keep_days(df)
         if self.start is not None:
             df = df.filter(F.col(timestamp) >= _instant(self.start, "00:00:00"))
         if self.end is not None:
@@ -51,6 +55,16 @@ class Period:
         return df
 
 
+    def keep_days(self, df: DataFrame) -> DataFrame:
+        """Rows in the day folders of the period; all of them where the table has no such layout."""
+        if ORDER_DAY in df.columns:
+            if self.start is not None:
+                df = df.filter(F.col(ORDER_DAY) >= F.lit(self.start))
+            if self.end is not None:
+                df = df.filter(F.col(ORDER_DAY) <= F.lit(self.end))
+        return df
+
+
 def _instant(day: dt.date, clock: str) -> Column:
     return F.lit(f"{day.isoformat()} {clock}").cast("timestamp_ntz")
 

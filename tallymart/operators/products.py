@@ -15,14 +15,16 @@ from tallymart.sources.scratch import materialise
 PRODUCT_KEYS = ("product_id", "product_category_name")
 
 
-def abc_classification(market: Marketplace, period: Period = EVERYTHING) -> DataFrame:
+def abc_classification(
+    market: Marketplace, period: Period = EVERYTHING, sold: DataFrame | None = None
+) -> DataFrame:
     """Products, revenue and revenue share per class; a class without products has no row.
 
     The share is the sum of product shares that were already rounded to four
-    digits, rounded again to two.
+    digits, rounded again to two. ``sold`` may give the period's items and orders already joined.
     """
     return (
-        product_classes(market, period)
+        product_classes(market, period, sold)
         .groupBy("abc_class")
         .agg(
             F.count(F.lit(1)).alias("product_count"),
@@ -39,18 +41,22 @@ def abc_classification(market: Marketplace, period: Period = EVERYTHING) -> Data
     )
 
 
-def product_classes(market: Marketplace, period: Period = EVERYTHING) -> DataFrame:
+def product_classes(
+    market: Marketplace, period: Period = EVERYTHING, sold: DataFrame | None = None
+) -> DataFrame:
     """Share, running share and class of every product, revenue as exact decimal."""
-    revenue = _revenue(market, period, market.amounts("order_items").decimal)
+    revenue = _revenue(market, period, market.amounts("order_items").decimal, sold)
     return cumulative_share_classify(revenue, "revenue", PRODUCT_KEYS)
 
 
-def product_revenue(market: Marketplace, period: Period = EVERYTHING) -> DataFrame:
+def product_revenue(
+    market: Marketplace, period: Period = EVERYTHING, sold: DataFrame | None = None
+) -> DataFrame:
     """Revenue and units per product and category.
 
     Products that are not listed keep their rows with no category.
     """
-    return _revenue(market, period, market.amounts("order_items").double)
+    return _revenue(market, period, market.amounts("order_items").double, sold)
 
 
 def _order_copies(market: Marketplace, period: Period) -> DataFrame:
@@ -63,7 +69,10 @@ def _order_copies(market: Marketplace, period: Period) -> DataFrame:
 
 
 def _revenue(
-    market: Marketplace, period: Period, joined: Callable[[Sequence[Column]], Column]
+    market: Marketplace,
+    period: Period,
+    joined: Callable[[Sequence[Column]], Column],
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """Plain items meet one stored row per order; sums per product meet the listings.
 
@@ -71,19 +80,18 @@ def _revenue(
     """
     money = market.amounts("order_items")
     prices, earned = money.names("price_units"), money.names("earned")
-    orders = materialise(_order_copies(market, period))
-    sums = (
-        market.table("order_items")
-        .select("order_id", "product_id", *prices)
-        .join(orders, "order_id")
-        .groupBy("product_id")
-        .agg(
-            *[
-                F.sum(money.times(F.col(price), F.col("order_rows"))).alias(name)
-                for price, name in zip(prices, earned, strict=True)
-            ],
-            F.sum("order_rows").alias("units"),
-        )
+    if sold is None:
+        orders = materialise(_order_copies(market, period))
+        items = period.keep_days(market.table("order_items"))
+        items = items.select("order_id", "product_id", *prices).join(orders, "order_id")
+    else:
+        items = sold.filter(F.col("sales") > 0).withColumnRenamed("sales", "order_rows")
+    sums = items.groupBy("product_id").agg(
+        *[
+            F.sum(money.times(F.col(price), F.col("order_rows"))).alias(name)
+            for price, name in zip(prices, earned, strict=True)
+        ],
+        F.sum("order_rows").alias("units"),
     )
     listings = (
         market.table("products")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallymart.functions.dates import month_start
 from tallymart.functions.numeric import flag, ratio
 from tallymart.functions.period import EVERYTHING, Period
 from tallymart.operators.ranking import composite_rank
@@ -37,14 +38,20 @@ def seller_scorecard(
 
 
 def ranked_sellers(
-    market: Marketplace, period: Period = EVERYTHING, seller_state: str | None = None
+    market: Marketplace,
+    period: Period = EVERYTHING,
+    seller_state: str | None = None,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """The rows of :func:`seller_scorecard` in any order."""
-    return composite_rank(seller_metrics(market, period, seller_state), SCORECARD_RANKS)
+    return composite_rank(seller_metrics(market, period, seller_state, sold), SCORECARD_RANKS)
 
 
 def seller_metrics(
-    market: Marketplace, period: Period = EVERYTHING, seller_state: str | None = None
+    market: Marketplace,
+    period: Period = EVERYTHING,
+    seller_state: str | None = None,
+    sold: DataFrame | None = None,
 ) -> DataFrame:
     """Revenue, items, on-time rate, mean review and cancel rate per seller.
 
@@ -52,10 +59,14 @@ def seller_metrics(
     one stored row per order, which plain items join: Spark can split a hot
     order, partial sums take care of a hot seller, and order facts and reviews
     share a single join. The stored rows are written while the query is built.
+    With ``sold``, the :func:`sold_items` of the same period, that join is already made.
     """
-    facts = _per_order(_order_events(market, period).unionByName(_review_events(market)))
-    sums = _per_seller(market, facts, seller_state).filter(F.col("items") > 0)
-    return sums.join(_seller_copies(market, seller_state), "seller_id").select(
+    if sold is None:
+        facts = _per_order(_order_events(market, period).unionByName(_review_events(market)))
+        sums = _per_seller(market, facts, seller_state)
+    else:
+        sums = _seller_sums(market, _of_state(market, sold, seller_state))
+    return sums.filter(F.col("items") > 0).join(_seller_copies(market, seller_state), "seller_id").select(
         "seller_id",
         *_sales_columns(market),
         _on_time_rate(),
@@ -97,6 +108,32 @@ def seller_reviews(market: Marketplace) -> DataFrame:
     return _per_seller(market, facts, None).select("seller_id", _avg_review(market))
 
 
+def sold_items(market: Marketplace, period: Period = EVERYTHING) -> DataFrame:
+    """Items with the facts of their order, stored for all analyses that need both.
+
+    Holds every item whose order falls in the period or has a review. ``sales``
+    counts the order's rows in the period, ``months`` how many of them that are
+    not canceled fall in each month: one entry, unless an order id is repeated.
+    Orders shrink to one stored row each, then plain items join them: the only
+    shuffle of the items by order, in which Spark can split a hot order.
+    """
+    events = _order_events(market, period, by_month=True).unionByName(
+        _review_events(market), allowMissingColumns=True
+    )
+    counted = [c for c in events.columns if c not in ("order_id", "order_month", "live")]
+    sums = [F.sum(c).alias(c) for c in counted]
+    by_month = (
+        events.filter(F.col("order_id").isNotNull())
+        .groupBy("order_id", "order_month")
+        .agg(*sums, F.sum("live").alias("order_rows"))
+    )
+    month = F.when(F.col("order_rows") > 0, F.struct("order_month", "order_rows"))
+    facts = materialise(by_month.groupBy("order_id").agg(*sums, F.collect_list(month).alias("months")))
+    prices = market.amounts("order_items").names("price_units")
+    items = market.table("order_items").select("order_id", "seller_id", "product_id", *prices)
+    return materialise(items.join(facts, "order_id").drop("order_id"))
+
+
 def seller_base(
     market: Marketplace, period: Period = EVERYTHING, seller_state: str | None = None
 ) -> DataFrame:
@@ -109,7 +146,7 @@ def seller_base(
     )
     sellers = _sellers(market, seller_state).select("seller_id")
     return (
-        _items(market, seller_state)
+        period.keep_days(_items(market, seller_state))
         .select("order_id", "seller_id", "price")
         .join(orders, "order_id")
         .join(sellers, "seller_id")
@@ -119,18 +156,23 @@ def seller_base(
 
 def _sold_sums(market: Marketplace, period: Period, seller_state: str | None) -> DataFrame:
     facts = _per_order(_order_events(market, period))
-    sums = _per_seller(market, facts, seller_state)
+    sums = _per_seller(market, facts, seller_state, period)
     return sums.join(_seller_copies(market, seller_state), "seller_id")
 
 
-def _order_events(market: Marketplace, period: Period) -> DataFrame:
+def _order_events(market: Marketplace, period: Period, by_month: bool = False) -> DataFrame:
     orders = period.keep(market.table("orders"), "order_purchase_timestamp")
     arrived = (F.col("order_status") == DELIVERED) & F.col(
         "order_delivered_customer_date"
     ).isNotNull()
     in_time = F.col("order_delivered_customer_date") <= F.col("order_estimated_delivery_date")
+    month = [
+        month_start(F.col("order_purchase_timestamp")).alias("order_month"),
+        flag(F.col("order_status") != CANCELED).alias("live"),
+    ]
     return orders.select(
         "order_id",
+        *(month if by_month else []),
         F.lit(1).alias("sales"),
         flag(arrived).alias("arrived"),
         flag(arrived & in_time).alias("on_time"),
@@ -161,31 +203,37 @@ def _per_order(events: DataFrame) -> DataFrame:
     return materialise(known.groupBy("order_id").agg(*[F.sum(c).alias(c) for c in counted]))
 
 
-def _per_seller(market: Marketplace, facts: DataFrame, seller_state: str | None) -> DataFrame:
+def _per_seller(
+    market: Marketplace, facts: DataFrame, seller_state: str | None, period: Period = EVERYTHING
+) -> DataFrame:
+    """Reviews count whatever the day of their order: a ``period`` for the items only where they play no part."""
+    prices = market.amounts("order_items").names("price_units")
+    items = period.keep_days(_items(market, seller_state)).select("order_id", "seller_id", *prices)
+    return _seller_sums(market, items.join(facts, "order_id"))
+
+
+def _seller_sums(market: Marketplace, sold: DataFrame) -> DataFrame:
     money = market.amounts("order_items")
     prices = money.names("price_units")
     revenue = [F.when(F.col("sales") > 0, money.times(F.col(price), F.col("sales"))) for price in prices]
     counted = ("arrived", "on_time", "canceled", *market.amounts("order_reviews").names("score_sum"), "scores")
-    return (
-        _items(market, seller_state)
-        .select("order_id", "seller_id", *prices)
-        .join(facts, "order_id")
-        .groupBy("seller_id")
-        .agg(
-            *[F.sum(part).alias(name) for part, name in zip(revenue, money.names("earned"), strict=True)],
-            F.sum("sales").alias("items"),
-            *[F.sum(c).alias(c) for c in counted],
-        )
+    return sold.groupBy("seller_id").agg(
+        *[F.sum(part).alias(name) for part, name in zip(revenue, money.names("earned"), strict=True)],
+        F.sum("sales").alias("items"),
+        *[F.sum(c).alias(c) for c in counted],
     )
 
 
 def _items(market: Marketplace, seller_state: str | None) -> DataFrame:
+    return _of_state(market, market.table("order_items"), seller_state)
+
+
+def _of_state(market: Marketplace, items: DataFrame, seller_state: str | None) -> DataFrame:
     """Items that may count for the state.
 
     A plain semi join: Spark copies the sellers' keys to the items where they
     are few, and shuffles (and splits) the items where they are not.
     """
-    items = market.table("order_items")
     if seller_state is None:
         return items
     return items.join(_sellers(market, seller_state).select("seller_id"), "seller_id", "left_semi")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
@@ -16,9 +16,9 @@ from tallymart.operators.checks import run_validation, validation_passed
 from tallymart.operators.delivery import delivery_by_state
 from tallymart.operators.products import abc_classification
 from tallymart.operators.retention import cohort_retention
-from tallymart.operators.sellers import ranked_sellers
+from tallymart.operators.sellers import ranked_sellers, sold_items
 from tallymart.operators.trends import orders_over_time
-from tallymart.plans import publish, report
+from tallymart.plans import editions, publish, report
 from tallymart.sources.marketplace import Marketplace, MissingTable
 from tallymart.sources.schema import EARLIEST_YEAR
 from tallymart.sources.scratch import materialise, released
@@ -30,7 +30,12 @@ ANALYSIS_ERRORS = (PySparkException, Py4JError, MissingTable)
 
 @dataclass(frozen=True)
 class Settings:
-    """What a run is asked for. Dates are YYYY-MM-DD text, dates or ``None``."""
+    """What a run is asked for. Dates are YYYY-MM-DD text, dates or ``None``.
+
+    ``editions``: how many runs the target keeps, each in a folder of its own and
+    made visible as a whole (``current_edition``). ``None`` writes to fixed names
+    and overwrites them one by one.
+    """
 
     out: str
     start: str | dt.date | None = None
@@ -38,28 +43,39 @@ class Settings:
     seller_state: str | None = None
     min_year: int = EARLIEST_YEAR
     as_of: dt.date | None = None
+    editions: int | None = None
 
 
 @dataclass
 class Outcome:
-    """What a run did: check result, files by name, and errors by analysis."""
+    """What a run did: check result, files by name, errors by analysis, number of its edition if any."""
 
     checks_passed: bool
     files: dict[str, str] = field(default_factory=dict)
     errors: dict[str, str] = field(default_factory=dict)
+    edition: int | None = None
 
 
 def run(market: Marketplace, settings: Settings) -> Outcome:
     """Check, analyse and publish.
 
-    A malformed date raises ``ValueError`` before any job starts. Failed
+    A malformed date, or no edition to keep, raises ``ValueError`` before any job starts. Failed
     checks and failed analyses are reported and do not stop the others; an
     output is left out when an analysis it needs has failed. Intermediate tables
     are deleted at the end.
     """
     period = Period.of(settings.start, settings.end)
+    if settings.editions is not None and settings.editions < 1:
+        raise ValueError(f"at least one edition must be kept, not {settings.editions}")
     with released(market.spark):
-        return _run(market, settings, period)
+        if settings.editions is None:
+            return _run(market, settings, period)
+        own = replace(settings, out=editions.new_folder(settings.out))
+        outcome = _run(market, own, period)
+        outcome.edition = editions.publish_edition(
+            market.spark, settings.out, own.out, outcome.files, outcome.errors, settings.editions
+        ).number
+        return outcome
 
 
 def _run(market: Marketplace, settings: Settings, period: Period) -> Outcome:
@@ -74,12 +90,13 @@ def _run(market: Marketplace, settings: Settings, period: Period) -> Outcome:
     if not outcome.checks_passed:
         log.warning("some checks failed; treat the outputs with caution")
 
+    sold = _sold(market, period)
     results: dict[str, DataFrame] = {}
     analyses: dict[str, Callable[[], DataFrame]] = {
-        "scorecard": lambda: ranked_sellers(market, period, settings.seller_state),
-        "classes": lambda: abc_classification(market, period),
+        "scorecard": lambda: ranked_sellers(market, period, settings.seller_state, sold),
+        "classes": lambda: abc_classification(market, period, sold),
         "delivery": lambda: delivery_by_state(market, period),
-        "months": lambda: orders_over_time(market, period),
+        "months": lambda: orders_over_time(market, period, sold),
         "retention": lambda: cohort_retention(market, period),
     }
     for name, build in analyses.items():
@@ -111,6 +128,19 @@ def _run(market: Marketplace, settings: Settings, period: Period) -> Outcome:
     return outcome
 
 
+def _sold(market: Marketplace, period: Period) -> DataFrame | None:
+    """Items with the facts of their order, joined once for three analyses.
+
+    Where that cannot be made, because one of them lacks a table or column,
+    each reads the source for itself and those that can succeed do.
+    """
+    try:
+        return sold_items(market, period)
+    except ANALYSIS_ERRORS as error:
+        log.warning("items and orders are joined by each analysis: %s", error)
+        return None
+
+
 def _sheets(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The report tables whose inputs are at hand."""
     plans = {

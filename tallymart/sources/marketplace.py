@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallymart.functions.numeric import Amounts
-from tallymart.sources.schema import AMOUNTS, COLUMNS, EXPECTED_TABLES
+from tallymart.sources.schema import AMOUNTS, COLUMNS, EXPECTED_TABLES, ORDER_DAY
 
 
 class MissingTable(LookupError):
@@ -70,6 +70,27 @@ class Marketplace:
 
         return cls(spark, {name: loader(name) for name in EXPECTED_TABLES})
 
+    def laid_out_by_day(self, **columns: str) -> Marketplace:
+        """Same source, whose orders, or orders and items, are partitioned by the order's purchase day.
+
+        Names the partition column of each such table: ``laid_out_by_day(orders="day",
+        order_items="day")``. It holds the calendar day of the order's purchase time
+        (none where that is missing), as a date or as text in YYYY-MM-DD form. An
+        analysis of a period then opens only the folders of its days.
+        """
+        if unknown := set(columns) - {t for t, known in COLUMNS.items() if ORDER_DAY in known}:
+            raise ValueError(f"no tables with a layout by day: {sorted(unknown)}")
+
+        def named(load: Loader, column: str) -> Loader:
+            def loaded() -> DataFrame | None:
+                df = load()
+                return None if df is None else df.select("*", F.col(column).alias(ORDER_DAY))
+
+            return loaded
+
+        loaders = {n: named(load, columns[n]) if n in columns else load for n, load in self._loaders.items()}
+        return Marketplace(self.spark, loaders)
+
     def replace(self, **frames: DataFrame) -> Marketplace:
         """Same source with some tables swapped."""
         loaders = {**self._loaders, **{n: (lambda df=df: df) for n, df in frames.items()}}

@@ -27,6 +27,9 @@ KEY_COLUMNS = {
 MINIMUM_ROWS = {"orders": 1_000, "order_items": 1_000, "customers": 1_000}
 EARLIEST_YEAR = 2015
 
+# A table's partition column that holds the order's purchase day, under the name it has inside.
+ORDER_DAY = "_order_day"
+
 # Columns the analyses use, with the type they need. ``None`` keeps the
 # source type. Tables that are only counted are not listed.
 COLUMNS: dict[str, dict[str, str | None]] = {
@@ -37,12 +40,14 @@ COLUMNS: dict[str, dict[str, str | None]] = {
         "order_purchase_timestamp": "timestamp_ntz",
         "order_delivered_customer_date": "timestamp_ntz",
         "order_estimated_delivery_date": "timestamp_ntz",
+        ORDER_DAY: "date",
     },
     "order_items": {
         "order_id": None,
         "product_id": None,
         "seller_id": None,
         "price": None,
+        ORDER_DAY: "date",
     },
     "customers": {
         "customer_id": None,

@@ -336,3 +336,81 @@ def test_date_gaps_read_orders_once_and_run_nothing_before(spark, market, monkey
     text = plan(tm.date_gaps(market))
     assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
     assert "Join" not in text and "partial_bitmap_construct_agg" in text.lower()
+
+
+@pytest.mark.parametrize("period", [Period(), YEAR], ids=["all", "year"])
+def test_joined_items_give_the_same_analyses(spark, market, period):
+    from tests.small import item, order
+    from tests.small import market as small
+
+    repeated = small(
+        spark,
+        orders=[
+            order("a", bought="2020-01-31"),
+            order("a", bought="2020-02-01"),
+            order("a", bought="2020-02-02", status="canceled"),
+            order("b", bought="2019-05-01", arrived="2019-05-03", promised="2019-05-04"),
+            order("c", status=None),
+            order("d", status="shipped"),
+            order(None, bought="2020-03-03"),
+        ],
+        order_items=[item("a"), item("a", "p2", "s2", "2.50"), item("b"), item("c"), item("d", "p3"),
+                     item("e"), item(None), item("a", None, None, None), item("d", "p9", "s1", None)],
+        products=[("p1", "x"), ("p2", "y"), ("p2", "z"), ("p3", None)],
+        sellers=[("s1", "SP"), ("s2", "RJ"), ("s2", "RJ")],
+        order_reviews=[("r1", "a", 4), ("r2", "a", None), ("r3", "b", 1), ("r4", "e", 5), ("r5", None, 2)],
+    )
+    for source, state in ((market, "3"), (repeated, "RJ")):
+        sold = tm.sold_items(source, period)
+        for joined, plain in (
+            (tm.seller_metrics(source, period, None, sold), tm.seller_metrics(source, period)),
+            (tm.seller_metrics(source, period, state, sold), tm.seller_metrics(source, period, state)),
+            (products.product_revenue(source, period, sold), tm.product_revenue(source, period)),
+            (products.product_classes(source, period, sold), tm.product_classes(source, period)),
+            (tm.orders_over_time(source, period, sold), tm.orders_over_time(source, period)),
+        ):
+            assert joined.schema == plain.schema
+            assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def _recorded(monkeypatch):
+    """Plans of all intermediate tables that are written from now on."""
+    from tallymart.plans import run
+
+    plans, store = [], run.materialise
+
+    def recorded(df):
+        plans.append(plan(df, "simple"))
+        return store(df)
+
+    for module in (run, sellers, products, ranking):
+        monkeypatch.setattr(module, "materialise", recorded)
+    return plans
+
+
+def test_a_run_shuffles_items_by_order_once(spark, market, tmp_path, monkeypatch):
+    plans = _recorded(monkeypatch)
+    with conf(spark, **NO_BROADCAST):
+        assert tm.run(market, tm.Settings(out=str(tmp_path), start="2020-01-01")).errors == {}
+    reading = [text for text in plans if "SortMergeJoin" in text and "/order_items]" in text]
+    assert len(reading) == 1
+    # One exchange for the items, one for the stored facts, which are one row per order.
+    assert len(re.findall(r"Exchange hashpartitioning\(order_id", reading[0])) == 2
+    assert sum("/order_items]" in text for text in plans) == 2  # the other one is the check of the source
+
+
+def test_the_stored_join_splits_a_hot_order(spark, market, monkeypatch):
+    from tallymart.sources import scratch
+
+    frames = []
+    monkeypatch.setattr(sellers, "materialise", lambda df: frames.append(df) or scratch.materialise(df))
+    with conf(spark, **SPLIT_EARLY):
+        tm.sold_items(market)
+        frames[-1].collect()
+        assert "skew=true" in plan(frames[-1], "simple")
+
+
+def test_a_source_without_reviews_still_has_classes_and_months(spark, market, tmp_path):
+    outcome = tm.run(market.without("order_reviews"), tm.Settings(out=str(tmp_path)))
+    assert list(outcome.errors) == ["scorecard"]
+    assert {"summary", "orders_over_time"} <= set(outcome.files)
