@@ -29,6 +29,7 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,17 +120,16 @@ def class_of(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def _sets_of(batches: Iterator[pa.RecordBatch], chars: int = 2_000_000) -> Iterator[tuple[object, np.ndarray]]:
+def _sets_of(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[object, np.ndarray]]:
+    """Ids and sets, made for some texts at a time: about ``size`` bytes, or one longer text."""
     for batch in batches:
-        ids, texts, size = [], [], 0
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
-            ids.append(doc_id)
-            texts.append(text or "")
-            size += len(texts[-1])
-            if size >= chars:
-                yield from zip(ids, _quiet(texts), strict=True)
-                ids, texts, size = [], [], 0
-        yield from zip(ids, _quiet(texts), strict=True)
+        lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
+        parts = np.cumsum(lengths, dtype=np.int64) // size
+        cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(batch)]
+        for begin, end in zip(cuts, cuts[1:]):
+            own = batch.slice(begin, end - begin)
+            texts = [text or "" for text in own["text"].to_pylist()]
+            yield from zip(own["doc_id"].to_pylist(), _quiet(texts), strict=True)
 
 
 def _quiet(texts: list[str]) -> Iterator[np.ndarray]:
@@ -148,8 +148,8 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def counted() -> None:
         if waiting:
-            found = np.bincount((np.concatenate(waiting) >> np.uint64(64 - 23)).astype(np.int64), minlength=CELLS)
-            np.add(cells, found, out=cells, casting="unsafe")
+            # Counts in place: an array of all cells for each turn would be the most that a worker holds.
+            np.add.at(cells, np.concatenate(waiting) >> np.uint64(64 - 23), np.uint32(1))
             waiting.clear()
 
     def flush() -> pa.RecordBatch:
@@ -162,7 +162,7 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.append((doc_id, class_of(tokens) if len(tokens) else None, len(tokens), part, None, None))
         waiting.append(tokens)
         held += len(tokens)
-        if held >= 4_000_000:
+        if held >= 500_000:
             counted()
             held = 0
         if len(rows) >= 20_000:
