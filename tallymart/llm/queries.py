@@ -131,6 +131,52 @@ QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <=
 """
 
 
+# The template's marks, and how texts are escaped, as in chat_format.
+OP7_SQL = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+escaped AS (
+    SELECT *, regexp_replace(replace(text, '\', '\\'), marks, '\1\\\2', 'g') AS inside,
+        regexp_replace(replace(role, '\', '\\'), marks, '\1\\\2', 'g') AS named
+    FROM turns, (SELECT '([<\[])(/?s>|image>|audio>|document>|/?SYS\]|/?INST\]|/?ROLE\])' AS marks)
+),
+formatted AS (
+    SELECT conv_id, turn, role, text, '<s>' || CASE role
+        WHEN 'system' THEN '[SYS] ' || inside || ' [/SYS]'
+        WHEN 'user' THEN '[INST] ' || inside || ' [/INST]'
+        WHEN 'assistant' THEN inside
+        ELSE '[ROLE]' || named || '[/ROLE] ' || inside END || '</s>' AS formatted
+    FROM escaped
+)
+SELECT conv_id, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, formatted)) AS turns_sha256,
+    CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+    sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, formatted) FILTER (WHERE role = 'assistant'), ''))
+        AS loss_sha256,
+    CAST(sum(length(formatted)) AS BIGINT) AS formatted_chars
+FROM formatted GROUP BY conv_id
+"""
+
+# Base32 of a SHA-1: five hexadecimal digits are four of its digits.
+OP8_SQL = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS sha
+    FROM pages
+),
+named AS (
+    SELECT *, max(page_id) OVER (PARTITION BY sha, payload_bytes) AS response FROM payloads
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+    array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        CAST((CAST('0x' || substr(sha, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT))
+            & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+    CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> response THEN response END AS refers_to
+FROM named
+"""
+
 OP12_SQL = """
 WITH words AS (
     SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS pos
@@ -192,4 +238,5 @@ FROM near WHERE place <= 5
 
 def oracle_sql() -> dict[str, str]:
     """Queries that SQL can express."""
-    return {"op3_exact_topk": OP3_SQL, "op12_substring_dedup": OP12_SQL, "op13_hard_negatives": OP13_SQL}
+    return {"op3_exact_topk": OP3_SQL, "op7_chat_format": OP7_SQL, "op8_warc": OP8_SQL, "op12_substring_dedup": OP12_SQL,
+        "op13_hard_negatives": OP13_SQL}
