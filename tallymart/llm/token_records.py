@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallymart.llm.chunk_encode import encoder_for
-from tallymart.llm.support import columns, filesystem, materialise, scratch_root, ship, text_or_empty
+from tallymart.llm.support import columns, filesystem, materialise, scratch_path, ship, text_or_empty
 
 # Fixed values of the format: the mask of a stored checksum.
 MASK_ADDEND = 0xA282EAD8
@@ -227,5 +227,5 @@ def _read_files(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.R
 
 def token_records(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Write all documents and read them back; by default under the session's shared folder."""
-    folder = folder or f"{scratch_root(docs.sparkSession).rstrip('/')}/tallymart/{uuid.uuid4().hex}"
+    folder = folder or scratch_path(docs.sparkSession)
     return read_token_records(write_token_records(docs, folder, tokenizer_path, end_id), folder)

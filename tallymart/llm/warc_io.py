@@ -2,7 +2,8 @@
 
 Written files are gzip members, one per record, so a reader can start at any
 record. Beside ``x.warc.gz`` lies ``x.cdx``: offset, length and record type of
-each member as JSON lines, from which the reader plans its partitions.
+each member as JSON lines. The reader plans ranges of bytes of these indexes
+from file sizes; each task reads its own range.
 
 The data source ``warc`` (option ``path``) returns a row per record. Equality
 and IN filters on ``record_type`` and on header columns are taken over by the
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, In, InputPartition, IsNotNull
 
-from tallymart.llm.support import columns, filesystem, materialise, scratch_root, ship, text_or_empty
+from tallymart.llm.support import columns, filesystem, materialise, scratch_path, ship, text_or_empty
 
 VERSION = b"WARC/1.1"
 MANIFEST = "manifest.json"
@@ -100,11 +101,15 @@ class Member:
 
 
 class Span(InputPartition):
-    """Members of one file: path, then offset and length of each."""
+    """A range of bytes of one archive's index: the members whose lines begin there."""
 
-    def __init__(self, path: str, members: list[tuple[int, int]]):
-        super().__init__((path, members))
-        self.path, self.members = path, members
+    def __init__(self, path: str, begin: int, end: int):
+        super().__init__((path, begin, end))
+        self.path, self.begin, self.end = path, begin, end
+
+
+def _index_of(archive: str) -> str:
+    return archive.removesuffix(".warc.gz") + ".cdx"
 
 
 class WarcReader(DataSourceReader):
@@ -124,33 +129,38 @@ class WarcReader(DataSourceReader):
                 yield one
 
     def partitions(self) -> list[Span]:
-        """Runs of members of up to ``PARTITION_BYTES``; records of other types are left out by the index."""
+        """Ranges of the indexes, a range for every ``PARTITION_BYTES`` of an archive.
+
+        Comes from file sizes alone: the indexes, a line per record, are read by the tasks.
+        """
         store, root = filesystem(self._path)
-        types = [values for name, values in self._wanted if name == "record_type"]
+        archives = _archives(store, root)
+        sizes = {info.path: info.size for info in store.get_file_info([*archives, *map(_index_of, archives)])}
         spans = []
-        for archive in _archives(store, root):
-            members, size = [], 0
-            with store.open_input_stream(archive.removesuffix(".warc.gz") + ".cdx") as lines:
-                for line in lines.read().splitlines():
-                    offset, length, kind = json.loads(line)
-                    if any(kind not in values for values in types):
-                        continue
-                    members.append((offset, length))
-                    size += length
-                    if size >= PARTITION_BYTES:
-                        spans.append(Span(archive, members))
-                        members, size = [], 0
-            if members:
-                spans.append(Span(archive, members))
+        for archive in archives:
+            lines = sizes[_index_of(archive)]
+            pieces = max(1, -(-sizes[archive] // PARTITION_BYTES))
+            cuts = [lines * i // pieces for i in range(pieces + 1)]
+            spans += [Span(archive, begin, end) for begin, end in zip(cuts, cuts[1:]) if begin < end]
         return spans
 
+    def members(self, span: Span) -> Iterator[tuple[int, int]]:
+        """Offset and length of the span's records, but for those whose type no filter lets through."""
+        store, _ = filesystem(self._path)
+        types = [values for name, values in self._wanted if name == "record_type"]
+        with store.open_input_file(_index_of(span.path)) as file:
+            for line in _lines(file, span.begin, span.end):
+                offset, length, kind = json.loads(line)
+                if all(kind in values for values in types):
+                    yield offset, length
+
     def read(self, partition: Span | None) -> Iterator[pa.RecordBatch]:
-        if partition is None:  # no file holds a wanted record
+        if partition is None:  # there are no records
             return
         store, _ = filesystem(self._path)
         rows, held = [], 0
         with store.open_input_file(partition.path) as file:
-            for offset, length in partition.members:
+            for offset, length in self.members(partition):
                 row = self._row(partition.path, offset, file.read_at(length, offset))
                 if row is None:
                     continue
@@ -182,6 +192,28 @@ class WarcReader(DataSourceReader):
         return pa.RecordBatch.from_arrays([found[name] for name in self._names], self._names)
 
 
+def _lines(file: pa.NativeFile, begin: int, end: int) -> Iterator[bytes]:
+    """The lines that begin in a range of bytes; the last of them may end beyond it."""
+    # A line begins at `begin` only if the byte before ends one.
+    at, rest, skipping = max(begin - 1, 0), b"", begin > 0
+    start = at
+    while start < end:
+        data = file.read_at(READ_BYTES, at)
+        at += len(data)
+        *whole, rest = (rest + data).split(b"\n")
+        if not data:
+            whole, rest = ([rest] if rest else []), b""
+        for line in whole:
+            if start >= end:
+                return
+            if not skipping:
+                yield line
+            skipping = False
+            start += len(line) + 1
+        if not data:
+            return
+
+
 def _archives(store: pafs.FileSystem, root: str) -> list[str]:
     """The archives of a folder: those of its manifest, or all if it has none."""
     manifest = f"{root}/{MANIFEST}"
@@ -370,6 +402,6 @@ def archived_pages(spark: SparkSession, folder: str) -> DataFrame:
 def archive_pages(pages: DataFrame, folder: str | None = None, min_payload: int = 0) -> DataFrame:
     """Write the archives, by default under the session's shared folder, and read them back."""
     spark = pages.sparkSession
-    folder = folder or f"{scratch_root(spark).rstrip('/')}/tallymart/{uuid.uuid4().hex}"
+    folder = folder or scratch_path(spark)
     write_warc(pages, folder, min_payload)
     return archived_pages(spark, folder)

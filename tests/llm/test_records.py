@@ -96,18 +96,37 @@ def test_reader_takes_over_filters(spark, tmp_path):
     folder = f"file://{tmp_path}"
     warc_io.write_warc(_pages(spark, [(i, f"u{i % 3}", f"text {i % 4}", None) for i in range(40)]), folder)
     reader = warc_io.WarcReader(folder, warc_io.read_warc(spark, folder, "page_id", "record_type").schema)
-    every = sum(len(span.members) for span in reader.partitions())
+    every = sum(len(list(reader.members(span))) for span in reader.partitions())
     left = list(reader.pushFilters([
         warc_io.EqualTo(("record_type",), "response"), warc_io.In(("target_uri",), ("u1",)), warc_io.EqualTo(("offset",), 0),
     ]))
     assert len(left) == 1 and every == 40
     spans = reader.partitions()
-    assert sum(len(span.members) for span in spans) == 4
+    assert sum(len(list(reader.members(span))) for span in spans) == 4
     assert sum(batch.num_rows for span in spans for batch in reader.read(span)) < 4
     frame = warc_io.read_warc(spark, folder).filter("target_uri = 'u1' and record_type = 'response'")
     assert all(row.payload.startswith(b"text") for row in frame.collect())
 
 
+def test_every_record_is_read_by_one_index_range(spark, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}"
+    warc_io.write_warc(_pages(spark, [(i, f"u{i}", f"text {i} " * (i % 7), None) for i in range(60)]).coalesce(2), folder)
+    schema = warc_io.read_warc(spark, folder, "page_id", "payload").schema
+
+    def found(spans):
+        reader = warc_io.WarcReader(folder, schema)
+        return sorted(page for span in spans for batch in reader.read(span) for page in batch["page_id"].to_pylist())
+
+    whole = warc_io.WarcReader(folder, schema).partitions()
+    assert len(whole) == len({span.path for span in whole}) and found(whole) == sorted(map(str, range(60)))
+    for size, step in ((1, 7), (300, 1 << 16), (1000, 64)):
+        monkeypatch.setattr(warc_io, "PARTITION_BYTES", size)
+        monkeypatch.setattr(warc_io, "READ_BYTES", step)
+        spans = warc_io.WarcReader(folder, schema).partitions()
+        assert len(spans) > len(whole)
+        assert found(spans) == sorted(map(str, range(60)))
+
+
 def _brute_top(rows, k):
     kept = []
     for number, (vec_id, vector) in enumerate(rows):
