@@ -15,7 +15,7 @@ Arrow, pieces not seen before are cut further, and ids are gathered by index.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from itertools import chain
 
 import numpy as np
@@ -69,15 +69,20 @@ def _each(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class ChunkEncoder:
-    """Encodes Arrow string arrays; ``encode`` maps new chunks to their ids."""
+    """Encodes Arrow string arrays; ``encode`` maps new chunks to their ids.
+
+    Strings in ``controls`` are tokens across all cuts: a text that holds one is encoded as a whole.
+    """
 
     def __init__(
         self,
         encode: Callable[[list[str]], list[list[int]]],
         chunks_remembered: int = CHUNKS_REMEMBERED,
         pieces_remembered: int = PIECES_REMEMBERED,
+        controls: Iterable[str] = (),
     ):
         self._encode = encode
+        self._controls = tuple(controls)
         self._limits = chunks_remembered, pieces_remembered
         self._chunks, self._pieces = _Store(), _Store()
 
@@ -114,13 +119,27 @@ class ChunkEncoder:
         while at < len(texts):
             limit = (sizes[at - 1] if at else 0) + BYTES_AT_ONCE
             after = max(at + 1, int(np.searchsorted(sizes, limit, "right")))
-            ids, ends = self._some(texts.slice(at, after - at))
+            ids, ends = self._with_controls(texts.slice(at, after - at))
             found.append(ids)
             bounds.append(ends[1:] + bounds[-1][-1])
             at = after
             pa.default_memory_pool().release_unused()
         return np.concatenate(found), np.concatenate(bounds)
 
+    def _with_controls(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        held = np.zeros(len(texts), bool)
+        for control in self._controls:
+            held |= pc.match_substring(texts, control).to_numpy(zero_copy_only=False)
+        if not held.any():
+            return self._some(texts)
+        empty = pa.scalar("", pa.large_string())
+        ids, ends = self._some(pc.if_else(pa.array(held), empty, texts))
+        found, lengths = self._encoded(texts.filter(pa.array(held)).to_pylist())
+        more = np.zeros(len(texts), np.int64)
+        more[held] = lengths
+        ids = np.insert(ids, np.repeat(ends[:-1][held], lengths), found)
+        return ids, ends + np.concatenate([[0], np.cumsum(more)])
+
     def _some(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if len(self._chunks) > self._limits[0]:
             self._chunks = _Store()
@@ -165,16 +184,16 @@ class ChunkEncoder:
         return self._pieces.ids(slots), np.concatenate([[0], np.cumsum(counts)])[ends]
 
 
-def tokenizers_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
-    """Encodes chunks by the tokenizers library; control strings in a text are ordinary text."""
+def tokenizers_encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]], list[str]]:
+    """Encodes by the tokenizers library as its plain call does; and the strings that it takes for tokens anywhere."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return lambda chunks: [e.ids for e in tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+    controls = [token.content for token in tokenizer.get_added_tokens_decoder().values() if token.content]
+    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], controls
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -183,5 +202,6 @@ _encoders: dict[str, ChunkEncoder] = {}
 def encoder_for(path: str) -> ChunkEncoder:
     """The worker's encoder for a tokenizer file; it lives as long as the worker."""
     if path not in _encoders:
-        _encoders[path] = ChunkEncoder(tokenizers_encoder(path))
+        encode, controls = tokenizers_encoder(path)
+        _encoders[path] = ChunkEncoder(encode, controls=controls)
     return _encoders[path]

@@ -26,9 +26,7 @@ ODD = " \n\t.,'abstreZ19½²漢 ́_\x1c\x1f!\u00a0\u2003ſK"
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(BYTE_BPE)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(BYTE_BPE)
 
 
 @pytest.fixture(scope="module")
@@ -47,18 +45,25 @@ def _lists(encoder, texts):
 @given(st.lists(st.text(alphabet=ODD, max_size=60), max_size=8))
 def test_chunks_give_the_ids_of_whole_texts(texts):
     tokenizer = Tokenizer.from_file(BYTE_BPE)
-    tokenizer.encode_special_tokens = True
     found = _lists(chunk_encode.encoder_for(BYTE_BPE), texts)
     assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
 
 
 def test_memory_starting_anew_changes_nothing(tokenizer):
-    encoder = chunk_encode.ChunkEncoder(chunk_encode.tokenizers_encoder(BYTE_BPE), 3, 3)
+    encode, controls = chunk_encode.tokenizers_encoder(BYTE_BPE)
+    encoder = chunk_encode.ChunkEncoder(encode, 3, 3, controls)
     texts = ["one two, three", "four five\nsix", "one two, three", "<|endoftext|> x"]
     for _ in range(2):
         assert _lists(encoder, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_strings_of_special_tokens_are_taken_as_the_plain_call_takes_them(tokenizer):
+    texts = ["a <|endoftext|> b", "", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "plain", "<|endoftext", "y<|endoftext|>"]
+    found = _lists(chunk_encode.encoder_for(BYTE_BPE), texts)
+    assert found == [tokenizer.encode(text, add_special_tokens=False).ids for text in texts]
+    assert len(found[2]) == 1 and len(found[5]) > 1
+
+
 def test_merge_replay_gives_the_ids_of_tiktoken(tiktoken_encoding):
     rng = random.Random(3)
     texts = ["".join(rng.choices(ODD, k=rng.randint(0, 50))) for _ in range(400)]
