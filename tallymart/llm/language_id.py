@@ -9,8 +9,12 @@ its oldest byte (escape method C, no exclusions). Below the empty context all
 The language with the shortest code for the whole text wins.
 
 Scoring walks all texts of a batch at once. The contexts of all languages form
-one tree; each context has a row with the code length of every byte in every
-language, so a byte costs ``ORDER`` steps down the tree and one row lookup.
+one tree. Each language has a row, with the code length of every byte, for each
+context that it knows; where it does not know one, its row of the context
+without the oldest byte stands in. So a byte costs ``ORDER`` steps down the tree
+and one lookup in each language. The rows grow with the contexts of the sample,
+which is bounded for each language; only 4 bytes are kept for each pair of a
+context and a language.
 """
 
 from __future__ import annotations
@@ -29,13 +33,9 @@ from tallymart.llm.support import binary_values, columns, ship, text_or_empty
 
 ORDER = 3
 UNDETERMINED = "und"
-# Bounds of what a model is fitted on: bytes per language, bytes of a passage (longer texts are several), and number
-# of languages. Passages are drawn whole, one of each group of copies, by a hash; at least one of each language.
+# Bounds of what a model is fitted on: bytes per language, and bytes of a passage (longer texts are several). Passages are drawn whole, one of each group of copies, by a hash; at least one of each language.
 SAMPLE_BYTES = 3_000_000
 SAMPLE_LONGEST = 100_000
-MOST_LANGUAGES = 200
-# Contexts kept per language and length, the most frequent first. They bound the model's size.
-CONTEXTS = 12_000
 # A text starts as if after spaces.
 PAD = 0x20
 WINDOW = 1 << 18
@@ -66,28 +66,34 @@ class Scorer:
         self.symbol[seen] = np.arange(len(seen))
         # by[i]: the symbol i places before the predicted one.
         by = [self.symbol[model.sequence >> 8 * i & 255].astype(np.int64) for i in range(ORDER + 1)]
-        cost = np.full((1, width, n), 8.0)
-        cost = _after(cost, np.zeros(len(by[0]), np.int64), by[0], model, n)
-        rows, self.steps = [cost], []
-        nodes, node_of = 1, np.zeros(len(by[0]), np.int64)  # the context of each sequence, so far
-        alive = np.ones(len(by[0]), bool)  # whether that context is as long as this round's
-        for order in range(1, ORDER + 1):
-            key = node_of * width + by[order]
-            kept = _frequent(key, model, alive, n)
-            step = np.repeat(np.arange(nodes, dtype=np.int32), width)
-            step[kept] = nodes + np.arange(len(kept))
-            self.steps.append(step)
-            parents = np.concatenate(rows)[kept // width]
-            alive &= step[key] != node_of
-            node_of = step[key].astype(np.int64)
-            own = Model(model.languages, model.language[alive], model.sequence[alive], model.count[alive])
-            rows.append(_after(parents, node_of[alive] - nodes, by[0][alive], own, n))
-            nodes += len(kept)
-        self.cost = np.ascontiguousarray(np.concatenate(rows).reshape(-1, n), dtype=np.float32)
+        # The rows of the former round of contexts, the number of the first, and each language's row in each context.
+        cost, first = np.full((1, width), 8.0), 0
+        own = np.zeros((1, n), np.int32)
+        node = np.zeros(len(by[0]), np.int64)  # the context of each sequence, so far
+        rows, row_of, self.steps = [cost], [], []
+        nodes = 0
+        for order in range(ORDER + 1):
+            if order:
+                key = node * width + by[order]
+                kept, index = np.unique(key, return_inverse=True)
+                step = np.repeat(np.arange(nodes, dtype=np.int32), width)
+                step[kept] = nodes + np.arange(len(kept))
+                self.steps.append(step)
+                own = np.concatenate(row_of)[kept // width]
+                node = nodes + index
+            pairs, where = np.unique((node - nodes) * n + model.language, return_inverse=True)
+            cost = _after(cost[own.reshape(-1)[pairs] - first], where, by[0], model.count)
+            first = sum(map(len, rows))
+            own.reshape(-1)[pairs] = first + np.arange(len(pairs))
+            rows.append(cost.astype(np.float32))
+            row_of.append(own)
+            nodes += len(own)
+        self.row_of = np.concatenate(row_of)
+        self.cost = np.concatenate(rows, dtype=np.float32).reshape(-1)
 
     def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Bits of each text in each language. Besides ``data``, memory is that of a window, whatever the texts."""
-        languages = self.cost.shape[1]
+        languages = self.row_of.shape[1]
         total = np.zeros((len(offsets) - 1, languages))
         filled = np.flatnonzero(np.diff(offsets))
         starts, ends = offsets[filled], offsets[filled + 1]
@@ -102,37 +108,25 @@ class Scorer:
                 back = at - order
                 symbol = np.where(back >= own, self.symbol[data[np.maximum(back, 0)]], self.symbol[PAD])
                 node = step[node * self.width + symbol]
-            cost = self.cost[node.astype(np.int64) * self.width + self.symbol[data[at]]]
+            row = self.row_of[node].astype(np.int64)
+            row *= self.width
+            row += self.symbol[data[at]][:, None]
+            cost = self.cost[row]
             cuts = np.maximum(starts[begin:end] - low, 0)
             total[filled[begin:end]] += np.add.reduceat(cost, cuts, axis=0, dtype=np.float64)
         return total
 
 
-def _frequent(key: np.ndarray, model: Model, alive: np.ndarray, n: int) -> np.ndarray:
-    """The contexts to keep: of each language, the most frequent."""
-    kept = []
-    for language in range(n):
-        mine = alive & (model.language == language)
-        keys, index = np.unique(key[mine], return_inverse=True)
-        often = np.bincount(index, weights=model.count[mine], minlength=len(keys))
-        kept.append(keys[np.lexsort((keys, -often))[:CONTEXTS]])
-    return np.unique(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
-
-
-def _after(parents: np.ndarray, node: np.ndarray, symbol: np.ndarray, model: Model, n: int) -> np.ndarray:
-    """Code lengths after each context, given those after the context one byte shorter."""
-    nodes, width = parents.shape[:2]
-    flat = (node * width + symbol) * n + model.language
-    cells, index = np.unique(flat, return_inverse=True)
-    count = np.bincount(index, weights=model.count, minlength=len(cells))
-    where = cells // (width * n) * n + cells % n
-    total = np.bincount(where, weights=count, minlength=nodes * n).reshape(nodes, n)
-    different = np.bincount(where, minlength=nodes * n).reshape(nodes, n).astype(float)
-    known = total > 0
-    with np.errstate(divide="ignore", invalid="ignore"):
-        escape = np.where(known, np.log2((total + different) / different), 0.0)
-    cost = parents + escape[:, None, :]
-    cost.reshape(-1)[cells] = np.log2((total + different).reshape(-1)[where] / count)
+def _after(parents: np.ndarray, row: np.ndarray, symbol: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Code lengths after each context in a language, given those after the context one byte shorter."""
+    width = parents.shape[1]
+    cells, index = np.unique(row * width + symbol, return_inverse=True)
+    count = np.bincount(index, weights=counts, minlength=len(cells))
+    where = cells // width
+    total = np.bincount(where, weights=count, minlength=len(parents))
+    different = np.bincount(where, minlength=len(parents)).astype(float)
+    cost = parents + np.log2((total + different) / different)[:, None]
+    cost.reshape(-1)[cells] = np.log2((total + different)[where] / count)
     return cost
 
 
@@ -150,13 +144,12 @@ def fit(labelled: DataFrame) -> Model:
     once. If the distinct passages of a language have up to ``SAMPLE_BYTES``
     bytes all are learnt, otherwise those with the least hashes, as many as fit.
     Runs three jobs; what reaches the driver is the languages, the bytes of each
-    in some hundred ranges of hashes, and the counted sequences of the sample.
+    in some hundred ranges of hashes, and the counted sequences of the sample,
+    all bounded for each language.
     """
     ship(labelled.sparkSession)
     known = columns(labelled, text="string", lang="string").dropna().filter(F.octet_length("text") > 0)
-    found = known.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    found = known.select("lang").distinct().collect()
     languages = tuple(sorted(row["lang"] for row in found))
     if not languages:
         return Model((), *(np.zeros(0, np.int64) for _ in range(3)))
