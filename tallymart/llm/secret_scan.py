@@ -1,9 +1,11 @@
 """Secrets in texts and in whatever the texts encode.
 
 Each text is scanned as it stands. Then a worklist unwraps it: the text with its
-percent-encoded bytes decoded, with its backslash escapes decoded, and each of
-its base64 segments are layers of their own, and so is compressed data written in
-any of these ways (as escapes, if every byte is escaped), once opened. Each layer
+percent-encoded bytes decoded (also as form data, with plus signs as blanks, and
+code units after ``%u``), with its backslash escapes decoded, with two bytes a
+character read as one, and each of its base64 segments are layers of their own,
+and so is compressed data written in any of these ways (as escapes, if every byte
+is escaped) or lying anywhere within other decompressed data, once opened. Each layer
 is scanned and unwrapped in turn, until nothing new comes up. Decoded bytes become one character each, whether or not
 they are text. Every layer remembers, for each of its characters, the place in
 the original text that it came from, so a secret found at any depth is reported
@@ -51,8 +53,17 @@ FEED_BYTES, BEGIN_BYTES = 16 << 10, 512
 # that cannot be in a base64 line.
 BREAK = re.compile(rb"""[^A-Za-z0-9"' :=+/_.%\\~\t\r\n-]|["':.%~]\r?\n""")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8})+")
-ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
+# Percent-encoded code units, as old scripts write them.
+UNITS = re.compile(r"(?:%u[0-9A-Fa-f]{4})+")
+# A run with both percent-encoded bytes and plus signs is also read as form data, where a plus sign is a blank.
+FORM = re.compile(
+    r"(?<![A-Za-z0-9_.~*+&=%-])(?=[A-Za-z0-9_.~*&=%-]*+\+)(?=[A-Za-z0-9_.~*+&=-]*+%[0-9A-Fa-f]{2})"
+    r"(?:[A-Za-z0-9_.~*+&=-]|%[0-9A-Fa-f]{2})++"
+)
+# Text of two bytes a character, either way round.
+WIDE = [re.compile(r"(?:[\t\n\r\x20-\x7e]\x00){8,}"), re.compile(r"(?:\x00[\t\n\r\x20-\x7e]){8,}")]
+ESCAPES = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2}|\\U[0-9A-Fa-f]{8}|\\u\{[0-9A-Fa-f]{1,6}\})+")
+ESCAPE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}")
 # Shorter segments cannot hold the shortest secret.
 LEAST_BASE64 = 16
 BASE64 = re.compile(rf"[A-Za-z0-9+/_-]{{{LEAST_BASE64},}}={{0,2}}")
@@ -116,11 +127,23 @@ def _unpercent(run: str) -> Decoded:
     return [(char, 3) for char in unquote_to_bytes(run).decode("latin-1")]
 
 
+def _unform(run: str) -> Decoded:
+    return [
+        (chr(int(part[1:], 16)), 3) if len(part) == 3 else (" " if part == "+" else part, 1)
+        for part in re.findall("%..|.", run)
+    ]
+
+
+def _ununit(run: str) -> Decoded:
+    # As long as the escapes of the same units.
+    return _unescape(run.replace("%", "\\"))
+
+
 def _unescape(run: str) -> Decoded:
     found: Decoded = []
     high = None
     for match in ESCAPE.finditer(run):
-        value, size = int(match[1] or match[2] or match[3], 16), len(match[0])
+        value, size = int(match[1] or match[2] or match[3] or match[4], 16), len(match[0])
         if high is not None and 0xDC00 <= value < 0xE000:
             found[-1] = chr(0x10000 + (high - 0xD800 << 10) + value - 0xDC00), found[-1][1] + size
             high = None
@@ -130,6 +153,17 @@ def _unescape(run: str) -> Decoded:
     return found
 
 
+# Ways of writing characters: a mark that must be there, what a run looks like, how it is read.
+READINGS: list[tuple[str, re.Pattern, Callable[[str], Decoded]]] = [
+    ("%", PERCENT, _unpercent),
+    ("%u", UNITS, _ununit),
+    ("%", FORM, _unform),
+    ("\\", ESCAPES, _unescape),
+    ("\0", WIDE[0], lambda run: [(char, 2) for char in run[::2]]),
+    ("\0", WIDE[1], lambda run: [(char, 2) for char in run[1::2]]),
+]
+
+
 def _decoded(layer: Layer, pattern: re.Pattern, decode: Callable[[str], Decoded]) -> Layer | None:
     """The layer with every run of ``pattern`` decoded, each character tied to its source."""
     texts, starts, sizes, at = [], [], [], 0
@@ -247,24 +281,137 @@ def _opened(data: memoryview, opening: Opening, alone: bool) -> Iterator[bytes]:
         chunks, outer = _fed(_members(head, chunks, opening, outer, outer and alone)), False
 
 
+class _Cutter:
+    """Bytes that come in order, handed out in pieces that end at a break."""
+
+    def __init__(self) -> None:
+        self._parts: list[bytes] = []
+        self._size, self._enough = 0, PIECE_BYTES
+
+    def add(self, chunk: bytes) -> bytes:
+        """The next piece, or nothing yet."""
+        self._parts.append(chunk)
+        self._size += len(chunk)
+        if self._size < self._enough:
+            return b""
+        held, at, back = b"".join(self._parts), 0, 1 << 10
+        while not at and back < 2 * self._size:
+            at = max((match.end() for match in BREAK.finditer(held, max(0, self._size - back))), default=0)
+            back *= 8
+        self._parts, self._size = [held[at:]], self._size - at
+        self._enough = max(PIECE_BYTES, 2 * self._size)
+        return held[:at]
+
+    def rest(self) -> bytes:
+        return b"".join(self._parts)
+
+
 def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
     """The same bytes, in pieces that end at a break."""
-    parts, size, enough = [], 0, PIECE_BYTES
+    cutter = _Cutter()
     for chunk in chunks:
-        parts.append(chunk)
-        size += len(chunk)
-        if size < enough:
+        if piece := cutter.add(chunk):
+            yield piece
+    if rest := cutter.rest():
+        yield rest
+
+
+class _Within:
+    """Compressed data that begins anywhere within a stream of bytes, opened as the stream goes by."""
+
+    def __init__(self, heads: frozenset[bytes], opening: Opening):
+        # Data that opens to itself would go on for ever: what is open around this stream does not open again.
+        self._heads, self.inside, self._opening = heads, heads, opening
+        self._held, self._open, self._gzip = b"", False, False
+        self._machine: zlib._Decompress | None = None
+
+    def add(self, chunk: bytes, last: bool = False) -> Iterator[bytes | None]:
+        """What opens in the next bytes, and None wherever it ends. ``last``: no more bytes will come."""
+        data, self._held = self._held + chunk, b""
+        while data:
+            again = data
+            if self._machine is None:
+                if self._open and len(data) < 3 and not last:
+                    self._held = data
+                    return
+                # A member right after another one goes on with its data.
+                if not (self._open and data[:3] == b"\x1f\x8b\x08"):
+                    if self._open:
+                        self._open = False
+                        yield None
+                    if (begin := self._begin(data, last)) < 0:
+                        return
+                    data = data[begin:]
+                self._machine, self._open, self._gzip = zlib.decompressobj(_window(data)), True, data[0] == 0x1F
+                again = data[1:]
+            try:
+                yield from filter(None, _inflated(self._machine, data))
+            except zlib.error:
+                yield from self._damaged()
+                data = again
+                continue
+            if not self._machine.eof:
+                break
+            data, self._machine = self._machine.unused_data, None
+        if last and self._machine is not None:
+            yield from self._damaged()
+        if last and self._open:
+            self._open = False
+            yield None
+
+    def _begin(self, data: bytes, last: bool) -> int:
+        """Where compressed data begins, or -1; then the bytes that may belong to a begin are kept."""
+        sure = len(data) if last else max(0, len(data) - BEGIN_BYTES + 1)
+        for match in PACKED_BYTES.finditer(data):
+            at, head = match.start(), data[match.start() : match.start() + BEGIN_BYTES]
+            if at >= sure:
+                break
+            if head not in self._heads and _begins(head):
+                self.inside = self._heads | {head}
+                return at
+        self._held = data[sure:]
+        return -1
+
+    def _damaged(self) -> Iterator[None]:
+        self._opening.damaged |= self._gzip
+        self._machine, self._open = None, False
+        yield None
+
+
+def _all_pieces(chunks: Iterable[bytes], opening: Opening) -> Iterator[tuple[int, bytes]]:
+    """The pieces of a stream and of all compressed data within it, at any depth, each with its depth.
+
+    Gzip data within that is damaged counts as damage of the whole.
+    """
+    # For each stream that is open: its pieces, what is within it, and whether it has ended.
+    streams: list[tuple[_Cutter, _Within]] = []
+    ended: list[bool] = []
+    work: list[Iterator[bytes | None]] = [chain(chunks, [None])]
+    while work:
+        depth = len(work) - 1
+        try:
+            event = next(work[-1])
+        except StopIteration:
+            work.pop()
+            if work and ended[depth - 1]:
+                cutter, _ = streams.pop()
+                ended.pop()
+                if rest := cutter.rest():
+                    yield depth - 1, rest
             continue
-        held, at, back = b"".join(parts), 0, 1 << 10
-        while not at and back < 2 * size:
-            at = max((match.end() for match in BREAK.finditer(held, max(0, size - back))), default=0)
-            back *= 8
-        if at:
-            yield held[:at]
-        parts, size = [held[at:]], size - at
-        enough = max(PIECE_BYTES, 2 * size)
-    if size:
-        yield b"".join(parts)
+        if event is None:
+            if depth < len(streams):
+                ended[depth] = True
+                work.append(streams[depth][1].add(b"", last=True))
+            continue
+        if depth == len(streams):
+            around = streams[-1][1].inside if streams else frozenset()
+            streams.append((_Cutter(), _Within(around, opening)))
+            ended.append(False)
+        cutter, within = streams[depth]
+        if piece := cutter.add(event):
+            yield depth, piece
+        work.append(within.add(event))
 
 
 def _escaped_bytes(run: str) -> bytes:
@@ -325,7 +472,7 @@ def _segments(text: str) -> Iterator[tuple[int, int, str, int]]:
 def _unwrapped(layer: Layer, cuts: list[bool]) -> Iterator[Layer]:
     """The layers directly inside one; of compressed data, its pieces. ``cuts`` tells of damaged ones."""
     text = layer.text
-    for mark, pattern, decode in (("%", PERCENT, _unpercent), ("\\", ESCAPES, _unescape)):
+    for mark, pattern, decode in READINGS:
         if mark in text and (inner := _decoded(layer, pattern, decode)) is not None:
             yield inner
     streams: list[tuple[int, int, int, Opening]] = []
@@ -341,11 +488,16 @@ def _unwrapped(layer: Layer, cuts: list[bool]) -> Iterator[Layer]:
 
 
 def _contents(
-    data: bytes, layer: Layer, source: tuple[int, int, int], streams: list[tuple[int, int, int, Opening]], kept: bool
+    data: bytes,
+    layer: Layer,
+    source: tuple[int, int, int],
+    streams: list[tuple[int, int, int, Opening]],
+    kept: bool,
 ) -> Iterator[Layer]:
     """The layers of bytes written in some place of a layer: compressed data in them opened, and the bytes if ``kept``.
 
-    All bytes are kept, as characters. Adds to ``streams`` what was opened.
+    All bytes are kept, as characters. Compressed data within what was opened is opened as well. Adds to ``streams``
+    what was opened.
     """
     start, end, skip = source
     place, view, done = layer.origin(start, end), memoryview(data), 0
@@ -354,8 +506,10 @@ def _contents(
         if at < done or not first and not _begins(data[at : at + BEGIN_BYTES]):
             continue
         opening = Opening()
-        for piece in _pieces(_opened(view[at:], opening, not first)):
-            yield Layer(piece.decode("latin-1"), None, None, place, layer.depth + 1)
+        chunks = _opened(view[at:], opening, not first)
+        pieces = _all_pieces(chunks, opening) if _window(data[at : at + 3]) else ((0, piece) for piece in _pieces(chunks))
+        for depth, piece in pieces:
+            yield Layer(piece.decode("latin-1"), None, None, place, layer.depth + 1 + depth)
         done = at + opening.end
         if opening.whole or opening.damaged and (not at or data[at] == 0x1F):
             streams.append((start, end, start + skip + at, opening))

@@ -5,8 +5,10 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import math
 import random
+import tarfile
 import urllib.parse
 import zlib
 from collections import Counter
@@ -188,6 +190,22 @@ def test_code_lengths_follow_the_definition():
         assert got[:, number] == pytest.approx(expected, rel=1e-5)
 
 
+def test_hundreds_of_languages_and_all_their_contexts(spark):
+    # Each language writes with three letters of its own; one has more contexts than any fixed table holds.
+    words = {f"l{i:03}": "".join(chr(0x4E00 + 3 * i + k) for k in (0, 1, 2, 1, 0, 2, 2)) for i in range(250)}
+    draw = np.random.default_rng(1)
+    mixed = "".join(chr(c) for c in draw.integers(0x20, 0x7F, 60_000))
+    rows = [(word * 5, lang) for lang, word in words.items()] + [(mixed, "mixed")]
+    model = language_id.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.languages) == 251
+    texts = [(i, word[2:] * 3) for i, word in enumerate(words.values())] + [(250, mixed[30_000:30_100])]
+    got = language_id.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()
+    assert {row["doc_id"]: row["lang_pred"] for row in got} == dict(enumerate([*words, "mixed"]))
+    scorer = language_id.Scorer(model)
+    # The rows grow with what each language knows, not with the contexts of all times the languages.
+    assert len(scorer.cost) // scorer.width < 2 * len(scorer.row_of)
+
+
 def test_languages_of_held_out_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = language_id.identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
@@ -370,3 +388,79 @@ def test_code_lengths_do_not_depend_on_windows(monkeypatch):
     monkeypatch.setattr(language_id, "WINDOW", 1)  # windows of the least size
     assert np.allclose(one, alone)
     assert np.allclose(scorer.code_lengths(*language_id.binary_values(pa.array(texts))), one)
+
+
+def _tar(data: bytes) -> bytes:
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as archive:
+        for name in ("a.gz", "b.gz"):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            archive.addfile(info, io.BytesIO(data))
+    return out.getvalue()
+
+
+NOISE = bytes(np.random.default_rng(7).integers(0, 256, 70_000, np.uint8))
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    [
+        lambda s: gzip.compress(b"a line\n" + gzip.compress(s)),
+        lambda s: gzip.compress(_tar(gzip.compress(s))),
+        lambda s: gzip.compress(b"log\n" * 3000 + zlib.compress(b"x\n" + s) + b"tail"),
+        lambda s: gzip.compress(NOISE + gzip.compress(b"y\n" * 9 + _tar(gzip.compress(NOISE + gzip.compress(s)))) + NOISE),
+        lambda s: gzip.compress(b"- " + gzip.compress(s[:9]) + gzip.compress(s[9:])),
+        lambda s: zlib.compress(b"- " + gzip.compress(b"not this\n") + b" - " + gzip.compress(s) + b" -"),
+        lambda s: gzip.compress(b"- " + gzip.compress(base64.b64encode(gzip.compress(b"- " + gzip.compress(s))))),
+        lambda s: s.decode().encode("utf-16-le"),
+        lambda s: s.decode().encode("utf-16-be"),
+        lambda s: gzip.compress(s.decode().encode("utf-16")),
+    ],
+)
+def test_compressed_data_within_other_data_is_opened(wrap):
+    text = f"see {base64.b64encode(wrap(b'password = hunter22abc')).decode()} end"
+    found = secret_scan.scan(text)
+    kinds = {(span.kind, span.start) for span in found.wrapped}
+    assert (0, 4) in kinds and not found.cut_short
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "q=password+%3D+hunter22abc&x=1",
+        "q=1&note=my+password%3A+hunter22abc",
+        r"\u{70}assword = hunter22abc",
+        "%u0070assword = hunter22abc",
+        "%25u0070assword = hunter22abc",
+    ],
+)
+def test_form_data_and_code_units(text):
+    found = secret_scan.scan(text)
+    assert [text[s.start : s.end].endswith("hunter22abc") for s in found.wrapped if s.kind == 0].count(True) >= 1
+
+
+def test_plus_signs_of_plain_text_stay():
+    assert not secret_scan.scan("password+=+hunter22abc, 50%+2").all()
+
+
+def test_data_that_holds_itself_ends_and_damage_within_is_told():
+    inner = gzip.compress(b"password = hunter22abc" + NOISE)
+    found = secret_scan.scan(base64.b64encode(gzip.compress(b"- " + inner[:-20000])).decode())
+    assert found.cut_short and any(span.kind == 0 for span in found.wrapped)
+    deep = b"password = hunter22abc"
+    for _ in range(300):
+        deep = gzip.compress(b"- " + deep, 1)
+    assert any(span.kind == 0 for span in secret_scan.scan(base64.b64encode(deep).decode()).wrapped)
+
+
+def test_streams_within_do_not_depend_on_chunks():
+    data = b"- " + gzip.compress(NOISE + zlib.compress(b"one\n") + gzip.compress(b"two\n")) + b" - " + gzip.compress(b"three\n")
+    want = sorted(secret_scan._all_pieces([data], secret_scan.Opening()))
+    for size in (1, 7, 600):
+        if size == 1:
+            chunks = [data[i : i + 1] for i in range(3000)] + [data[3000:]]
+        else:
+            chunks = [data[i : i + size] for i in range(0, len(data), size)]
+        opening = secret_scan.Opening()
+        assert sorted(secret_scan._all_pieces(chunks, opening)) == want and not opening.damaged
