@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.support import binary_values, columns, ship, text_or_empty
+from tallymart.llm.support import binary_values, columns, frugal, ship, text_or_empty
 
 ORDER = 3
 UNDETERMINED = "und"
@@ -156,13 +156,13 @@ def fit(labelled: DataFrame) -> Model:
     number = F.create_map(*[F.lit(x) for i, lang in enumerate(languages) for x in (lang, i)])
     known = known.select(number[F.col("lang")].alias("language"), "text")
     longest = SAMPLE_LONGEST
-    hashed = known.mapInArrow(lambda batches: _passages(batches, longest), "language int, hash long, range int, size long")
+    hashed = known.mapInArrow(frugal(lambda batches: _passages(batches, longest)), "language int, hash long, range int, size long")
     distinct = hashed.groupBy("language", "hash").agg(F.max("range").alias("range"), F.max("size").alias("size"))
     sizes = distinct.groupBy("language", "range").agg(F.sum("size").alias("size")).collect()
     last = _last_ranges([(row["language"], row["range"], row["size"]) for row in sizes])
-    drawn = known.mapInArrow(lambda batches: _passages(batches, longest, last), "language int, hash long, text binary")
+    drawn = known.mapInArrow(frugal(lambda batches: _passages(batches, longest, last)), "language int, hash long, text binary")
     sample = drawn.groupBy("language", "hash").agg(F.first("text").alias("text"))
-    counted = sample.select("language", "text").mapInArrow(_count, "language int, sequence long, count long")
+    counted = sample.select("language", "text").mapInArrow(frugal(_count), "language int, sequence long, count long")
     found = counted.groupBy("language", "sequence").agg(F.sum("count").alias("count")).toArrow()
     table = [found[name].to_numpy() for name in ("language", "sequence", "count")]
     order = np.lexsort((table[1], table[0]))
@@ -294,7 +294,7 @@ def predict(docs: DataFrame, model: Model, row: str = "doc_id") -> DataFrame:
     shared, key = spark.sparkContext.broadcast(model), model.key()
     kind = texts.schema[row].dataType.simpleString()
     return texts.mapInArrow(
-        lambda batches: _predict(batches, shared.value, key),
+        frugal(lambda batches: _predict(batches, shared.value, key)),
         f"`{row}` {kind}, lang_pred string, score double, bits_per_byte double",
     )
 
@@ -309,7 +309,8 @@ def accept(docs: DataFrame, model: Model, least_score: float = 0.5, most_bits: f
     spark = docs.sparkSession
     ship(spark)
     shared, key = spark.sparkContext.broadcast(model), model.key()
-    return docs.mapInArrow(lambda batches: _accept(batches, shared.value, key, least_score, most_bits), docs.schema)
+    work = frugal(lambda batches: _accept(batches, shared.value, key, least_score, most_bits))
+    return docs.mapInArrow(work, docs.schema)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tallymart.llm.components import connected
 from tallymart.llm.fingerprints import scramble
-from tallymart.llm.support import columns, materialise, ship
+from tallymart.llm.support import columns, frugal, materialise, ship
 
 WORDS = 5
 # Jaccard similarity of at least SAME / ALL.
@@ -173,6 +173,8 @@ def _summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = cells[block * BLOCK : (block + 1) * BLOCK]
         if own.any():
             rows.append((None, None, None, part, block, zlib.compress(own.tobytes(), 1)))
+            if len(rows) >= 8:
+                yield flush()
     yield flush()
 
 
@@ -366,7 +368,7 @@ def _class_filter(classes: DataFrame) -> np.ndarray:
         return pa.table({"block": rows["block"][:1], "bits": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     kind = "block int, bits binary"
-    some = classes.coalesce(64).mapInArrow(bits, kind)
+    some = classes.coalesce(64).mapInArrow(frugal(bits), kind)
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in some.groupBy("block").applyInArrow(either, kind).collect():
         own = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
@@ -439,7 +441,7 @@ def _sets_of_classes(texts: DataFrame, classes: DataFrame, whole: bool) -> DataF
         return _sets(batches, np.frombuffer(zlib.decompress(bits.value), np.uint8), whole)
 
     kind = "cls long, tokens binary" if whole else ", ".join(f"{name} long" for name in ("cls", "n", *PARITY))
-    return materialise(texts.mapInArrow(work, kind).dropDuplicates(["cls"]))
+    return materialise(texts.mapInArrow(frugal(work), kind).dropDuplicates(["cls"]))
 
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -502,7 +504,7 @@ def _verified(pairs: DataFrame, sketches: DataFrame, known: _Known) -> DataFrame
         return None
     sets = known.of(_classes(likely))
     star = materialise(likely.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
-    links = materialise(_with_both(star, sets).mapInArrow(_linked, "a long, b long").distinct())
+    links = materialise(_with_both(star, sets).mapInArrow(frugal(_linked), "a long, b long").distinct())
     # Classes that hang from the same one need no pair of their own.
     one = links.select(F.col("b").alias("a"), F.col("a").alias("of_a"))
     two = links.select("b", F.col("a").alias("of_b"))
@@ -510,7 +512,7 @@ def _verified(pairs: DataFrame, sketches: DataFrame, known: _Known) -> DataFrame
     apart = materialise(apart.filter("coalesce(of_a, a) <> coalesce(of_b, b)").select("a", "b"))
     if apart.isEmpty():
         return links
-    return links.union(materialise(_with_both(apart, sets).mapInArrow(_linked, "a long, b long")))
+    return links.union(materialise(_with_both(apart, sets).mapInArrow(frugal(_linked), "a long, b long")))
 
 
 def _pairs(entries: DataFrame, others: DataFrame, differ: Column) -> DataFrame:
@@ -527,7 +529,7 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Per row its class and set size, and for linked classes their component (None if there are no links)."""
     spark = texts.sparkSession
     seen = materialise(texts.mapInArrow(
-        _summarise, "doc_id long, cls long, n int, part int, block int, cells binary"
+        frugal(_summarise), "doc_id long, cls long, n int, part int, block int, cells binary"
     ))
     rows = seen.filter("block is null").select("doc_id", "cls", "n")
     sizes = rows.filter(F.col("n").between(1, LARGEST_SMALL)).groupBy("n").agg(F.countDistinct("cls").alias("classes"))
@@ -537,12 +539,12 @@ def link_classes(texts: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _post(batches, np.frombuffer(zlib.decompress(levels.value), np.uint8), small)
 
-    posted = texts.mapInArrow(post, "token long, cls long, facts long")
+    posted = texts.mapInArrow(frugal(post), "token long, cls long, facts long")
     salt = F.when(F.shiftright("facts", _PLACE).bitwiseAND((1 << 24) - 1) == 0, 0).otherwise(
         F.col("facts").bitwiseAND((1 << _PLACE) - 1)
     )
     dealt = posted.repartition("token", salt).sortWithinPartitions("token", salt, "cls")
-    found = materialise(dealt.mapInArrow(_meet, _FOUND))
+    found = materialise(dealt.mapInArrow(frugal(_meet), _FOUND))
     links = found.filter(F.col("kind") == LINK).select(F.col("x").alias("a"), F.col("y").alias("b"))
     short = found.filter(F.col("kind") == PAIR).select(F.col("x").alias("a"), F.col("y").alias("b"))
     entries = found.filter(F.col("kind") == LISTED).select(F.col("x").alias("token"), F.col("y").alias("cls"), "n", "place")
@@ -642,7 +644,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     while cls in names:
         cls += "_"
     kind = StructType([*docs.schema.fields, StructField(cls, LongType())])
-    classed = docs.mapInArrow(lambda batches: _classed(batches, cls), kind)
+    classed = docs.mapInArrow(frugal(lambda batches: _classed(batches, cls)), kind)
     filled = classed.filter(F.col(cls).isNotNull())
     chosen = filled.join(
         kept, (filled[cls] == kept["kept_class"]) & filled["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi"
