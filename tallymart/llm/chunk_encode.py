@@ -22,17 +22,20 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from tallymart.llm.support import ragged
+from tallymart.llm.support import kept, ragged
 
 # White space as Unicode has it; Python's \s also takes the four separators 1C to 1F.
 SPACE = r"[^\S\x1c-\x1f]"
 CHUNK = re.compile(rf"{SPACE}*[^\W_]+|{SPACE}*(?:[^\w\s]|[_\x1c-\x1f])+[^\W_]*|{SPACE}+")
 
-# What one Python worker remembers; beyond these numbers a memory starts anew.
-CHUNKS_REMEMBERED = 2_000_000
-PIECES_REMEMBERED = 2_000_000
+# What one Python worker remembers; beyond these numbers a memory starts anew. Each search in a memory
+# first makes a hash table of all its texts, which takes several times as much as they do.
+CHUNKS_REMEMBERED = 500_000
+PIECES_REMEMBERED = 500_000
 # Bytes of text worked on at a time; a longer text is worked on alone.
 BYTES_AT_ONCE = 6 << 20
+# Chunks handed to the tokenizer at a time: what it returns for each takes far more memory than the ids.
+CHUNKS_AT_ONCE = 10_000
 
 
 class _Store:
@@ -96,9 +99,12 @@ class ChunkEncoder:
         return self._chunks.ids(slots), np.diff(sums)
 
     def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = self._encode(chunks)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())), lengths
+        ids, lengths = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(chunks), CHUNKS_AT_ONCE):
+            found = self._encode(chunks[at : at + CHUNKS_AT_ONCE])
+            lengths.append(np.fromiter(map(len, found), np.int64, len(found)))
+            ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(lengths[-1].sum())))
+        return np.concatenate(ids), np.concatenate(lengths)
 
     def _slots_of(self, distinct: pa.Array, store: _Store, work_out: Callable) -> np.ndarray:
         """The slots of distinct texts; ids of those not in ``store`` are worked out first."""
@@ -196,12 +202,11 @@ def tokenizers_encoder(path: str) -> tuple[Callable[[list[str]], list[list[int]]
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], controls
 
 
-_encoders: dict[str, ChunkEncoder] = {}
-
-
 def encoder_for(path: str) -> ChunkEncoder:
-    """The worker's encoder for a tokenizer file; it lives as long as the worker."""
-    if path not in _encoders:
+    """The worker's encoder for a tokenizer file; it lives until a task of the worker keeps something else."""
+
+    def make() -> ChunkEncoder:
         encode, controls = tokenizers_encoder(path)
-        _encoders[path] = ChunkEncoder(encode, controls=controls)
-    return _encoders[path]
+        return ChunkEncoder(encode, controls=controls)
+
+    return kept((ChunkEncoder, path), make)

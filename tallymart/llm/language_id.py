@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallymart.llm.support import binary_values, columns, frugal, ship, text_or_empty
+from tallymart.llm.support import binary_values, columns, frugal, kept, ship, text_or_empty
 
 ORDER = 3
 UNDETERMINED = "und"
@@ -236,14 +236,8 @@ def has_letter(text: str) -> bool:
     return found is not None and (found[0].isalpha() or any(map(str.isalpha, text)))
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def _scorer(model: Model, key: str) -> Scorer:
-    if key not in _scorers:
-        _scorers.clear()
-        _scorers[key] = Scorer(model)
-    return _scorers[key]
+    return kept((Scorer, key), lambda: Scorer(model))
 
 
 def _judge(texts: pa.Array, model: Model, key: str) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -294,7 +288,7 @@ def predict(docs: DataFrame, model: Model, row: str = "doc_id") -> DataFrame:
     shared, key = spark.sparkContext.broadcast(model), model.key()
     kind = texts.schema[row].dataType.simpleString()
     return texts.mapInArrow(
-        frugal(lambda batches: _predict(batches, shared.value, key)),
+        frugal(lambda batches: _predict(batches, shared.value, key), keeps=True),
         f"`{row}` {kind}, lang_pred string, score double, bits_per_byte double",
     )
 
@@ -309,7 +303,7 @@ def accept(docs: DataFrame, model: Model, least_score: float = 0.5, most_bits: f
     spark = docs.sparkSession
     ship(spark)
     shared, key = spark.sparkContext.broadcast(model), model.key()
-    work = frugal(lambda batches: _accept(batches, shared.value, key, least_score, most_bits))
+    work = frugal(lambda batches: _accept(batches, shared.value, key, least_score, most_bits), keeps=True)
     return docs.mapInArrow(work, docs.schema)
 
 

@@ -21,8 +21,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallymart.llm.chunk_encode import encoder_for
-from tallymart.llm.support import columns, materialise, ship, text_or_empty
+from tallymart.llm.chunk_encode import ChunkEncoder, encoder_for
+from tallymart.llm.support import columns, frugal, materialise, ship, slices, text_or_empty
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, number long"
 
@@ -83,33 +83,41 @@ def cut(n_tokens: int, capacity: int) -> list[int]:
     return [rest] * bool(rest) + [capacity] * (n_tokens // capacity)
 
 
+def _pieces(
+    batches: Iterator[pa.RecordBatch], encode: ChunkEncoder, end_id: int, capacity: int, keep_ids: bool
+) -> Iterator[pa.RecordBatch]:
+    """The pieces of all texts, made for a slice of a batch at a time."""
+    part = TaskContext.get().partitionId()
+    seen: dict[int, int] = {}
+    for some in (own for batch in batches for own in slices(batch)):
+        ids, bounds = encode(some.column("text"))
+        ids = ids.astype("<u4")
+        rows = []
+        for row, doc_id in enumerate(some.column("doc_id").to_pylist()):
+            own, start = np.append(ids[bounds[row] : bounds[row + 1]], np.uint32(end_id)), 0
+            for piece, length in enumerate(cut(len(own), capacity)):
+                data = own[start : start + length].tobytes()
+                number = seen[length] = seen.get(length, -1) + 1
+                facts = (doc_id, piece, start, length, zlib.crc32(data), part, number)
+                rows.append((*facts, data) if keep_ids else facts)
+                start += length
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "number", "ids"]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+        many = len(names) if keep_ids else len(names) - 1
+        values = list(zip(*rows, strict=True)) if rows else [[]] * many
+        arrays = [pa.array(v, k) for v, k in zip(values, kinds[:many], strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names[:many])
+
+
 def tokenized_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, capacity: int, keep_ids: bool) -> DataFrame:
     """One row per piece; ``number`` counts the pieces of its length in its part of the table."""
     ship(docs.sparkSession)
     texts = columns(docs, doc_id="long", text="string").select("doc_id", text_or_empty().alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = encoder_for(tokenizer_path), TaskContext.get().partitionId()
-        seen: dict[int, int] = {}
-        for batch in batches:
-            ids, bounds = encode(batch.column("text"))
-            ids = ids.astype("<u4")
-            rows = []
-            for row, doc_id in enumerate(batch.column("doc_id").to_pylist()):
-                own, start = np.append(ids[bounds[row] : bounds[row + 1]], np.uint32(end_id)), 0
-                for piece, length in enumerate(cut(len(own), capacity)):
-                    data = own[start : start + length].tobytes()
-                    number = seen[length] = seen.get(length, -1) + 1
-                    rows.append((doc_id, piece, start, length, zlib.crc32(data), part, number, data))
-                    start += length
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "number", "ids"]
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            many = len(names) if keep_ids else len(names) - 1
-            values = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-            arrays = [pa.array(v, k) for v, k in zip(values[:many], kinds[:many], strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names[:many])
-
-    return texts.mapInArrow(work, PIECES + ", ids binary" * keep_ids)
+        return _pieces(batches, encoder_for(tokenizer_path), end_id, capacity, keep_ids)
+
+    return texts.mapInArrow(frugal(work, keeps=True), PIECES + ", ids binary" * keep_ids)
 
 
 def pack(

@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tallymart.llm.support import columns, ship, text_or_empty
+from tallymart.llm.support import columns, frugal, ship, slices, text_or_empty
 
 # Kinds of secrets in their order, what they look like and how long they must be.
 ASSIGN = re.compile(
@@ -608,14 +608,15 @@ def scan_documents(docs: DataFrame) -> DataFrame:
 def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         place = batch.schema.get_field_index("text")
-        texts = []
-        for value in batch["text"]:
-            text = value.as_py()
-            texts.append(text if text is None else redact(text, scan(text).all()))
-        yield batch.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
+        for own in slices(batch):
+            texts = []
+            for value in own["text"]:
+                text = value.as_py()
+                texts.append(text if text is None else redact(text, scan(text).all()))
+            yield own.set_column(place, batch.schema.field(place), pa.array(texts, batch.schema.field(place).type))
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
     """``docs`` with all secrets in ``text`` replaced; texts without any, null texts and other columns stay."""
     ship(docs.sparkSession)
-    return docs.mapInArrow(_redact_batches, docs.schema)
+    return docs.mapInArrow(frugal(_redact_batches), docs.schema)

@@ -29,7 +29,6 @@ from math import comb
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +36,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from tallymart.llm.components import connected
 from tallymart.llm.fingerprints import scramble
-from tallymart.llm.support import columns, frugal, materialise, ship
+from tallymart.llm.support import columns, frugal, materialise, ship, slices
 
 WORDS = 5
 # Jaccard similarity of at least SAME / ALL.
@@ -123,11 +122,7 @@ def class_of(tokens: np.ndarray) -> int:
 def _sets_of(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[object, np.ndarray]]:
     """Ids and sets, made for some texts at a time: about ``size`` bytes, or one longer text."""
     for batch in batches:
-        lengths = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False)
-        parts = np.cumsum(lengths, dtype=np.int64) // size
-        cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(batch)]
-        for begin, end in zip(cuts, cuts[1:]):
-            own = batch.slice(begin, end - begin)
+        for own in slices(batch, size):
             texts = [text or "" for text in own["text"].to_pylist()]
             yield from zip(own["doc_id"].to_pylist(), _quiet(texts), strict=True)
 

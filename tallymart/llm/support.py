@@ -11,6 +11,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +25,22 @@ __all__ = [
     "columns",
     "filesystem",
     "frugal",
+    "kept",
     "materialise",
     "ragged",
     "scratch_path",
     "scratch_root",
     "ship",
+    "slices",
     "table",
     "text_or_empty",
 ]
 
 
+# Bytes of text that a task works on at a time.
+SLICE_BYTES = 4 << 20
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """A stored copy in the shared folder; Zstandard keeps it small."""
     spark = df.sparkSession
@@ -99,8 +106,23 @@ def _release() -> None:
     _trim()(0)
 
 
-def frugal(work: Work) -> Work:
-    """``work``, in Python workers that keep no freed memory from one batch, or one task, to the next."""
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from one task to the next: one thing, dropped before another is made."""
+    if key not in _kept:
+        _kept.clear()
+        _release()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def frugal(work: Work, keeps: bool = False) -> Work:
+    """``work``, in Python workers that keep no freed memory from one batch, or one task, to the next.
+
+    Unless ``work`` itself ``keeps`` something, it starts without what tasks of other operators have kept.
+    """
 
     def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,6 +131,8 @@ def frugal(work: Work) -> Work:
             _release()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not keeps:
+            _kept.clear()
         _trim()
         yield from work(released(batches))
         _release()
@@ -116,6 +140,15 @@ def frugal(work: Work) -> Work:
     return run
 
 
+def slices(batch: pa.RecordBatch, size: int = SLICE_BYTES, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """A batch's rows in order, some at a time: about ``size`` bytes of a column, or one longer value."""
+    lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+    parts = np.cumsum(lengths, dtype=np.int64) // size
+    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(batch)]
+    for begin, end in zip(cuts, cuts[1:]):
+        yield batch.slice(begin, end - begin)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The shared file system of a folder, and the folder's path there."""
     return pafs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("/") else uri.replace("file:", "", 1))

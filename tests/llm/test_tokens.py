@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallymart.llm import chunk_encode, merge_replay, packing, token_records
+from tallymart.llm import chunk_encode, merge_replay, packing, secret_scan, support, token_records
 from tallymart.llm.support import filesystem
 from tests.llm.tables import awkward, documents, empty
 
@@ -196,3 +197,52 @@ def test_packing_awkward_documents(spark, tokenizer):
     for row in packing.sequences(packed).collect():
         assert len(row.ids) <= 4 * 64
     assert packing.pack(empty(spark), BYTE_BPE).count() == 0
+
+
+def _batch(texts):
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": pa.array(texts, pa.string())})
+
+
+def test_workers_pack_and_redact_some_megabytes_at_a_time(monkeypatch):
+    task = SimpleNamespace(partitionId=lambda: 7)
+    monkeypatch.setattr(packing, "TaskContext", SimpleNamespace(get=lambda: task))
+    sizes = []
+    texts = ["a b " * 300_000, None, "c", "d " * 1_500_000, "", "e " * 1_000_000, "password=hunter22"]
+
+    def encode(column):
+        sizes.append(sum(len(text or "") for text in column.to_pylist()))
+        lengths = [len(text or "") // 1000 for text in column.to_pylist()]
+        return np.arange(sum(lengths), dtype=np.int32), np.cumsum([0, *lengths])
+
+    for keep_ids in (False, True):
+        found = list(packing._pieces(iter([_batch(texts), _batch([])]), encode, 0, 1000, keep_ids))
+        rows = [row for batch in found for row in batch.to_pylist()]
+        assert [row["doc_id"] for row in rows if row["piece"] == 0] == list(range(len(texts)))
+        assert sum(row["length"] for row in rows) == sum(len(text or "") // 1000 + 1 for text in texts)
+        assert len({(row["length"], row["number"]) for row in rows}) == len(rows) and {row["part"] for row in rows} == {7}
+        assert all(("ids" in row) == keep_ids for row in rows)
+    assert max(sizes) <= support.SLICE_BYTES + max(len(text or "") for text in texts) and len(sizes) == 6
+
+    redacted = list(secret_scan._redact_batches(iter([_batch(texts), _batch([])])))
+    assert [text for batch in redacted for text in batch["text"].to_pylist()] == [*texts[:-1], "[assign]"]
+    assert len(redacted) > 2 and max(batch.nbytes for batch in redacted) < sum(batch.nbytes for batch in redacted)
+
+
+def test_tokenizer_gets_a_bounded_number_of_chunks_at_a_time(tokenizer, monkeypatch):
+    monkeypatch.setattr(chunk_encode, "CHUNKS_AT_ONCE", 7)
+    encode, controls = chunk_encode.tokenizers_encoder(BYTE_BPE)
+    asked = []
+    encoder = chunk_encode.ChunkEncoder(lambda texts: asked.append(len(texts)) or encode(texts), controls=controls)
+    texts = [f"word{i} and{i * i}, more" for i in range(40)] + ["<|endoftext|> x"] * 9
+    assert _lists(encoder, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(asked) == 7 and sum(asked) > 40
+
+
+def test_a_worker_keeps_only_what_its_last_task_needed():
+    support.kept("model", lambda: "of languages")
+    first = chunk_encode.encoder_for(BYTE_BPE)
+    assert list(support._kept.values()) == [first] and chunk_encode.encoder_for(BYTE_BPE) is first
+    assert list(support.frugal(lambda batches: batches, keeps=True)(iter([_batch(["x"])])))
+    assert list(support._kept.values()) == [first]
+    assert list(support.frugal(lambda batches: batches)(iter([_batch(["x"])])))
+    assert not support._kept
