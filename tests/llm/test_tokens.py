@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from types import SimpleNamespace
 
@@ -12,6 +13,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -246,3 +248,72 @@ def test_a_worker_keeps_only_what_its_last_task_needed():
     assert list(support._kept.values()) == [first]
     assert list(support.frugal(lambda batches: batches)(iter([_batch(["x"])])))
     assert not support._kept
+
+
+PATTERN_OF_CHUNKS = re.compile(r"[^\S\x1c-\x1f]*[^\W_]+|[^\S\x1c-\x1f]*(?:[^\w\s]|[_\x1c-\x1f])+[^\W_]*|[^\S\x1c-\x1f]+")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(ODD + "😀𝔸𝟙🄰é\u0301\u1680\u2028\u3000\x85"), st.characters(codec="utf-8")), max_size=40))
+def test_chunks_begin_where_the_pattern_says(text):
+    data = text.encode()
+    chunks = PATTERN_OF_CHUNKS.findall(text)
+    assert "".join(chunks) == text
+    begins = np.cumsum([0, *(len(chunk.encode()) for chunk in chunks)])[1:-1]
+    assert np.flatnonzero(chunk_encode._starts(np.frombuffer(data, np.uint8))).tolist() == begins.tolist()
+
+
+def _counting(monkeypatch):
+    """The texts that the tokenizers library is asked for from now on."""
+    asked, load = [], tokenizers.Tokenizer.from_file
+
+    class Counting:
+        def __init__(self, path):
+            self._own = load(path)
+
+        from_file = classmethod(lambda cls, path: cls(path))
+
+        def get_added_tokens_decoder(self):
+            return self._own.get_added_tokens_decoder()
+
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return self._own.encode_batch_fast(texts, **options)
+
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counting)
+    return asked
+
+
+def test_tokenizer_gets_many_new_chunks_in_one_text(tokenizer, monkeypatch):
+    asked = _counting(monkeypatch)
+    encode, controls = chunk_encode.tokenizers_encoder(BYTE_BPE)
+    encoder = chunk_encode.ChunkEncoder(encode, controls=controls)
+    texts = ["".join(f" w{i}x{j}\n" for j in range(40)) for i in range(50)] + ["", " ", "<|endoftext|", "a<|endoftext|>b", "|>c"]
+    assert _lists(encoder, texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) < 60
+
+
+def test_texts_with_special_tokens_are_not_joined(tokenizer):
+    encode, _ = chunk_encode.tokenizers_encoder(BYTE_BPE)
+    texts = ["x", "<|endoftext|>", "", "a<|endoftext|><|endoftext|>", *map(str, range(250)), "<|endoftext|>"]
+    assert encode(texts) == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encode([]) == [] and encode([""]) == [[]] and encode(["", ""]) == [[], []]
+
+
+def test_only_a_token_without_regard_to_its_neighbours_stands_between_chunks():
+    def added(text, **options):
+        return tokenizers.AddedToken(text, **{"normalized": False, **options})
+
+    assert chunk_encode._mark({7: added("<|end|>")}) == ("<|end|>", 7)
+    for options in ({"lstrip": True}, {"rstrip": True}, {"single_word": True}, {"normalized": True}):
+        assert chunk_encode._mark({7: added("<|end|>", **options)}) is None
+    assert chunk_encode._mark({}) is None and chunk_encode._mark({7: added("aba")}) is None
+    assert chunk_encode._mark({7: added("<s>"), 8: added("</s>")}) is None
+
+
+def test_chunks_that_came_again_are_kept_when_a_memory_is_full():
+    asked = []
+    encoder = chunk_encode.ChunkEncoder(lambda texts: asked.extend(texts) or [[len(t)] for t in texts], 6, 2)
+    for texts in (["a b c"], ["a b"], ["d e f g"], ["a b h"], ["a c"]):
+        assert _lists(encoder, texts) == [[len(t) for t in PATTERN_OF_CHUNKS.findall(texts[0])]]
+    assert asked == ["a", " b", " c", "d", " e", " f", " g", " h", " c"]
